@@ -67,9 +67,9 @@ def compare(spark: SparkSession, connection: duckdb.DuckDBPyConnection, sf_dir:
 
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
-    spark = session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = session("compare", "local[8]", **{"spark.log.level": "OFF", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
                                                "spark.ui.showConsoleProgress": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     connection = connect(sf_dir)
     failed = 0
     for name in arguments[1:] or list(queries.QUERIES):
@@ -77,7 +77,7 @@ def main(arguments: list[str]) -> int:
         try:
             problems = compare(spark, connection, sf_dir, name)
         except Exception as error:  # noqa: BLE001 - report and go on
-            problems = [f"{type(error).__name__}: {str(error)[:1200]}"]
+            problems = [f"{type(error).__name__}: {str(error)[:500]}"]
         failed += bool(problems)
         kind = "sql " if name in queries.ORACLES else "rows"
         print(f"{'FAIL' if problems else 'ok':4} {kind} {time.time() - start:6.2f}s {name}", flush=True)

@@ -1,8 +1,8 @@
 """DuckDB statements that compute each query's result on their own way.
 
 Bands are picked by counting passed bounds, codes by joining a VALUES table,
-ranks and shares by plain windows.  Rounding goes through DECIMAL, because
-Spark rounds the decimal text of a double half up.
+ranks and shares by plain windows.  Rounding goes through the text of the number
+and DECIMAL, because Spark rounds the decimal text of a double half up.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ TODAY = f"date '{roles.AS_OF[:10]}'"
 
 
 def rnd(value: str, digits: int) -> str:
-    return f"cast(round(cast({value} AS decimal(28, 12)), {digits}) AS double)"
+    return f"cast(round(cast(cast({value} AS varchar) AS decimal(38, 17)), {digits}) AS double)"
 
 
 def _pick(tests: list[str], labels: list) -> str:
@@ -269,9 +269,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                cast(month(day) AS int) AS month, ifnull(has_precipitation, 0) AS heavy_precipitation,
                ifnull(has_high_wind, 0) AS high_wind, ifnull(has_freezing_temp, 0) AS freezing_temp,
                0 AS snow_present
-        FROM (SELECT DISTINCT city FROM training_view),
-             generate_series({TODAY}, {TODAY} + 6, INTERVAL 1 DAY) AS s(day)
-             LEFT JOIN weather_6h USING (city)"""),
+        FROM (SELECT city, unnest(generate_series({TODAY}, {TODAY} + 6, INTERVAL 1 DAY)) AS day
+              FROM (SELECT DISTINCT city FROM training_view)) LEFT JOIN weather_6h USING (city)"""),
     "points": (("training_view",), f"""
         SELECT city, date_diff('day', {TODAY}, date) AS x, accident_count AS y, dayofweek(date) AS dow
         FROM training_view"""),

@@ -638,11 +638,11 @@ def rolling_7d(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("weather_corr", f"""
     SELECT measure, city_days, {rnd("r", 6)} AS correlation
-    FROM (SELECT 'avg_temp_f' AS measure, count(*) AS city_days, corr(accident_count, avg_temp_f) AS r FROM training
-          UNION ALL SELECT 'avg_humidity_pct', count(*), corr(accident_count, avg_humidity_pct) FROM training
-          UNION ALL SELECT 'avg_wind_speed_mph', count(*), corr(accident_count, avg_wind_speed_mph) FROM training
-          UNION ALL SELECT 'total_precipitation_mm', count(*), corr(accident_count, total_precipitation_mm)
-                    FROM training)""", ("training",))
+    FROM (SELECT measure, count(*) AS city_days,
+                 covar_pop(accident_count, value)
+                     / nullif(stddev_pop(accident_count) * stddev_pop(value), 0) AS r
+          FROM (UNPIVOT training ON avg_temp_f, avg_humidity_pct, avg_wind_speed_mph, total_precipitation_mm
+                INTO NAME measure VALUE value) GROUP BY measure)""", ("training",))
 def weather_corr(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(trends.weather_correlation(training(spark, sf)), 6, "correlation")
 

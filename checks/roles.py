@@ -150,9 +150,9 @@ ROLES = {
                     WHEN 4 THEN 'Rain' WHEN 5 THEN 'Snow' WHEN 6 THEN 'Thunderstorm' END AS weather_main,
                c_mktsegment AS weather_description, '01d' AS weather_icon, cast(NULL AS string) AS raw_json,
                cast('2024-01-31 17:00:00' AS NTZ) AS load_timestamp, 'stations' AS data_source
-        FROM (SELECT c.*, n_name, r_name, c_custkey * 7 % 2880 AS minute_of_day,
-                     date '2024-01-30' + cast(floor((c_custkey * 7 % 2880) / 1440e0) AS int) AS day,
-                     cast(floor((c_custkey * 7 % 1440) / 60e0) AS int) AS hour_of_day
+        FROM (SELECT c.*, n_name, r_name, (c_custkey * 19 + 1440) % 2880 AS minute_of_day,
+                     date '2024-01-30' + cast(floor(((c_custkey * 19 + 1440) % 2880) / 1440e0) AS int) AS day,
+                     cast(floor((c_custkey * 19 % 1440) / 60e0) AS int) AS hour_of_day
               FROM @customer c JOIN @nation ON c_nationkey = n_nationkey
                    JOIN @region ON n_regionkey = r_regionkey) polled
     """,
@@ -205,7 +205,7 @@ ROLES |= {
                    || {_key("iconCategory", _int("o_orderkey % 14"))}
                    || {_key("magnitudeOfDelay", _int("o_orderkey % 5"), "o_orderkey % 6 = 0")}
                    || {_key("delay", _int("o_orderkey % 50 * 60"), "o_orderkey % 4 = 0")}
-                   || {_key("events", "'[{{\"description\": \"' || o_orderpriority || '\", \"code\": 101}}]'",
+                   || {_key("events", "'[{\"description\": \"' || o_orderpriority || '\", \"code\": 101}]'",
                             "o_orderkey % 3 = 0")}
                    || {_key("startTime", _quoted("cast(cast(o_orderdate AS date) AS string) || 'T10:00:00Z'"),
                             "o_orderkey % 7 = 0")}

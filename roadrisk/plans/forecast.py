@@ -81,10 +81,17 @@ def fit_features(view: DataFrame, min_points: int = MIN_POINTS) -> tuple[Pipelin
     rows = (view.join(enough, "city")
             .withColumn("accident_count", F.col("accident_count").cast("double"))
             .withColumn("day_name", short_day_name(F.col("date"))))
+    # A label with a single value carries no information and cannot be one-hot encoded.
+    levels = rows.agg(*[F.countDistinct(name).alias(name) for name in ("city", "day_name")]).first().asDict()
+    labels = [name for name, count in levels.items() if count > 1]
+    slots = [f"{name}_slots" for name in labels]
+    encode = [
+        StringIndexer(inputCols=labels, outputCols=[f"{name}_index" for name in labels], handleInvalid="skip"),
+        OneHotEncoder(inputCols=[f"{name}_index" for name in labels], outputCols=slots),
+    ] if labels else []
     stages = [
-        StringIndexer(inputCols=["city", "day_name"], outputCols=["city_index", "day_index"], handleInvalid="skip"),
-        OneHotEncoder(inputCols=["city_index", "day_index"], outputCols=["city_slots", "day_slots"]),
-        VectorAssembler(inputCols=["city_slots", "day_slots", *fixed.TRAINING_FEATURES], outputCol="features"),
+        *encode,
+        VectorAssembler(inputCols=[*slots, *fixed.TRAINING_FEATURES], outputCol="features"),
         LinearRegression(featuresCol="features", labelCol="accident_count", predictionCol="forecast", regParam=0.01),
     ]
     model = Pipeline(stages=stages).fit(rows)

@@ -25,8 +25,12 @@ def weather_correlation(training: DataFrame) -> DataFrame:
     """Pearson correlation of the daily accident count with each weather measure, one row per measure."""
     measures = ("avg_temp_f", "avg_humidity_pct", "avg_wind_speed_mph", "total_precipitation_mm")
     target = F.col("accident_count").cast("double")
-    wide = training.agg(F.count(F.lit(1)).alias("city_days"),
-                        *[F.corr(target, F.col(name)).alias(name) for name in measures])
+
+    def pearson(name: str):
+        # Not F.corr, which raises under ANSI when a measure never changes.
+        return F.try_divide(F.covar_pop(target, F.col(name)), F.stddev_pop(target) * F.stddev_pop(name))
+
+    wide = training.agg(F.count(F.lit(1)).alias("city_days"), *[pearson(name).alias(name) for name in measures])
     return wide.unpivot(["city_days"], list(measures), "measure", "correlation")
 
 

@@ -23,11 +23,12 @@ def landed_stream(spark: SparkSession, path: str, max_files: int | None = None)
 
 
 def table_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A parquet table as a stream; the schema is that of the stored files."""
+    """A parquet table, a folder or one file, as a stream with the schema of the stored files."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    # As a pattern, since a plain stream path must be a folder.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _trigger(writer, every: str | None):
