@@ -72,21 +72,19 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
     return features.training_table(cleaned_accidents(spark, sf), hourly(spark, sf), AS_OF)
 
 
-def view(spark: SparkSession, sf: str) -> DataFrame:
-    return features.training_view(training(spark, sf), AS_OF)
+def coming(spark: SparkSession, sf: str, trained: DataFrame) -> DataFrame:
+    return features.future_features(features.training_view(trained, AS_OF), current(spark, sf), AS_OF)
 
 
-def coming(spark: SparkSession, sf: str) -> DataFrame:
-    return features.future_features(view(spark, sf), current(spark, sf), AS_OF)
-
-
-def trend_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.forecast_trend(forecast.fit_trend(view(spark, sf), AS_OF), coming(spark, sf), AS_OF)
+def trend_forecast(spark: SparkSession, sf: str, trained: DataFrame) -> DataFrame:
+    model = forecast.fit_trend(features.training_view(trained, AS_OF), AS_OF)
+    return forecast.forecast_trend(model, coming(spark, sf, trained), AS_OF)
 
 
 def final(spark: SparkSession, sf: str) -> DataFrame:
+    trained = shared.written(training(spark, sf), "training")
     return forecast.adjusted_forecast(
-        training(spark, sf), trend_forecast(spark, sf), current(spark, sf), flow(spark, sf), AS_OF)
+        trained, trend_forecast(spark, sf, trained), current(spark, sf), flow(spark, sf), AS_OF)
 
 
 def rounded(rows: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -418,9 +416,14 @@ def city_traffic_summary(spark: SparkSession, sf: str) -> DataFrame:
     return traffic_mart.city_summary(traffic_mart.scored_flow(staged_flow(spark, sf)))
 
 
-@query("traffic_mart", "SELECT * FROM traffic_mart ORDER BY congestion_score DESC, city, road_name, flow_id",
-       ("traffic_mart",))
+@query("traffic_mart", "SELECT * FROM traffic_mart", ("traffic_mart",))
 def traffic_mart_query(spark: SparkSession, sf: str) -> DataFrame:
+    return traffic_mart.traffic_mart(staged_flow(spark, sf))
+
+
+@query("traffic_mart_ordered", "SELECT * FROM traffic_mart ORDER BY congestion_score DESC, city, road_name, flow_id",
+       ("traffic_mart",))
+def traffic_mart_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return traffic_mart.ordered_mart(traffic_mart.traffic_mart(staged_flow(spark, sf)))
 
 
@@ -541,7 +544,7 @@ def training_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("training_view", "SELECT * FROM training_view ORDER BY city, date", ("training_view",))
 def training_view(spark: SparkSession, sf: str) -> DataFrame:
-    return view(spark, sf).orderBy("city", "date")
+    return features.training_view(training(spark, sf), AS_OF).orderBy("city", "date")
 
 
 @query("latest_weather_6h", "SELECT * FROM weather_6h", ("weather_6h",))
@@ -561,7 +564,7 @@ def latest_traffic_24h(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("future_features", "SELECT * FROM future ORDER BY city, date", ("future",))
 def future_features(spark: SparkSession, sf: str) -> DataFrame:
-    return coming(spark, sf).orderBy("city", "date")
+    return coming(spark, sf, training(spark, sf)).orderBy("city", "date")
 
 
 _BOUNDS = ("forecast", "lower_bound", "upper_bound")
@@ -570,15 +573,16 @@ _BOUNDS = ("forecast", "lower_bound", "upper_bound")
 @query("forecast_ols", f"SELECT series, ts, {', '.join(f'{rnd(n, 6)} AS {n}' for n in _BOUNDS)} FROM forecast",
        ("forecast",))
 def forecast_ols(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(trend_forecast(spark, sf), 6, *_BOUNDS)
+    trained = shared.written(training(spark, sf), "training")
+    return rounded(trend_forecast(spark, sf, trained), 6, *_BOUNDS)
 
 
 @query("forecast_ml")
 def forecast_ml(spark: SparkSession, sf: str) -> DataFrame:
     """Iterative fit: no SQL form.  ``tests/test_forecast.py`` bounds its distance from ``forecast_ols``."""
-    rows = shared.written(view(spark, sf), "training-view")
-    model, spread = forecast.fit_features(rows)
-    return forecast.forecast_features(model, spread, coming(spark, sf))
+    trained = shared.written(training(spark, sf), "training")
+    model, spread = forecast.fit_features(features.training_view(trained, AS_OF))
+    return forecast.forecast_features(model, spread, coming(spark, sf, trained))
 
 
 @query("forecast_adjusted", "SELECT * REPLACE (" + rnd("risk_multiplier", 6) + " AS risk_multiplier) FROM final",
@@ -773,7 +777,8 @@ def _check_sql(check: quality.Check) -> str:
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
     """All 22 declared column checks."""
     models = {"stg_traffic_accidents": staged_accidents(spark, sf), "stg_weather_historical": staged_hourly(spark, sf),
-              "stg_traffic_flow_realtime": staged_flow(spark, sf), "accident_weather_correlation": correlated(spark, sf),
+              "stg_traffic_flow_realtime": staged_flow(spark, sf), "accident_weather_correlation": shared.written(
+                  correlated(spark, sf).select("accident_id", "risk_category"), "correlation"),
               "fct_weather_current": weather_fact.weather_metrics(staging.stage_weather_current(current(spark, sf)))}
     reports = [quality.run_checks(rows, model) for model, rows in models.items()]
     first, *others = reports
@@ -838,8 +843,7 @@ def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
     _finish(landing.refresh_snapshot(
         landing.table_stream(spark, f"{sf}/lineitem.parquet"),
-        {"staging": (stage, f"{root}/staging"), "mart": (lambda b: traffic_mart.traffic_mart(stage(b)), f"{root}/mart")},
-        f"{root}/progress"))
+        [(stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress"))
     return spark.read.parquet(f"{root}/mart")
 
 

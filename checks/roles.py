@@ -14,10 +14,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from roadrisk.functions import fixed
+from roadrisk.sources.tables import spread
 
 AS_OF = "2024-02-01 00:00:00"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
+FACTS = ("customer", "orders", "lineitem", "events")
 
 _FLAGS = ",\n".join(
     f"CASE (o_orderkey + {i}) % 5 WHEN 0 THEN 'True' WHEN 1 THEN ' true ' WHEN 2 THEN 'False' WHEN 3 THEN '1' END"
@@ -249,17 +251,18 @@ ROLES |= {
 _NAME = re.compile(r"@(\w+)")
 
 
-def raw(spark: SparkSession, sf_dir: str, role: str, **instead: DataFrame) -> DataFrame:
-    """The role over the parquet files of ``sf_dir``, or over the given frames where named."""
-    def source(match: re.Match) -> str:
-        name = match.group(1)
-        return f"{{{name}}}" if name in instead else f"parquet.`{sf_dir}/{name}.parquet`"
-
-    return spark.sql(_NAME.sub(source, ROLES[role].replace("NTZ", "timestamp_ntz")), **instead)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in FACTS else rows
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def raw(spark: SparkSession, sf_dir: str, role: str, **instead: DataFrame) -> DataFrame:
+    """The role over the parquet files of ``sf_dir``, or over the given frames where named."""
+    text = ROLES[role].replace("NTZ", "timestamp_ntz")
+    for name in set(_NAME.findall(text)):
+        source = instead[name] if name in instead else table(spark, sf_dir, name)
+        source.createOrReplaceTempView(f"role_{name}")
+    return spark.sql(_NAME.sub(r"role_\1", text))
 
 
 def duck_sql(role: str) -> str:

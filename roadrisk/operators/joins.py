@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.cities import with_box
-from .shared import BROADCAST_ROWS, small_or_none, written
+from .shared import BROADCAST_ROWS, small_or_none
 
 SALTS = 32
 HOT_ROWS = 1_000_000
@@ -38,19 +38,21 @@ def attach_summary(detail: DataFrame, summary: DataFrame, on: list[str], spread_
     return detail.withColumn("_salt", _salt(spread_by, salts)).join(repeated, [*on, "_salt"], "left").drop("_salt")
 
 
-def hot_keys(rows: DataFrame, on: list[str], at_least: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The most frequent keys with more than ``at_least`` rows, NULL keys included.
+def hot_keys(rows: DataFrame, on: list[str], at_least: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame | None:
+    """The most frequent keys with more than ``at_least`` rows, NULL keys included; None if there are none.
 
     Counted with a map-side combine over the key columns alone.  ``most`` bounds
-    the list for its broadcast; keys beyond it are joined like any other.
+    the list, which goes into the plan as a literal table; keys beyond it are
+    joined like any other.
     """
     counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.where(F.col("_rows") > at_least).orderBy(F.col("_rows").desc(), *on).limit(most)
-    return written(top.select(*on), "hot-keys")
+    top = counts.where(F.col("_rows") > at_least).orderBy(F.col("_rows").desc(), *on).limit(most).select(*on)
+    keys = top.collect()
+    return rows.sparkSession.createDataFrame(keys, top.schema) if keys else None
 
 
 def _marked(rows: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
-    """Rows with ``_hot`` true where their key is in the (short, written) list."""
+    """Rows with ``_hot`` true where their key is in the short list."""
     named = hot.select(*[F.col(name).alias(f"_hot_{name}") for name in on], F.lit(True).alias("_hot"))
     same = reduce(and_, [rows[name].eqNullSafe(named[f"_hot_{name}"]) for name in on])
     return rows.join(F.broadcast(named), same, "left").drop(*[f"_hot_{name}" for name in on])
@@ -64,7 +66,7 @@ def spread_left_join(detail: DataFrame, lookup: DataFrame, on: list[str], spread
     plain left join, for which Spark picks broadcast or sort-merge by size.
     """
     hot = hot_keys(detail, on, at_least)
-    if hot.isEmpty():
+    if hot is None:
         return detail.join(lookup, on, "left")
     spread = _marked(detail, hot, on).withColumn(
         "_salt", F.when(F.col("_hot"), _salt(spread_by, salts)).otherwise(F.lit(0))).drop("_hot")

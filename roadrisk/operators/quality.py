@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -53,25 +52,23 @@ def _failures(check: Check) -> Column:
 
 
 def run_checks(rows: DataFrame, model: str) -> DataFrame:
-    """``model, column_name, check, failures`` for all declared checks of a model.
+    """``model, column_name, check, failures`` for all declared checks of a model, in one pass.
 
-    NULL and value checks share one pass; every uniqueness check is one more.
+    Every model has one unique key.  Rows are grouped by it, with the failures
+    of the other checks summed alongside, so one shuffle serves all checks.
     """
     checks = checks_of(model)
-    single = [c for c in checks if c.kind != "unique"]
-    parts = []
-    if single:
-        names = [f"{c.column}:{c.kind}" for c in single]
-        wide = rows.agg(*[_failures(c).alias(name) for c, name in zip(single, names)])
-        long = wide.unpivot([], names, "name", "failures")
-        parts.append(long.select(F.split_part("name", F.lit(":"), F.lit(1)).alias("column_name"),
-                                 F.split_part("name", F.lit(":"), F.lit(2)).alias("check"), "failures"))
-    for c in checks:
-        if c.kind == "unique":
-            parts.append(duplicate_keys(rows, c.column).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check"), "failures"))
-    report = reduce(DataFrame.unionByName, parts)
-    return report.select(F.lit(model).alias("model"), "column_name", "check", "failures")
+    key = next(c for c in checks if c.kind == "unique")
+    others = {f"{c.column}:{c.kind}": c for c in checks if c is not key}
+    keyed = rows.groupBy(F.col(key.column).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[_failures(c).alias(name) for name, c in others.items()])
+    unique = f"{key.column}:unique"
+    wide = keyed.agg(
+        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(unique),
+        *[F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in others])
+    long = wide.unpivot([], [unique, *others], "name", "failures")
+    return long.select(F.lit(model).alias("model"), F.split_part("name", F.lit(":"), F.lit(1)).alias("column_name"),
+                       F.split_part("name", F.lit(":"), F.lit(2)).alias("check"), "failures")
 
 
 def date_outliers(accidents: DataFrame, as_of: Moment = None, years: int = fixed.MAX_AGE_YEARS) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 SQL_SETTINGS = {
+    # The JVM does not compile methods above 8000 bytes; wide projections are then faster split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -13,6 +15,13 @@ SQL_SETTINGS = {
 }
 
 
+# Settings of the Python side that only a new session takes.
+START_SETTINGS = {
+    # Recording the call site of every column expression makes building wide plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a running session."""
     for name, value in SQL_SETTINGS.items():
@@ -24,6 +33,6 @@ def session(app: str = "roadrisk", master: str | None = None, **settings: str) -
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SQL_SETTINGS, **settings}.items():
+    for name, value in {**SQL_SETTINGS, **START_SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

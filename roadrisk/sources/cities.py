@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions import fixed
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
     """55 cities with centre, region and county: a literal table of fixed size."""
-    records = [(name, float(lat), float(lon), region, county)
-               for name, lat, lon, region, county in fixed.rows(fixed.CITIES)]
-    return spark.createDataFrame(records, schemas.CITY_DIM)
+    rows = ", ".join(f"('{name}', {lat}D, {lon}D, '{region}', '{county}')"
+                     for name, lat, lon, region, county in fixed.rows(fixed.CITIES))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS cities(name, latitude, longitude, region, county)")
 
 
 def with_box(cities: DataFrame, half_edge: float = fixed.CITY_BOX_DEG) -> DataFrame:

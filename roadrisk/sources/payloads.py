@@ -23,8 +23,18 @@ PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 def parsed(rows: DataFrame, schema: str, text: str = "payload", into: str = "parsed") -> DataFrame:
     """Parse a JSON column; a broken text sets ``_corrupt_record`` and leaves other rows alone."""
-    answer = F.from_json(text, f"{schema}, {CORRUPT} string", PERMISSIVE)
-    return rows.withColumn(into, answer).withColumn(CORRUPT, F.col(into)[CORRUPT])
+    return once(rows, F.from_json(text, f"{schema}, {CORRUPT} string", PERMISSIVE), into).withColumn(
+        CORRUPT, F.col(into)[CORRUPT])
+
+
+def once(rows: DataFrame, costly: Column, into: str) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A filter or field access on a plain projected column is merged with its
+    expression, which would parse the text again for each; it is not merged
+    with a generated one.
+    """
+    return rows.select("*", F.explode(F.array(costly)).alias(into))
 
 
 def readable(rows: DataFrame, schema: str, text: str = "payload") -> DataFrame:
@@ -87,7 +97,7 @@ def _incidents(landed: DataFrame, cities: DataFrame) -> DataFrame:
     listed = readable(at_city(landed, cities), schemas.INCIDENTS_PAYLOAD)
     single = listed.select(
         "*", F.posexplode("parsed.incidents").alias("position", "raw_json")).drop("parsed", "payload")
-    shaped = single.withColumn("incident", F.from_json("raw_json", schemas.INCIDENT))
+    shaped = once(single, F.from_json("raw_json", schemas.INCIDENT), "incident")
     # The kind of coordinates is a matter of their text: [[x, y], ...] or [x, y].
     coordinates = F.col("incident.geometry.coordinates")
     return shaped.withColumns({

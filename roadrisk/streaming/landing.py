@@ -35,18 +35,21 @@ def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def refresh_snapshot(stream: DataFrame, tables: dict[str, tuple[Stage, str]], checkpoint: str,
+def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoint: str,
                      every: str | None = None) -> StreamingQuery:
-    """Rebuild every table from each micro-batch, so only the newest snapshot lives.
+    """Rebuild a chain of tables from each micro-batch, so only the newest snapshot lives.
 
-    ``tables`` maps a name to its plan and path.  A repeated batch overwrites
-    with the same rows, so a restart after a failure changes nothing.
+    Every step is a plan and a path; the first plan reads the batch, each later
+    one the table before it.  A repeated batch overwrites with the same rows, so
+    a restart after a failure changes nothing.
     """
     def rebuild(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        for plan, path in tables.values():
-            sinks.replace(plan(batch), path)
+        rows = batch
+        for plan, path in steps:
+            sinks.replace(plan(rows), path)
+            rows = batch.sparkSession.read.parquet(path)
 
     writer = stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
