@@ -28,7 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below a folder of this application, which can be dropped when it has ended."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
