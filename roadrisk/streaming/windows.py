@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 EVENT = "_event_time"
 
@@ -40,6 +41,11 @@ def trailing_means(rows: DataFrame, time: str, key: str, measures: list[str], le
         *[F.try_divide(f"_sum_{name}", f"_n_{name}").alias(f"avg_{name}") for name in measures])
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came too late for the state, as counted in the query's progress reports."""
+    return sum(step.numRowsDroppedByWatermark for report in query.recentProgress for step in report.stateOperators)
+
+
 def first_of_each(rows: DataFrame, keys: list[str], time: str, delay: str = "1 hour") -> DataFrame:
     """One row per key; the state of a key is dropped once the watermark has passed it."""
     return with_event_time(rows, time, delay).dropDuplicatesWithinWatermark(keys).drop(EVENT)

@@ -14,6 +14,7 @@ AS_OF = "2024-02-01 00:00:00"
 def spark(tmp_path_factory):
     spark = session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     spark.sparkContext.setLogLevel("OFF")
     yield spark
