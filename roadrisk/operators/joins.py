@@ -59,13 +59,15 @@ def _marked(rows: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
 
 
 def spread_left_join(detail: DataFrame, lookup: DataFrame, on: list[str], spread_by: str,
-                     at_least: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+                     at_least: int | None = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Left join with the hot keys of ``detail`` spread over several tasks.
 
     Only the lookup rows of hot keys are repeated.  Without hot keys this is the
     plain left join, for which Spark picks broadcast or sort-merge by size.
+    Finding them reads the key columns once more, so ``detail`` is best a stored
+    table; ``at_least=None`` leaves skew to adaptive execution alone.
     """
-    hot = hot_keys(detail, on, at_least)
+    hot = None if at_least is None else hot_keys(detail, on, at_least)
     if hot is None:
         return detail.join(lookup, on, "left")
     spread = _marked(detail, hot, on).withColumn(

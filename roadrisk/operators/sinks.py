@@ -10,11 +10,15 @@ from ..functions.times import Moment, clock, today
 
 
 def replace(rows: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Snapshot replace: afterwards the table holds exactly these rows."""
-    writer = rows.write.mode("overwrite")
+    """Snapshot replace: afterwards the table holds exactly these rows.
+
+    Before a partitioned write the rows are rebalanced on the partition columns,
+    which keeps the files few and still splits a partition that is large.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(path)
 
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
