@@ -20,7 +20,7 @@ HEADLINE = (
     "scan_filter_rename", "clean_accidents", "weather_hist_staging", "weather_rt_staging", "weather_etl_features",
     "flow_staging", "json_parse_defaults", "incident_explode_coords", "array_zip_explode", "city_bbox_range_join",
     "traffic_mart", "accident_weather_join", "safety_mart", "weather_fact", "training_table", "future_features",
-    "forecast_ols", "forecast_adjusted", "risk_assessment", "rolling_7d", "load_stats", "dq_unique", "dq_report",
+    "forecast_ols", "risk_assessment", "rolling_7d", "load_stats", "dq_unique", "dq_report",
     "stream_snapshot", "stream_trailing", "stream_dedupe",
 )
 

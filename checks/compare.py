@@ -20,7 +20,7 @@ from . import queries, roles
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
-    for name in roles.TABLES:
+    for name in roles.SCHEMAS:
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return connection
 

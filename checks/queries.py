@@ -710,9 +710,9 @@ def sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         return tables.read_table(spark, root, layer, name)
 
     snapshot = tables.table_path(root, "staging", "accidents")
-    sinks.replace(rows, snapshot, ["accident_date"])
+    sinks.replace(rows, snapshot, ["severity"])
     note("replaced", stored("staging", "accidents"))
-    sinks.replace(rows, snapshot, ["accident_date"])
+    sinks.replace(rows, snapshot, ["severity"])
     note("replaced again", stored("staging", "accidents"))
     full = tables.table_path(root, "raw_archive", "accidents")
     for step, day in (("refreshed", AS_OF), ("skipped same day", AS_OF), ("refreshed next day", "2024-02-02")):
@@ -890,9 +890,9 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     cut = F.expr("left(props, length(props) - 1)")
     stream = landing.table_stream(spark, f"{sf}/events.parquet").select(
         "event_id", F.when(F.col("event_type") == "error", cut).otherwise(F.col("props")).alias("payload"))
-    _finish(landing.split_quarantine(stream, "payload", "k int", f"{root}/good", f"{root}/bad", f"{root}/progress"))
-    good = spark.read.parquet(f"{root}/good").select(
+    _finish(landing.split_quarantine(stream, "payload", "k int", f"{root}/out", f"{root}/progress"))
+    good = landing.of_status(spark, f"{root}/out", landing.GOOD).select(
         "event_id", F.col("parsed.k").alias("k"), F.lit(None).cast("string").alias("broken"))
-    bad = spark.read.parquet(f"{root}/bad").select(
+    bad = landing.of_status(spark, f"{root}/out", landing.BROKEN).select(
         "event_id", F.lit(None).cast("int").alias("k"), F.col("_corrupt_record").alias("broken"))
     return good.unionByName(bad)

@@ -82,7 +82,9 @@ def inside_city_boxes(points: DataFrame, cities: DataFrame, latitude: str = "lat
     """Pairs of a point and every city whose box holds it.
 
     Points and boxes meet on the cells of a grid, so this is an equi-join; the
-    exact range test follows.  The 55 cities cover a handful of cells each.
+    exact range test follows.  The 55 literal cities cover a handful of cells
+    each, which Spark broadcasts by their known size; a large table of places
+    would be shuffled by cell.
     """
     def cell(value: Column) -> Column:
         return F.floor(value / GRID).cast("int")
@@ -95,4 +97,4 @@ def inside_city_boxes(points: DataFrame, cities: DataFrame, latitude: str = "lat
     placed = points.withColumns({"_cx": cell(F.col(longitude)), "_cy": cell(F.col(latitude))})
     held = (F.col(longitude).between(F.col("min_lon"), F.col("max_lon"))
             & F.col(latitude).between(F.col("min_lat"), F.col("max_lat")))
-    return placed.join(F.broadcast(cells), ["_cx", "_cy"]).where(held).drop("_cx", "_cy")
+    return placed.join(cells, ["_cx", "_cy"]).where(held).drop("_cx", "_cy")

@@ -1,8 +1,8 @@
 """Landed service answers (A4–A11, A16): one line per polled city.
 
-Input rows are ``schemas.LANDED``.  The city table is a fixed list of 55 rows,
-so joining it by broadcast is bounded; answers of unknown cities are dropped,
-as only listed cities are polled.
+Input rows are ``schemas.LANDED``.  Answers of unknown cities are dropped, as
+only listed cities are polled.  The city table is a literal relation of 55 rows,
+so Spark knows its size and broadcasts it.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def at_city(landed: DataFrame, cities: DataFrame) -> DataFrame:
     """Landed answers with the place of their city."""
     place = cities.select(
         F.col("name").alias("city"), "latitude", "longitude", "region", "county", F.lit(fixed.TARGET_STATE).alias("state"))
-    return landed.join(F.broadcast(place), "city")
+    return landed.join(place, "city")
 
 
 def _flow_key() -> Column:

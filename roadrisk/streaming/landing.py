@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import sinks
-from ..sources.payloads import readable, unreadable
+from ..sources.payloads import CORRUPT, parsed
 
 Stage = Callable[[DataFrame], DataFrame]
+GOOD, BROKEN = "good", "broken"
 
 
 def landed_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -55,21 +57,26 @@ def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoi
     return _trigger(writer, every).start()
 
 
-def append_stream(rows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def append_stream(rows: DataFrame, path: str, checkpoint: str, every: str | None = None,
+                  partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Append to a parquet table; the sink's own log makes it exactly-once."""
     writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return _trigger(writer.outputMode("append"), every).start()
 
 
-def split_quarantine(stream: DataFrame, text: str, schema: str, good_path: str, bad_path: str, checkpoint: str,
+def split_quarantine(stream: DataFrame, text: str, schema: str, path: str, checkpoint: str,
                      every: str | None = None) -> StreamingQuery:
-    """Write parsed rows and broken rows of each micro-batch to two tables, one folder per batch.
+    """Parse a stream into one table with a partition of good and one of broken rows.
 
-    A repeated batch overwrites its own folder only.
+    Each text is parsed once; a broken one does not hold up the others.
     """
-    def split(batch: DataFrame, batch_id: int) -> None:
-        sinks.replace(readable(batch, schema, text), f"{good_path}/batch={batch_id}")
-        sinks.replace(unreadable(batch, schema, text), f"{bad_path}/batch={batch_id}")
+    status = F.when(F.col(CORRUPT).isNull(), F.lit(GOOD)).otherwise(F.lit(BROKEN))
+    rows = parsed(stream, schema, text).withColumn("status", status)
+    return append_stream(rows, path, checkpoint, every, ("status",))
 
-    writer = stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+
+def of_status(spark: SparkSession, path: str, status: str) -> DataFrame:
+    """The good or the broken partition of a table written by ``split_quarantine``."""
+    return spark.read.parquet(path).where(F.col("status") == status).drop("status")

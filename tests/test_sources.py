@@ -49,6 +49,7 @@ def test_flow_payload(spark, rows_of):
 def test_payload_is_parsed_once(spark, rows_of):
     plan = plan_text(payloads.flow_raw(landed(rows_of, {}), cities.city_dimension(spark)))
     assert plan.count("from_json") == 1
+    assert "BroadcastHashJoin" in plan
 
 
 def test_incidents(spark, rows_of):

@@ -51,8 +51,8 @@ def test_quarantine_leaves_other_rows_alone(spark, tmp_path):
     land(landed, "1.json", answer("Fresno", 15), broken)
     land(landed, "2.json", broken, answer("Oakland", 20))
     run(landing.split_quarantine(landing.landed_stream(spark, str(landed), max_files=1), "payload",
-                                 schemas.FLOW_PAYLOAD, f"{root}/good", f"{root}/bad", f"{root}/progress"))
-    good, bad = spark.read.parquet(f"{root}/good"), spark.read.parquet(f"{root}/bad")
+                                 schemas.FLOW_PAYLOAD, f"{root}/table", f"{root}/progress"))
+    good, bad = (landing.of_status(spark, f"{root}/table", s) for s in (landing.GOOD, landing.BROKEN))
     assert {(r.city, r.parsed.flowSegmentData.currentSpeed) for r in good.collect()} == {("Fresno", 15), ("Oakland", 20)}
     assert [r._corrupt_record for r in bad.collect()] == [broken["payload"]] * 2
 
