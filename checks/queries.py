@@ -839,7 +839,8 @@ def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     root = shared.scratch_path(spark, "snapshot")
 
     def stage(batch: DataFrame) -> DataFrame:
-        return staging.stage_flow(raw(batch.sparkSession, sf, "traffic_flow_raw", lineitem=batch))
+        lines = tables.spread(batch, "l_orderkey")
+        return staging.stage_flow(raw(batch.sparkSession, sf, "traffic_flow_raw", lineitem=lines))
 
     _finish(landing.refresh_snapshot(
         landing.table_stream(spark, f"{sf}/lineitem.parquet"),

@@ -30,7 +30,7 @@ SCHEMAS = {
                 "l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
-FACTS = ("customer", "orders", "lineitem", "events")
+FACTS = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
 
 _FLAGS = ",\n".join(
     f"CASE (o_orderkey + {i}) % 5 WHEN 0 THEN 'True' WHEN 1 THEN ' true ' WHEN 2 THEN 'False' WHEN 3 THEN '1' END"
@@ -264,7 +264,7 @@ _NAME = re.compile(r"@(\w+)")
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows) if name in FACTS else rows
+    return spread(rows, FACTS[name]) if name in FACTS else rows
 
 
 def raw(spark: SparkSession, sf_dir: str, role: str, **instead: DataFrame) -> DataFrame:
