@@ -67,8 +67,9 @@ def compare(spark: SparkSession, connection: duckdb.DuckDBPyConnection, sf_dir:
 
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
-    spark = session("compare", "local[8]", **{"spark.log.level": "OFF", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                               "spark.ui.showConsoleProgress": "false"})
+    spark = session("compare", "local[8]", **{
+        "spark.log.level": "OFF", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("OFF")
     connection = connect(sf_dir)
     failed = 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadrisk.functions import fixed, times, traffic
+from roadrisk.functions import fixed, times
 from roadrisk.operators import fill, joins, quality, shared, sinks
 from roadrisk.plans import (correlation, features, forecast, safety_mart, staging, traffic_mart, trends, weather_fact,
                             weather_features)
@@ -284,7 +284,8 @@ def city_bbox_range_join(spark: SparkSession, sf: str) -> DataFrame:
 _LAST_DAY = "2024-01-30"
 
 
-@query("trailing_extract", f"SELECT * FROM events WHERE cast(ts AS date) BETWEEN date '{_LAST_DAY}' - 5 AND date '{_LAST_DAY}'")
+@query("trailing_extract", f"""
+    SELECT * FROM events WHERE cast(ts AS date) BETWEEN date '{_LAST_DAY}' - 5 AND date '{_LAST_DAY}'""")
 def trailing_extract(spark: SparkSession, sf: str) -> DataFrame:
     return tables.trailing_days(table(spark, sf, "events"), "ts", _LAST_DAY)
 
@@ -512,7 +513,8 @@ _FACT = f"""
                  max(wind_speed_mph) OVER r AS region_max_wind_speed,
                  avg(temperature_f) OVER () AS state_avg_temp, max(temperature_f) OVER () AS state_max_temp,
                  min(temperature_f) OVER () AS state_min_temp, avg(humidity_pct) OVER () AS state_avg_humidity,
-                 {", ".join(f"row_number() OVER ({part} ORDER BY {column} DESC NULLS FIRST, record_id) AS {scope}_{short}_rank"
+                 {", ".join(f"row_number() OVER ({part} ORDER BY {column} DESC NULLS FIRST, record_id) "
+                            f"AS {scope}_{short}_rank"
                             for scope, part in (("region", "PARTITION BY region"), ("state", ""))
                             for short, column in weather_fact.RANKED.items())}
           FROM current_metrics WINDOW r AS (PARTITION BY region))"""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.cities import with_box
-from .shared import BROADCAST_ROWS, small_or_none
+from .shared import BROADCAST_ROWS, written_and_small
 
 SALTS = 32
 HOT_ROWS = 1_000_000
@@ -31,7 +31,7 @@ def attach_summary(detail: DataFrame, summary: DataFrame, on: list[str], spread_
     over ``salts`` tasks and the summary, which has one row per key, is repeated
     for each of them.
     """
-    table, small = small_or_none(summary, "summary", limit)
+    table, small = written_and_small(summary, "summary", limit)
     if small:
         return detail.join(F.broadcast(table), on, "left")
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

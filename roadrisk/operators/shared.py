@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A side with at most this many rows may be broadcast: aggregate rows of a few
 # hundred bytes, so some tens of megabytes at the very most.
@@ -40,13 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_or_none(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def written_and_small(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """The written table and whether its row count, read from the file footers, is within the limit."""
     table = written(df, name)
     return table, table.count() <= limit
-
-
-def broadcast_if_small(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast side of proven size, or the plain table for a shuffle join."""
-    table, small = small_or_none(df, name, limit)
-    return F.broadcast(table) if small else table

@@ -3,6 +3,7 @@ import json
 
 from conftest import AS_OF, plan_text
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadrisk import schemas
 from roadrisk.functions import fixed
@@ -121,3 +122,21 @@ def test_trailing_days_reach_the_scan(spark, tmp_path):
     low, high = rows.agg(F.min("ts"), F.max("ts")).first()
     assert (low, high) == (dt.datetime(2024, 1, 27), dt.datetime(2024, 2, 1, 18))
     assert "GreaterThanOrEqual(ts" in plan_text(rows)
+
+
+def test_parsed_tables_match_the_declared_ones(spark, rows_of):
+    dimension, empty = cities.city_dimension(spark), landed(rows_of, {})
+    audit = {"load_timestamp", "data_source"}
+
+    def declared(ddl):
+        return {(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl) if f.name not in audit}
+
+    for build, ddl in ((payloads.flow_raw, schemas.TRAFFIC_FLOW_RAW),
+                       (payloads.incidents_raw, schemas.TRAFFIC_INCIDENTS_RAW),
+                       (payloads.hourly_weather, schemas.WEATHER_HISTORICAL_RAW),
+                       (payloads.current_weather, schemas.WEATHER_REALTIME_RAW)):
+        assert set(build(empty, dimension).dtypes) == declared(ddl)
+    assert set(dimension.dtypes) == declared(schemas.CITY_DIM)
+    text = spark.createDataFrame([], ", ".join(
+        f"`{header}` string" for header, _ in fixed.rows(fixed.ACCIDENT_COLUMNS, header=False)))
+    assert set(accidents.project(text).dtypes) == declared(schemas.ACCIDENTS_RAW)
