@@ -54,6 +54,19 @@ def test_training_rows_need_three_accidents(rows_of):
     assert features.training_view(table, AS_OF).columns == ["date", "city", "accident_count", *fixed.TRAINING_FEATURES]
 
 
+def test_training_join_reuses_the_aggregates_shuffles(spark, rows_of, tmp_path):
+    accidents(rows_of, ("A", TODAY, 3)).write.parquet(str(tmp_path / "a"))
+    weather(rows_of, dict(record_id="1", city="A")).write.parquet(str(tmp_path / "w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(features.training_table(
+            spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "w")), AS_OF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2
+    assert "GreaterThanOrEqual(start_time" in plan and "description" not in plan
+
+
 def test_calendar_weekend_on_request(rows_of):
     table = features.training_table(accidents(rows_of, ("A", dt.date(2024, 1, 7), 3)), weather(rows_of), AS_OF,
                                     weekend_dows=(0, 6))
