@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import host_rules, sharding, simhash
+from . import host_rules, secrets, sharding, simhash, winnowing
 from .common import table
 
 
+def op3_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -22,8 +29,19 @@ def op8_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def kind(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", kind(0).alias("n_assign"), kind(1).alias("n_access"), kind(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op6_feistel_sharding, op7_host_rules, op8_gray_simhash)
+    query.__name__: query for query in (
+        op3_winnowing_decontamination, op6_feistel_sharding, op7_host_rules, op8_gray_simhash,
+        op10_randomness_secrets)
 }
 
 ORACLES: dict[str, str] = {}
