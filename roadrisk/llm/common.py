@@ -48,7 +48,7 @@ def chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, i
 
 def run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of the runs between ``starts``, whose last entry is the length; empty runs give 0."""
-    total = np.concatenate([[0], np.cumsum(values, axis=0)])
+    total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), np.cumsum(values, axis=0)])
     return total[starts[1:]] - total[starts[:-1]]
 
 

@@ -7,16 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_rules, secrets, sharding, simhash, winnowing
+from . import factorisation, host_rules, secrets, segmentation, sharding, simhash, weak_labels, winnowing
 from .common import table
 
 
+def op1_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = segmentation.encode_samples(table(spark, sf_dir, "documents"))
+    return sampled.withColumn("decoded", segmentation.decode("pieces")).select(
+        "doc_id", "rank", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+        F.crc32("decoded").alias("decoded_crc32"), "log_prob", "perturbed", "log_inclusion")
+
+
 def op3_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorisation.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -29,6 +40,10 @@ def op8_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def kind(number: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
@@ -40,8 +55,8 @@ def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op3_winnowing_decontamination, op6_feistel_sharding, op7_host_rules, op8_gray_simhash,
-        op10_randomness_secrets)
+        op1_gumbel_segmentation, op3_winnowing_decontamination, op4_factorisation_quality, op6_feistel_sharding,
+        op7_host_rules, op8_gray_simhash, op9_weak_toxicity, op10_randomness_secrets)
 }
 
 ORACLES: dict[str, str] = {}
