@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import factorisation, host_rules, secrets, segmentation, sharding, simhash, weak_labels, winnowing
+from . import factorisation, host_rules, secrets, segmentation, sharding, simhash, templates, weak_labels, winnowing
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("decoded").alias("decoded_crc32"), "log_prob", "perturbed", "log_inclusion")
 
 
+def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -55,8 +59,8 @@ def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_gumbel_segmentation, op3_winnowing_decontamination, op4_factorisation_quality, op6_feistel_sharding,
-        op7_host_rules, op8_gray_simhash, op9_weak_toxicity, op10_randomness_secrets)
+        op1_gumbel_segmentation, op2_template_extraction, op3_winnowing_decontamination, op4_factorisation_quality,
+        op6_feistel_sharding, op7_host_rules, op8_gray_simhash, op9_weak_toxicity, op10_randomness_secrets)
 }
 
 ORACLES: dict[str, str] = {}
