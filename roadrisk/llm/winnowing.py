@@ -116,7 +116,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def extended(words: Column) -> Column:
         return F.filter("met", lambda m: F.array_join(F.slice(words, m["at"] + 1, m["length"]), " ") == m["window"])
 
-    hits = written(docs.select(row_key("doc_id", "text").alias("row"), "text").join(meetings, "row")
+    # Always a sort-merge join: its cost follows the input, whether or not the meetings would fit into a broadcast.
+    hits = written(docs.select(row_key("doc_id", "text").alias("row"), "text").join(meetings.hint("merge"), "row")
                    .select("row", let(words_of("text"), extended).alias("hits")).where("size(hits) > 0"), "hits")
     spans = hits.groupBy("row").agg(F.max(_covered(F.transform("hits", lambda h: F.struct(h["at"], h["length"])))
                                           ).alias("n_hit"))
