@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import factorisation, host_rules, secrets, segmentation, sharding, simhash, templates, weak_labels, winnowing
+from . import (factorisation, host_rules, secrets, segmentation, sharding, simhash, suffix_dedup, templates, weak_labels,
+               winnowing)
 from .common import table
 
 
@@ -32,6 +33,10 @@ def op4_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factorisation.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -60,7 +65,8 @@ def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_gumbel_segmentation, op2_template_extraction, op3_winnowing_decontamination, op4_factorisation_quality,
-        op6_feistel_sharding, op7_host_rules, op8_gray_simhash, op9_weak_toxicity, op10_randomness_secrets)
+        op5_lpf_dedup, op6_feistel_sharding, op7_host_rules, op8_gray_simhash, op9_weak_toxicity,
+        op10_randomness_secrets)
 }
 
 ORACLES: dict[str, str] = {}
