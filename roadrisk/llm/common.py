@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 2_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of the data set.  Rows of long texts go to Python in small batches."""
+def small_batches(spark: SparkSession) -> None:
+    """Rows of long texts go to Python in small batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table of the data set."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

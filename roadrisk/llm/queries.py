@@ -46,7 +46,7 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_copies(table(spark, sf_dir, "documents")).drop("row")
+    return simhash.near_copies(table(spark, sf_dir, "documents")).drop("row", "root")
 
 
 def op9_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

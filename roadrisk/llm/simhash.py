@@ -182,15 +182,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     named = distinct.join(roots, distinct["code"] == roots["node"], "left").select(
         "code", "least", F.coalesce("root", "code").alias("root"))
     ids = written(named.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    groups = written(named.join(ids, "root").select("code", "component_id"), "groups")
+    groups = written(named.join(ids, "root").select("code", "component_id", "root"), "groups")
     return marked.join(groups, "code").select(
-        "doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id", "row")
+        "doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id", "row", "root")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all its columns: the one with the smallest doc_id and, of repeats, one row."""
-    judged = near_copies(docs).where("doc_id <=> component_id").select(F.col("row").alias("_row"), "component_id")
-    # Rows without an id cannot be told apart by it: of a group that has none, the smallest row key stays.
-    kept = written(judged.groupBy("component_id").agg(F.min("_row").alias("_row")).select("_row"), "kept")
+    """One document of each group, with all its columns: the smallest doc_id, then the smallest row key, null ids last."""
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    kept = written(near_copies(docs).groupBy("root").agg(F.min_by("row", place).alias("_row")).select("_row"), "kept")
     met = docs.withColumn("_row", row_key("doc_id", "text")).join(kept, "_row", "left_semi")
     return met.dropDuplicates(["_row"]).drop("_row")
