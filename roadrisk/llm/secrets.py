@@ -133,7 +133,7 @@ def _letter_classes(token: Column, symbols: Column, digits: Column, upper: Colum
     def part(pattern: str, size: Column) -> Column:
         seen = n - F.length(F.regexp_replace(token, pattern, ""))
         expected = n * size / symbols
-        return F.when(size > 0, (seen - expected) * (seen - expected) / expected).otherwise(F.lit(0.0))
+        return F.when(size > 0, F.try_divide((seen - expected) * (seen - expected), expected)).otherwise(F.lit(0.0))
 
     kinds = (digits > 0).cast("int") + (upper > 0).cast("int") + (lower > 0).cast("int")
     total = part("[0-9]", digits) + part("[A-Z]", upper) + part("[a-z]", lower)
@@ -149,7 +149,7 @@ def _runs(places: Column, symbols: Column) -> Column:
         a = F.size(F.filter(high, lambda h: h)).cast("double")
         mean = 2 * a * (n - a) / n + 1
         spread = (mean - 1) * (mean - 2) / (n - 1)
-        return F.when(spread > 0, 2 * upper_tail(F.abs(turns + 1 - mean) / F.sqrt(spread))).otherwise(F.lit(1.0))
+        return F.when(spread > 0, 2 * upper_tail(F.try_divide(F.abs(turns + 1 - mean), F.sqrt(spread)))).otherwise(F.lit(1.0))
 
     return let(F.transform(places, lambda p: 2 * p >= symbols), of)
 
@@ -162,7 +162,7 @@ def _serial(places: Column) -> Column:
         square = F.aggregate(places, F.lit(0.0), lambda a, p: a + (p - mean) * (p - mean))
         product = F.aggregate(F.sequence(F.lit(1), F.size(places) - 1), F.lit(0.0), lambda a, i: a + (
             F.get(places, i) - mean) * (F.get(places, i - 1) - mean))
-        z = (product / square + 1 / n) * F.sqrt(n)
+        z = (F.try_divide(product, square) + 1 / n) * F.sqrt(n)
         return F.when(square > 0, 2 * upper_tail(F.abs(z))).otherwise(F.lit(1.0))
 
     return let(F.aggregate(places, F.lit(0.0), lambda a, p: a + p) / n, of)
@@ -203,16 +203,20 @@ def tested_runs(text: Column, base: Column) -> Column:
     free = F.filter(_spans(text, RUN), lambda s: ~F.exists(
         base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
-    def tested(s: Column) -> Column:
-        def of(token: Column) -> Column:
-            return let(encoding_of(token), lambda e: F.struct(
-                s["start"].alias("start"), s["end"].alias("end"), e.alias("encoding"),
-                F.length(token).alias("n"), battery(token, e).alias("p")))
-        return let(F.rtrim(F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit("=")), of)
+    def cut(s: Column) -> Column:
+        token = F.rtrim(F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit("="))
+        return let(token, lambda t: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), t.alias("token"), encoding_of(t).alias("encoding"),
+            F.length(t).alias("n")))
+
+    def tested(t: Column) -> Column:
+        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["encoding"].alias("encoding"),
+                        t["n"].alias("n"), battery(t["token"], t["encoding"]).alias("p"))
 
     least = [n for _, _, n in ALPHABETS]
-    return F.filter(F.transform(free, tested), lambda t: t["encoding"].isNotNull()
+    long = F.filter(F.transform(free, cut), lambda t: t["encoding"].isNotNull()
                     & (t["n"] >= _by_encoding(t["encoding"], least)))
+    return F.transform(long, tested)
 
 
 def _random_runs(tokens: DataFrame) -> DataFrame:
