@@ -37,7 +37,7 @@ from .common import chunks
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 SEED = 7
-CHUNK = 1_000_000  # bytes of text segmented together
+CHUNK = 2_000_000  # bytes of text segmented together
 MARK, OWN_MARK = "▁", "\ud800"  # space in pieces; stands for a text's own U+2581, which is spelt in bytes
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 CODE_BITS = 21
@@ -173,7 +173,7 @@ def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
     start, stop, piece = (np.concatenate(parts[::-1]) for parts in (starts, stops, pieces))
     owner = word[start]
     depth = stop - (ends - lengths)[owner]
-    order = np.lexsort((stop, depth))
+    order = np.argsort(depth * (len(codes) + 1) + stop, kind="stable")
     start, stop, piece, owner, depth = (x[order] for x in (start, stop, piece, owner, depth))
     code = np.where(piece < 0, codes[start], -1)
     score = np.where(piece < 0, 0.0, vocab.log_prob[piece])
