@@ -154,7 +154,7 @@ def fitted(texts: Texts, labels: np.ndarray, seed: int = 1) -> Machine:
     cuts = np.quantile(texts.statistics, marks, axis=0).T if rows else np.zeros((stats, BINS - 1))
     place, value, starts = inputs(texts, cuts)
     size = stats * BINS + BUCKETS
-    weights, factors = np.zeros(size), draw.normal(0, 0.05, (size, RANK))
+    weights, factors = np.zeros(size), draw.normal(0, 0.05 if rows else 0.0, (size, RANK))
     share = min(max(labels.mean(), 1e-3), 1 - 1e-3) if rows else 0.5
     bias, seen, seen_f = float(np.log(share / (1 - share))), np.full(size, 1e-4), np.full((size, RANK), 1e-4)
     for _ in range(max(EPOCHS, -(-STEPS * BATCH // rows)) if rows else 0):
@@ -192,7 +192,7 @@ def _sampled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = featured(texts[a:b])
             yield pd.DataFrame({
                 "label": frame["label"].to_numpy()[a:b], "statistics": list(held.statistics),
-                "buckets": [held.buckets[s:e][:SAMPLE_WORDS].astype(np.int32)
+                "buckets": [np.sort(held.buckets[s:e])[:SAMPLE_WORDS].astype(np.int32)
                             for s, e in zip(held.starts[:-1], held.starts[1:])]})
 
 

@@ -12,7 +12,7 @@ sample without replacement.  With the value of the best region that was not open
 score is ``log(1 - exp(-exp(log_prob - threshold)))``, the log of its chance to be among the emitted.
 
 Random numbers are a hash of the row's key, the place in the text and the number of the path: a repeated task, another
-partitioning or another batch gives the same segmentations.
+partitioning or another batch gives the same segmentations, and the same scores up to rounding.
 
 The vocabulary has merge ranks, not probabilities.  A piece of rank r gets the Zipf weight 1 / (r + 1), a byte piece the
 weight of the last rank.
@@ -243,6 +243,15 @@ class Path(NamedTuple):
     value: np.ndarray
 
 
+def _numbered(units: list[str], exact: bool) -> tuple[np.ndarray, list[str]]:
+    """A number for each unit, and the distinct units; ``exact`` where they may hold the stand-in, which is no valid
+    character and which pandas takes for others."""
+    if exact or not units:
+        table: dict[str, int] = {}
+        return np.fromiter((table.setdefault(u, len(table)) for u in units), np.int64, len(units)), list(table)
+    return pd.factorize(np.array(units, dtype=object))
+
+
 class Sampler:
     """Searches all texts of a chunk at the same time, so that each step is one array operation."""
 
@@ -250,7 +259,7 @@ class Sampler:
         units = [UNIT.findall(MARK + t.replace(MARK, OWN_MARK).replace(" ", MARK)) if t else [] for t in texts]
         counts = np.fromiter(map(len, units), np.int64, len(units))
         flat = [u for per in units for u in per]
-        code, words = pd.factorize(np.array(flat, dtype=object)) if flat else (np.zeros(0, np.int64), [])
+        code, words = _numbered(flat, any(MARK in t for t in texts))
         self.vocab, self.lattice = vocab, lattice(list(words), vocab) if flat else None
         self.code, self.starts = code, np.concatenate([[0], np.cumsum(counts)])
         self.text_of = np.repeat(np.arange(len(texts)), counts)

@@ -130,7 +130,7 @@ def parsed(page: str) -> tuple[list[Run], list[str]]:
         signature, marked = _named(m[4] or m[7] or "")
         path = top.path if name in INLINE else f"{top.path}/{name}{'.' if signature else ''}{signature}"
         tags.append(path if name not in INLINE else f"{path}/{name}")
-        if name in VOID or (m[4] or m[7] or "").endswith("/") and name in INLINE:
+        if name in VOID:
             continue
         links += name == "a"
         header = name == "header" and not top.article
@@ -146,8 +146,8 @@ def _hash(*parts: str) -> int:
 
 
 def run_token(run: Run) -> int:
-    """The token of a text run: its path and its text, without the numbers in it."""
-    return _hash(run.path, DIGITS.sub("0", " ".join(run.text.split())))
+    """The token of a text run: its path and its text."""
+    return _hash(run.path, " ".join(run.text.split()))
 
 
 def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,8 +171,11 @@ def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out.append((host, 0, "", key, 1, 0, False, 0.0))
             out += [(host, token, "", key, n, place, fixed, 0.0) for token, (n, place, fixed) in seen.items()]
             out += [(host, None, path, key, 0, 0, False, size) for path, size in sizes.items()]
-        yield pd.DataFrame(out, columns=["host", "token", "path", "page", "n", "place", "fixed", "worth"]).astype(
-            {"token": "Int64"})
+        names = ["host", "token", "path", "page", "n", "place", "fixed", "worth"]
+        columns = dict(zip(names, zip(*out)))
+        # Not through floats, which cannot hold a hash.
+        yield pd.DataFrame({**columns, "token": pd.array(columns["token"], dtype="Int64")} if out else columns,
+                           columns=names)
 
 
 def worth(run: Run) -> float:
@@ -186,7 +189,7 @@ def container(run: Run) -> str:
     for i, step in enumerate(steps):
         if step.partition(".")[0] in ARTICLES:
             return "/".join(steps[:i + 1])
-    return "/".join(steps[:-1]) if len(steps) > 2 else run.path
+    return "/".join(steps[:-1])
 
 
 def extracted(page: str, template: frozenset[int], main: str | None) -> str:
