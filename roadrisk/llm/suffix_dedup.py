@@ -287,7 +287,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
         _anchored(length, gram), "row long, first long, last long, at long, gram long, context long"), "anchors")
     grams = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"),
                                      F.max("context").alias("high")).where("n > 1")
-    found = written(held.join(grams.select("gram", (F.col("low") != F.col("high")).alias("mixed")), "gram"), "repeated")
+    # Stored first: a join of two plain shuffles is one whose large partitions Spark can split.
+    grams = written(grams.select("gram", (F.col("low") != F.col("high")).alias("mixed")), "grams")
+    found = written(held.join(grams, "gram"), "repeated")
     ids = written(docs.select(row_key("doc_id", "text").alias("row"), "doc_id").join(
         found.select("row").distinct(), "row", "left_semi").distinct(), "ids")
 
@@ -309,8 +311,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     strings = cut.where("hot").mapInPandas(
         _string_hashes(length), "string binary, doc_id long, row long, start long, gram long, context long, offset int")
     resolved = by_order.unionByName(_hot_spans(written(strings, "strings"), first))
-    judged = contexts.join(written(resolved, "resolved"), ["gram", "context"], "left").select(
-        "gram", "context", "mixed", "n", "least", "from", "to")
+    judged = written(contexts.join(written(resolved, "resolved"), ["gram", "context"], "left").select(
+        "gram", "context", "mixed", "n", "least", "from", "to"), "judged")
 
     whole = F.array(F.struct(F.col("first").alias("from"), F.col("last").alias("to")))
     part = F.transform(F.arrays_zip("from", "to"), lambda s: F.struct(
