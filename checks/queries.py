@@ -247,7 +247,7 @@ def incident_explode_coords(spark: SparkSession, sf: str) -> DataFrame:
            ifnull({_inc("properties.iconCategory")}, 'UNKNOWN') AS incident_type,
            CASE WHEN m < 3 THEN (['MINOR', 'MODERATE', 'MAJOR'])[m + 1] ELSE 'CRITICAL' END AS severity,
            ifnull({_inc("properties.events[0].description")}, 'No description') AS description,
-           ifnull(cast({_inc("properties.delay")} AS int) // 60, 0) AS delay_minutes, 0 AS length_meters,
+           ifnull(cast(round(cast({_inc("properties.delay")} AS int) / 60) AS int), 0) AS delay_minutes, 0 AS length_meters,
            0 AS affected_road_count,
            cast(replace(ifnull({_inc("properties.startTime")}, fetched_at), 'Z', '') AS timestamp) AS start_time,
            cast({_inc("properties.endTime")} AS timestamp) AS end_time, true AS is_active
@@ -445,9 +445,8 @@ def accident_weather_join(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("accident_weather_spread", "SELECT * FROM correlation", ("correlation",))
 def accident_weather_spread(spark: SparkSession, sf: str) -> DataFrame:
-    """The same join with every key of two rows or more spread over tasks, as a hot key is."""
-    rows = correlation.accident_weather(
-        staged_accidents(spark, sf), staged_hourly(spark, sf), AS_OF, at_least=1, salts=4)
+    """The same join with every key spread over four tasks, whatever its rows."""
+    rows = correlation.accident_weather(staged_accidents(spark, sf), staged_hourly(spark, sf), AS_OF, salts=4)
     return without(rows, "dbt_updated_at", "dbt_run_timestamp")
 
 
@@ -837,16 +836,20 @@ def _finish(query_handle) -> None:
 
 @query("stream_snapshot", "SELECT * FROM traffic_mart", ("traffic_mart",))
 def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """The mart as the stream's last micro-batch leaves it."""
+    """The mart of the newest poll, which comes in several files and micro-batches after an older one."""
     root = shared.scratch_path(spark, "snapshot")
+    lines = table(spark, sf, "lineitem")
+    older = lines.where(F.col("l_linenumber") == 1).withColumn("poll", F.lit(1))
+    lines.withColumn("poll", F.lit(2)).unionByName(older).repartition(
+        4, "l_orderkey").write.parquet(f"{root}/landed")
 
-    def stage(batch: DataFrame) -> DataFrame:
-        lines = tables.spread(batch, "l_orderkey")
-        return staging.stage_flow(raw(batch.sparkSession, sf, "traffic_flow_raw", lineitem=lines))
+    def stage(poll: DataFrame) -> DataFrame:
+        return staging.stage_flow(raw(poll.sparkSession, sf, "traffic_flow_raw", lineitem=poll.drop("poll")))
 
     _finish(landing.refresh_snapshot(
-        landing.table_stream(spark, f"{sf}/lineitem.parquet"),
-        [(stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress"))
+        landing.table_stream(spark, f"{root}/landed", max_files=1),
+        [(stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress",
+        f"{root}/polls", poll="poll"))
     return spark.read.parquet(f"{root}/mart")
 
 
@@ -858,10 +861,27 @@ def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
                        'NATION_' || (user_id % 25) AS city, count(*) AS n,
                        sum(cast(regexp_extract(props, '([0-9]+)', 1) AS int)) AS k
                 FROM events GROUP BY ALL))
-    WHERE pane_end + to_minutes(30 * i) <= (SELECT date_trunc('milliseconds', max(ts)) - to_hours(1) FROM events)
     GROUP BY ALL""")
 def stream_trailing(spark: SparkSession, sf: str) -> DataFrame:
-    """All windows that the watermark has closed."""
+    """All windows up to the present, those that are still open included."""
+    root = shared.scratch_path(spark, "trailing")
+    _finish(windows.refresh_panes(_events_stream(spark, sf), "ts", "city", ["level"], f"{root}/panes",
+                                  f"{root}/progress"))
+    return windows.trailing_now(spark, f"{root}/panes", "city", ["level"])
+
+
+@query("stream_trailing_closed", """
+    SELECT pane_end + to_minutes(30 * i) - to_hours(24) AS window_start, pane_end + to_minutes(30 * i) AS window_end,
+           city, cast(sum(n) AS bigint) AS readings, cast(sum(k) AS double) / sum(n) AS avg_level
+    FROM (SELECT *, unnest(range(48)) AS i
+          FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) + to_minutes(30) AS pane_end,
+                       'NATION_' || (user_id % 25) AS city, count(*) AS n,
+                       sum(cast(regexp_extract(props, '([0-9]+)', 1) AS int)) AS k
+                FROM events GROUP BY ALL))
+    WHERE pane_end + to_minutes(30 * i) <= (SELECT date_trunc('milliseconds', max(ts)) - to_hours(1) FROM events)
+    GROUP BY ALL""")
+def stream_trailing_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """All windows that the watermark has closed, appended once each."""
     root = shared.scratch_path(spark, "trailing")
     means = windows.trailing_means(_events_stream(spark, sf), "ts", "city", ["level"])
     _finish(landing.append_stream(means, f"{root}/out", f"{root}/progress"))

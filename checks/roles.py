@@ -14,7 +14,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from roadrisk.functions import fixed
-from roadrisk.sources.tables import spread
 
 AS_OF = "2024-02-01 00:00:00"
 # The driver's tables that the roles read, declared, so that no scan has to look its schema up.
@@ -30,7 +29,6 @@ SCHEMAS = {
                 "l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
-FACTS = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
 
 _FLAGS = ",\n".join(
     f"CASE (o_orderkey + {i}) % 5 WHEN 0 THEN 'True' WHEN 1 THEN ' true ' WHEN 2 THEN 'False' WHEN 3 THEN '1' END"
@@ -217,7 +215,7 @@ ROLES |= {
                    || {_key("id", _quoted("'i' || cast(o_orderkey AS string)"), "o_orderkey % 5 = 0")}
                    || {_key("iconCategory", _int("o_orderkey % 14"))}
                    || {_key("magnitudeOfDelay", _int("o_orderkey % 5"), "o_orderkey % 6 = 0")}
-                   || {_key("delay", _int("o_orderkey % 50 * 60"), "o_orderkey % 4 = 0")}
+                   || {_key("delay", _int("o_orderkey % 50 * 30 + o_orderkey % 3"), "o_orderkey % 4 = 0")}
                    || {_key("events", "'[{\"description\": \"' || o_orderpriority || '\", \"code\": 101}]'",
                             "o_orderkey % 3 = 0")}
                    || {_key("startTime", _quoted("cast(cast(o_orderdate AS date) AS string) || 'T10:00:00Z'"),
@@ -263,8 +261,7 @@ _NAME = re.compile(r"@(\w+)")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, FACTS[name]) if name in FACTS else rows
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw(spark: SparkSession, sf_dir: str, role: str, **instead: DataFrame) -> DataFrame:

@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.cities import with_box
-from .shared import BROADCAST_ROWS, written_and_small
 
-SALTS = 32
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
 GRID = 0.1
 
 
@@ -22,59 +15,17 @@ def _salt(spread_by: str, salts: int) -> Column:
     return F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
 
 
-def attach_summary(detail: DataFrame, summary: DataFrame, on: list[str], spread_by: str,
-                   limit: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Left-join one summary row per key to its detail rows.
+def spread_left_join(detail: DataFrame, lookup: DataFrame, on: list[str], spread_by: str, salts: int = 1) -> DataFrame:
+    """Left join that is planned without a look at the data.
 
-    The summary is written once and counted.  Within the limit it is broadcast,
-    so the detail rows are not shuffled at all; beyond it every key is spread
-    over ``salts`` tasks and the summary, which has one row per key, is repeated
-    for each of them.
+    With one salt it is the plain left join: Spark broadcasts a side by its size, or else splits the large partitions
+    of ``detail`` as it runs.  More salts spread every key of ``detail``, NULL included, by a hash of the row's own id
+    and repeat the lookup rows as often, whatever the sizes; that is for engines without adaptive execution.
     """
-    table, small = written_and_small(summary, "summary", limit)
-    if small:
-        return detail.join(F.broadcast(table), on, "left")
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return detail.withColumn("_salt", _salt(spread_by, salts)).join(repeated, [*on, "_salt"], "left").drop("_salt")
-
-
-def hot_keys(rows: DataFrame, on: list[str], at_least: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame | None:
-    """The most frequent keys with more than ``at_least`` rows, NULL keys included; None if there are none.
-
-    Counted with a map-side combine over the key columns alone.  ``most`` bounds
-    the list, which goes into the plan as a literal table; keys beyond it are
-    joined like any other.
-    """
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.where(F.col("_rows") > at_least).orderBy(F.col("_rows").desc(), *on).limit(most).select(*on)
-    keys = top.collect()
-    return rows.sparkSession.createDataFrame(keys, top.schema) if keys else None
-
-
-def _marked(rows: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
-    """Rows with ``_hot`` true where their key is in the short list."""
-    named = hot.select(*[F.col(name).alias(f"_hot_{name}") for name in on], F.lit(True).alias("_hot"))
-    same = reduce(and_, [rows[name].eqNullSafe(named[f"_hot_{name}"]) for name in on])
-    return rows.join(F.broadcast(named), same, "left").drop(*[f"_hot_{name}" for name in on])
-
-
-def spread_left_join(detail: DataFrame, lookup: DataFrame, on: list[str], spread_by: str,
-                     at_least: int | None = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Left join with the hot keys of ``detail`` spread over several tasks.
-
-    Only the lookup rows of hot keys are repeated.  Without hot keys this is the
-    plain left join, for which Spark picks broadcast or sort-merge by size.
-    Finding them reads the key columns once more, so ``detail`` is best a stored
-    table; ``at_least=None`` leaves skew to adaptive execution alone.
-    """
-    hot = None if at_least is None else hot_keys(detail, on, at_least)
-    if hot is None:
+    if salts < 2:
         return detail.join(lookup, on, "left")
-    spread = _marked(detail, hot, on).withColumn(
-        "_salt", F.when(F.col("_hot"), _salt(spread_by, salts)).otherwise(F.lit(0))).drop("_hot")
-    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
-    repeated = _marked(lookup, hot, on).withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
-    return spread.join(repeated, [*on, "_salt"], "left").drop("_salt")
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return detail.withColumn("_salt", _salt(spread_by, salts)).join(repeated, [*on, "_salt"], "left").drop("_salt")
 
 
 def inside_city_boxes(points: DataFrame, cities: DataFrame, latitude: str = "latitude",

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A side with at most this many rows may be broadcast: aggregate rows of a few
-# hundred bytes, so some tens of megabytes at the very most.
-BROADCAST_ROWS = 100_000
-
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor reaches, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only for a local master without that setting.
+    A machine-local folder is made only for a local master without that setting; it goes when the program ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="roadrisk-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -37,9 +36,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def written_and_small(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """The written table and whether its row count, read from the file footers, is within the limit."""
-    table = written(df, name)
-    return table, table.count() <= limit

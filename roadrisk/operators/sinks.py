@@ -2,29 +2,82 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..functions.times import Moment, clock, today
 
+STAGED, PREVIOUS = "__new-", "__previous"
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder where it is stored; false if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old, new = path(source), path(target)
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(old):
+        return False
+    if not system.rename(old, new):
+        raise OSError(f"cannot rename {source} to {target}")
+    return True
+
+
+def _dropped(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def replace(rows: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Snapshot replace: afterwards the table holds exactly these rows.
 
+    The new version is written whole beside the table and takes its place by
+    renaming, so readers never see a half-written table, rows may come from the
+    table itself, and a failed write leaves it as it was.  If the job dies
+    between the two renames, the next replace or ``existing`` puts the old
+    version back.
+
     Before a partitioned write the rows are rebalanced on the partition columns,
     which keeps the files few and still splits a partition that is large.
     """
+    spark, path = rows.sparkSession, path.rstrip("/")
+    staged = f"{path}{STAGED}{uuid.uuid4().hex}"
     if partition_by:
-        rows.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(staged)
     else:
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.parquet(staged)
+    _restore(spark, path)
+    had = _moved(spark, path, path + PREVIOUS)
+    _moved(spark, staged, path)
+    if had:
+        _dropped(spark, path + PREVIOUS)
+    # The session may hold the file list of the version before.
+    spark.catalog.refreshByPath(path)
+
+
+def _restore(spark: SparkSession, path: str) -> None:
+    """Finish what a job left undone: the version before is the table if there is none, and else of no use."""
+    kind = spark._jvm.org.apache.hadoop.fs.Path
+    system = kind(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(kind(path + PREVIOUS)):
+        if system.exists(kind(path)):
+            _dropped(spark, path + PREVIOUS)
+        else:
+            _moved(spark, path + PREVIOUS, path)
 
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None if there is none.  A damaged table is an error, not a missing one."""
+    _restore(spark, path.rstrip("/"))
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -42,11 +95,17 @@ def refresh_once_a_day(rows: DataFrame, path: str, as_of: Moment = None) -> bool
 
 
 def append(rows: DataFrame, path: str, new_by: list[str] | None = None) -> None:
-    """Append; with ``new_by`` only rows whose key the table does not hold yet."""
+    """Append; with ``new_by`` only rows whose key the table does not hold yet, one row per key.
+
+    NULL is a key like any other, so a row without a key gets in once.
+    """
     if new_by:
+        rows = rows.dropDuplicates(new_by)
         table = existing(rows.sparkSession, path)
         if table is not None:
-            rows = rows.join(table.select(*new_by), new_by, "left_anti")
+            held = table.select(*[F.col(name).alias(f"_held_{name}") for name in new_by])
+            same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_held_{name}")) for name in new_by])
+            rows = rows.join(held, same, "left_anti")
     rows.write.mode("append").parquet(path)
 
 

@@ -23,7 +23,7 @@ LIGHT_COLUMNS = ("sunrise_sunset", "civil_twilight")
 
 
 def accident_weather(accidents: DataFrame, weather: DataFrame, as_of: Moment = None,
-                     run_started_at: str | None = None, **spread: int) -> DataFrame:
+                     run_started_at: str | None = None, salts: int = 1) -> DataFrame:
     """All accidents, matched on city, day and hour; no rows at all while there is no weather.
 
     A repeated weather key repeats the accident, as in any left join.
@@ -33,7 +33,7 @@ def accident_weather(accidents: DataFrame, weather: DataFrame, as_of: Moment = N
                     F.col("accident_date").alias("date"), F.col("accident_hour").alias("hour")))
     measured = weather.withColumnRenamed("wind_deg", "wind_direction_deg")
     right = measured.select(*KEYS, *[F.col(name).alias(f"w_{name}") for name in fixed.WEATHER_MATCH_DEFAULTS])
-    joined = spread_left_join(left, right, KEYS, spread_by="accident_id", **spread)
+    joined = spread_left_join(left, right, KEYS, spread_by="accident_id", salts=salts)
 
     matched = joined.withColumns({
         name: F.coalesce(F.col(f"w_{name}"), F.lit(default))

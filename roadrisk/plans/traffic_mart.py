@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import indicator
 from ..functions.traffic import against_city, congestion_score
-from ..operators.joins import attach_summary
 
 MART_ORDER = ("congestion_score", "city", "road_name")
 
@@ -40,7 +39,8 @@ def traffic_mart(staged: DataFrame) -> DataFrame:
         "city", "state", F.col("avg_congestion_score").alias("city_avg_congestion"),
         F.col("total_segments").alias("city_total_segments"),
         F.col("closed_roads_count").alias("city_closed_roads"))
-    joined = attach_summary(scored, context, ["city", "state"], spread_by="flow_id")
+    # The summary has one row per city: Spark sees its size before the join runs.
+    joined = scored.join(context, ["city", "state"], "left")
     score, average = F.col("congestion_score"), F.col("city_avg_congestion")
     return joined.select(
         "flow_id", "city", "state", "road_name", "timestamp", "latitude", "longitude",

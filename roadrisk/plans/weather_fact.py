@@ -9,7 +9,6 @@ from ..functions import fixed
 from ..functions.bands import any_of, below
 from ..functions.times import Moment, clock, day_period
 from ..functions.weather import comfort_fact, compass_fact
-from ..operators.joins import attach_summary
 from ..operators.ranking import Ranking, row_numbers
 from ..operators.shared import written
 
@@ -65,7 +64,7 @@ def weather_fact(staged: DataFrame, as_of: Moment = None, partitions: int | None
     # NULL regions form one group, as in a window; the join needs a key for them.
     keyed = rows.withColumn("_region", F.coalesce("region", F.lit(NO_REGION)))
     regions = region_summary(rows).withColumn("_region", F.coalesce("region", F.lit(NO_REGION))).drop("region")
-    compared = attach_summary(keyed, regions, ["_region"], spread_by=ROW_KEY).drop("_region")
+    compared = keyed.join(regions, "_region", "left").drop("_region")
 
     state = rows.agg(F.struct(
         F.avg("temperature_f").alias("avg_temp"), F.max("temperature_f").alias("max_temp"),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.times import Moment, today
 
-SPREAD_TASKS = 32
 LAYERS = ("raw", "raw_archive", "staging", "analytics", "marts", "ml_predictions")
 
 
@@ -23,17 +22,6 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str, schema: s
     return reader.parquet(table_path(root, layer, table))
 
 
-def spread(rows: DataFrame, by: str) -> DataFrame:
-    """A scan of a few splits, dealt out to several tasks by a row id.
-
-    For small inputs that lie in one file and feed costly row work, such as
-    parsing.  A large table has more splits and is left alone; filters and
-    column pruning still reach the scan.
-    """
-    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS)
-    return rows.repartition(tasks, by) if rows.rdd.getNumPartitions() < tasks else rows
-
-
 def trailing_days(rows: DataFrame, time: str, as_of: Moment = None, days: int = fixed.EXTRACT_DAYS) -> DataFrame:
     """Rows of the last ``days`` days up to today, both ends included.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import schemas
 from ..operators import sinks
@@ -14,6 +15,7 @@ from ..sources.payloads import CORRUPT, parsed
 
 Stage = Callable[[DataFrame], DataFrame]
 GOOD, BROKEN = "good", "broken"
+BATCH = "_batch"
 
 
 def landed_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -37,21 +39,42 @@ def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoint: str,
-                     every: str | None = None) -> StreamingQuery:
-    """Rebuild a chain of tables from each micro-batch, so only the newest snapshot lives.
+def keep_batch(batch: DataFrame, number: int, path: str) -> None:
+    """Store a micro-batch in a folder of its own; a repeated batch takes the place of its first try."""
+    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+
+
+def kept_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All stored micro-batches, with the number of each in ``_batch``."""
+    return spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(path)
+
+
+def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoint: str, landed: str,
+                     poll: str = "fetched_at", every: str | None = None) -> StreamingQuery:
+    """Rebuild a chain of tables from the newest poll, so only the newest snapshot lives.
+
+    A poll is all rows with the same value of ``poll``, and may span several
+    micro-batches: each batch is stored below ``landed`` first, and the tables
+    are built from all stored rows of the newest poll, which later rows of
+    older polls do not change.
 
-    Every step is a plan and a path; the first plan reads the batch, each later
-    one the table before it.  A repeated batch overwrites with the same rows, so
-    a restart after a failure changes nothing.
+    Every step is a plan and a path; the first plan reads the poll, each later
+    one the table before it.  A repeated batch gives the same rows, so a restart
+    after a failure changes nothing.
     """
-    def rebuild(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
+    schema = stream.schema
+
+    def rebuild(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        keep_batch(batch, number, landed)
+        held = kept_batches(spark, landed, schema)
+        newest = held.agg(F.max(poll).alias("newest")).first()["newest"]
+        if newest is None:
             return
-        rows = batch
+        rows = held.where(F.col(poll) == F.lit(newest)).drop(BATCH)
         for plan, path in steps:
             sinks.replace(plan(rows), path)
-            rows = batch.sparkSession.read.parquet(path)
+            rows = spark.read.parquet(path)
 
     writer = stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()

@@ -6,9 +6,13 @@ under a UTC session and back to ``timestamp_ntz`` on output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from threading import Event
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from . import landing
 
 EVENT = "_event_time"
 
@@ -41,9 +45,77 @@ def trailing_means(rows: DataFrame, time: str, key: str, measures: list[str], le
         *[F.try_divide(f"_sum_{name}", f"_n_{name}").alias(f"avg_{name}") for name in measures])
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came too late for the state, as counted in the query's progress reports."""
-    return sum(step.numRowsDroppedByWatermark for report in query.recentProgress for step in report.stateOperators)
+def refresh_panes(rows: DataFrame, time: str, key: str, measures: list[str], path: str, checkpoint: str,
+                  slide: str = "30 minutes", delay: str = "1 hour", every: str | None = None) -> StreamingQuery:
+    """Keep sums per key and pane of one slide up to the present, open panes included.
+
+    In update mode each micro-batch gives the new sums of the panes it touched.
+    They are stored by batch, so a repeated batch replaces itself, and
+    ``trailing_now`` reads the last sums of each pane.
+    """
+    timed = with_event_time(rows, time, delay)
+    panes = timed.groupBy(F.window(EVENT, slide).alias("pane"), F.col(key)).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(name).alias(f"_sum_{name}") for name in measures],
+        *[F.count(name).alias(f"_n_{name}") for name in measures])
+    flat = panes.select(F.col("pane.end").cast("timestamp_ntz").alias("pane_end"), "*").drop("pane")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        landing.keep_batch(batch, number, path)
+
+    writer = flat.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def trailing_now(spark: SparkSession, path: str, key: str, measures: list[str], length: str = "24 hours",
+                 slide: str = "30 minutes") -> DataFrame:
+    """Count and means per key over every window of ``length`` that ends on a slide, also those still open.
+
+    Reads the panes of ``refresh_panes``; equals the windows of a batch over all rows that were not late.
+    """
+    stored = spark.read.option("basePath", path).parquet(path)
+    sums = ["_rows", *[f"_sum_{name}" for name in measures], *[f"_n_{name}" for name in measures]]
+    last = stored.groupBy("pane_end", key).agg(F.max_by(F.struct(*sums), landing.BATCH).alias("s")).select(
+        "pane_end", key, "s.*")
+    step, whole = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {length}")
+    ends = F.explode(F.sequence(F.col("pane_end"), F.col("pane_end") + whole - step, step)).alias("window_end")
+    windows = last.select(key, *sums, ends).groupBy("window_end", key).agg(*[F.sum(name).alias(name) for name in sums])
+    return windows.select(
+        (F.col("window_end") - whole).alias("window_start"), "window_end", key, F.col("_rows").alias("readings"),
+        *[F.try_divide(f"_sum_{name}", f"_n_{name}").alias(f"avg_{name}") for name in measures])
+
+
+class LateRows(StreamingQueryListener):
+    """Rows that came too late for the state, added up over all batches of each run.
+
+    A query keeps only its last progress reports; a listener sees every one.
+    Register with ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self._ended: dict[str, Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._ended.setdefault(str(event.runId), Event())
+
+    def onQueryProgress(self, event) -> None:
+        run, report = str(event.progress.runId), event.progress
+        self.rows[run] = self.rows.get(run, 0) + sum(step.numRowsDroppedByWatermark for step in report.stateOperators)
+        self.batches[run] = self.batches.get(run, 0) + 1
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.setdefault(str(event.runId), Event()).set()
+
+    def total(self, query: StreamingQuery, seconds: float = 30.0) -> int:
+        """The late rows of a run that has ended; its last reports come before the one of its end."""
+        run = str(query.runId)
+        self._ended.setdefault(run, Event()).wait(seconds)
+        return self.rows.get(run, 0)
 
 
 def first_of_each(rows: DataFrame, keys: list[str], time: str, delay: str = "1 hour") -> DataFrame:

@@ -31,15 +31,9 @@ def lookup(spark):
     return spark.createDataFrame(rows, "key string, value int")
 
 
-def test_hot_keys_are_found_and_bounded(skewed):
-    assert {r.key for r in joins.hot_keys(skewed, ["key"], at_least=150).collect()} == {"hot", None}
-    assert joins.hot_keys(skewed, ["key"], at_least=10, most=5).count() == 5
-    assert joins.hot_keys(skewed, ["key"], at_least=5000) is None
-
-
-@pytest.mark.parametrize("at_least", [0, 150, 10_000])
-def test_spread_join_is_a_left_join(skewed, lookup, at_least):
-    spread = joins.spread_left_join(skewed, lookup, ["key"], spread_by="id", at_least=at_least, salts=8)
+@pytest.mark.parametrize("salts", [1, 2, 8])
+def test_spread_join_is_a_left_join(skewed, lookup, salts):
+    spread = joins.spread_left_join(skewed, lookup, ["key"], spread_by="id", salts=salts)
     assert same(spread, skewed.join(lookup, ["key"], "left"))
 
 
@@ -47,7 +41,7 @@ def test_hot_rows_get_several_salts(spark, skewed, lookup):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = joins.spread_left_join(skewed, lookup, ["key"], spread_by="id", at_least=150, salts=16)
+        spread = joins.spread_left_join(skewed, lookup, ["key"], spread_by="id", salts=16)
         where = spread.where("key = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
         plain = skewed.join(lookup, ["key"], "left").where("key = 'hot'").select(
             F.spark_partition_id().alias("p")).distinct().count()
@@ -57,12 +51,39 @@ def test_hot_rows_get_several_salts(spark, skewed, lookup):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_summary_join(skewed, limit):
-    summary = skewed.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
-    joined = joins.attach_summary(skewed, summary, ["key"], spread_by="id", limit=limit, salts=4)
-    assert same(joined, skewed.join(summary, ["key"], "left"))
-    assert ("BroadcastHashJoin" in plan_text(joined)) or limit == 3
+def test_adaptive_execution_splits_the_hot_key(spark):
+    """The plain join of a hot key runs in more tasks than the shuffle has partitions."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        detail = shared.written(spark.range(60_000).repartition(8).selectExpr(
+            "id", "if(id % 2 = 0, 'hot', concat('k', id % 500)) AS key", "uuid() AS filler"), "detail")
+        lookup = shared.written(spark.range(500).selectExpr("concat('k', id) AS key", "id AS value").union(
+            spark.createDataFrame([("hot", -1)], "key string, value long")), "lookup")
+        joined = joins.spread_left_join(detail, lookup, ["key"], spread_by="id")
+        out = shared.written(joined.withColumn("p", F.spark_partition_id()), "joined").where("value = -1")
+        assert out.count() == 30_000 and out.select("p").distinct().count() > 1
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_planning_a_join_runs_no_job(spark, skewed, lookup):
+    from roadrisk import schemas
+    from roadrisk.plans import staging, traffic_mart
+    flow = staging.stage_flow(spark.createDataFrame([], schemas.TRAFFIC_FLOW_RAW))
+    tracker, group = spark.sparkContext.statusTracker(), "planning"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        joins.spread_left_join(skewed, lookup, ["key"], spread_by="id")
+        traffic_mart.traffic_mart(flow)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_boxes_match_brute_force(spark):

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import AnalysisException
 from conftest import AS_OF, one, plan_text
 
 from roadrisk import schemas
@@ -40,6 +42,40 @@ def test_append_with_and_without_keys(spark, tmp_path):
     assert ids(spark, path) == [1, 2, 3, 3]
 
 
+def test_appended_keys_are_unique_and_null_is_a_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in ((1, 1, 2, None), (3, 3, 2, None, None)):
+        sinks.append(numbers(spark, *batch), path, new_by=["id"])
+    assert sorted(str(r.id) for r in spark.read.parquet(path).collect()) == ["1", "2", "3", "None"]
+
+
+def test_a_damaged_table_is_not_a_missing_one(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "_temporary").mkdir()
+    with pytest.raises(AnalysisException):
+        sinks.append(numbers(spark, 1), str(path), new_by=["id"])
+    with pytest.raises(AnalysisException):
+        sinks.refresh_once_a_day(numbers(spark, 1), str(path), AS_OF)
+    assert sinks.existing(spark, str(tmp_path / "none")) is None
+
+
+def test_a_failed_replace_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace(numbers(spark, 1, 2), path)
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace(numbers(spark, 3).selectExpr("if(id = 3, raise_error('stop'), id) AS id"), path)
+    assert ids(spark, path) == [1, 2]
+    # Rows may come from the table itself.
+    sinks.replace(spark.read.parquet(path).selectExpr("id + 10 AS id"), path)
+    assert ids(spark, path) == [11, 12]
+    # A job that died between the two renames.
+    (tmp_path / "t").rename(tmp_path / f"t{sinks.PREVIOUS}")
+    assert sorted(r.id for r in sinks.existing(spark, path).collect()) == [11, 12]
+    sinks.replace(numbers(spark, 4), path)
+    assert ids(spark, path) == [4] and not (tmp_path / f"t{sinks.PREVIOUS}").exists()
+
+
 def test_audit_keeps_present_values(spark):
     rows = spark.sql("SELECT * FROM VALUES (1, 'feed'), (2, NULL) AS t(id, data_source)")
     audited = {r.id: r for r in sinks.with_audit(rows, AS_OF, "archive").collect()}

@@ -35,14 +35,19 @@ def test_snapshot_keeps_the_newest_batch(spark, tmp_path):
 
     def refresh():
         run(landing.refresh_snapshot(landing.landed_stream(spark, str(landed), max_files=1), [
-            (stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress"))
+            (stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress",
+            f"{root}/polls"))
         return {(r.city, r.congestion_score) for r in spark.read.parquet(f"{root}/mart").collect()}
 
-    land(landed, "1.json", answer("Fresno", 15), answer("Oakland", 60))
+    first, second = "2024-01-31 10:00:00", "2024-01-31 10:30:00"
+    land(landed, "1.json", answer("Fresno", 15, first), answer("Oakland", 60, first))
     assert refresh() == {("Fresno", 100), ("Oakland", 10)}
-    land(landed, "2.json", answer("Fresno", 30), answer("Fresno", "?"))
-    assert refresh() == {("Fresno", 80)}
-    assert refresh() == {("Fresno", 80)}
+    # One poll in three files, each a micro-batch of its own, and a row of the poll before that comes late.
+    land(landed, "2.json", answer("Fresno", 30, second), answer("Fresno", "?", second))
+    land(landed, "3.json", answer("Oakland", 15, second))
+    land(landed, "4.json", answer("San Jose", 60, second), answer("Long Beach", 60, first))
+    assert refresh() == {("Fresno", 80), ("Oakland", 100), ("San Jose", 10)}
+    assert refresh() == {("Fresno", 80), ("Oakland", 100), ("San Jose", 10)}
 
 
 def test_quarantine_leaves_other_rows_alone(spark, tmp_path):
@@ -86,19 +91,59 @@ def test_trailing_windows_equal_the_batch(spark, tmp_path):
     assert got == expected
 
 
-def test_late_rows_are_dropped(spark, tmp_path):
+def test_open_windows_equal_the_batch(spark, tmp_path):
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(str(i), rng.choice("ab"), start + dt.timedelta(minutes=10 * i + rng.randrange(30)),
+             None if i % 7 == 0 else float(rng.randrange(9))) for i in range(90)]
+
+    def refresh(part):
+        readings(spark, tmp_path / "in", part)
+        run(windows.refresh_panes(landing.table_stream(spark, str(tmp_path / "in")), "ts", "city", ["level"],
+                                  str(tmp_path / "panes"), str(tmp_path / "progress")))
+        out = windows.trailing_now(spark, str(tmp_path / "panes"), "city", ["level"], "3 hours")
+        return {(r.window_end, r.city): (r.window_start, r.readings, r.avg_level) for r in out.collect()}
+
+    for upto in (50, 90):
+        got = refresh(rows[upto - 50 if upto == 50 else 50:upto])
+        expected, end = {}, start + dt.timedelta(minutes=30)
+        while end <= max(r[2] for r in rows[:upto]) + dt.timedelta(hours=3, minutes=30):
+            for city in "ab":
+                inside = [r for r in rows[:upto] if r[1] == city and end - dt.timedelta(hours=3) <= r[2] < end]
+                levels = [r[3] for r in inside if r[3] is not None]
+                if inside:
+                    expected[end, city] = (end - dt.timedelta(hours=3), len(inside),
+                                           sum(levels) / len(levels) if levels else None)
+            end += dt.timedelta(minutes=30)
+        assert got == expected
+
+
+def test_late_rows_are_dropped_and_all_counted(spark, tmp_path):
     hour = dt.timedelta(hours=1)
     start = dt.datetime(2024, 1, 1)
+    late = windows.LateRows()
+    spark.streams.addListener(late)
+
     def refresh():
-        stream = landing.table_stream(spark, str(tmp_path / "in"))
+        stream = landing.table_stream(spark, str(tmp_path / "in"), max_files=1)
         means = windows.trailing_means(stream, "ts", "city", ["level"], "2 hours", "1 hour", "1 hour")
         query = landing.append_stream(means, str(tmp_path / "out"), str(tmp_path / "progress"))
         run(query)
-        return windows.late_rows(query)
-    readings(spark, tmp_path / "in", [("1", "a", start, 1.0), ("2", "a", start + 30 * hour, 2.0)])
-    assert refresh() == 0
-    readings(spark, tmp_path / "in", [("3", "a", start, 50.0), ("4", "a", start + 40 * hour, 4.0)])
-    assert refresh() == 1
+        return query
+
+    try:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+        readings(spark, tmp_path / "in", [("1", "a", start, 1.0), ("2", "a", start + 30 * hour, 2.0)])
+        assert late.total(refresh()) == 0
+        # More late batches than the query keeps reports of.
+        for i in range(5):
+            readings(spark, tmp_path / "in", [(f"l{i}", "a", start, 50.0)])
+        readings(spark, tmp_path / "in", [("4", "a", start + 40 * hour, 4.0)])
+        query = refresh()
+        assert late.total(query) == 5 and late.batches[str(query.runId)] > 2
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(late)
     means = {r.window_end: r.avg_level for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert means[start + hour] == 1.0 and means[start + 31 * hour] == 2.0
     assert 50.0 not in means.values()
