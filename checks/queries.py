@@ -92,10 +92,6 @@ def rounded(rows: DataFrame, digits: int, *names: str) -> DataFrame:
     return rows.withColumns({name: F.round(F.col(name), digits) for name in names})
 
 
-def without(rows: DataFrame, *names: str) -> DataFrame:
-    return rows.drop(*names)
-
-
 # --- sources ---------------------------------------------------------------------------------------
 
 _CSV_HEADERS = {name: header for header, name in fixed.rows(fixed.ACCIDENT_COLUMNS, header=False)}
@@ -438,16 +434,19 @@ def segment_speed(spark: SparkSession, sf: str) -> DataFrame:
 # --- accidents and weather ------------------------------------------------------------------------------------------
 
 
-@query("accident_weather_join", "SELECT * FROM correlation", ("correlation",))
+_STAMPED = f"""SELECT *, {NOW} AS dbt_updated_at, strftime({NOW}, '%Y-%m-%d %H:%M:%S') AS dbt_run_timestamp
+    FROM correlation"""
+
+
+@query("accident_weather_join", _STAMPED, ("correlation",))
 def accident_weather_join(spark: SparkSession, sf: str) -> DataFrame:
-    return without(correlated(spark, sf), "dbt_updated_at", "dbt_run_timestamp")
+    return correlated(spark, sf)
 
 
-@query("accident_weather_spread", "SELECT * FROM correlation", ("correlation",))
+@query("accident_weather_spread", _STAMPED, ("correlation",))
 def accident_weather_spread(spark: SparkSession, sf: str) -> DataFrame:
     """The same join with every key spread over four tasks, whatever its rows."""
-    rows = correlation.accident_weather(staged_accidents(spark, sf), staged_hourly(spark, sf), AS_OF, salts=4)
-    return without(rows, "dbt_updated_at", "dbt_run_timestamp")
+    return correlation.accident_weather(staged_accidents(spark, sf), staged_hourly(spark, sf), AS_OF, salts=4)
 
 
 @query("safety_city_severity", "SELECT * FROM safety_city", ("safety_city",))
@@ -470,7 +469,7 @@ def safety_hotspots(spark: SparkSession, sf: str) -> DataFrame:
     return safety_mart.hot_spots(correlated(spark, sf))
 
 
-@query("safety_mart", """
+@query("safety_mart", f"SELECT *, {NOW} AS dashboard_updated_at FROM (" + """
     SELECT 'city_severity' AS metric_type, city, county, state, severity_label AS category, accident_count,
            avg_risk_score, weather_related_count, infrastructure_related_count, cast(NULL AS varchar) AS detail
     FROM safety_city
@@ -481,10 +480,10 @@ def safety_hotspots(spark: SparkSession, sf: str) -> DataFrame:
                      accident_count, avg_risk_score, weather_related_count, 0, sunrise_sunset FROM safety_times
     UNION ALL SELECT 'high_risk_location', city, county, state, street, accident_count, avg_risk_score,
                      weather_related_accidents, junction_accidents + traffic_signal_accidents, max_risk_category
-              FROM safety_spots""", ("safety_city", "safety_conditions", "safety_times", "safety_spots"))
+              FROM safety_spots)""", ("safety_city", "safety_conditions", "safety_times", "safety_spots"))
 def safety_mart_query(spark: SparkSession, sf: str) -> DataFrame:
     mart = safety_mart.safety_mart(correlated(spark, sf), AS_OF)
-    return without(safety_mart.ordered_mart(mart), "dashboard_updated_at")
+    return safety_mart.ordered_mart(mart)
 
 
 @query("heat_map", """
@@ -519,10 +518,9 @@ _FACT = f"""
           FROM current_metrics WINDOW r AS (PARTITION BY region))"""
 
 
-@query("weather_fact", _FACT, ("current_metrics",))
+@query("weather_fact", f"SELECT *, {NOW} AS mart_created_at FROM ({_FACT})", ("current_metrics",))
 def weather_fact_query(spark: SparkSession, sf: str) -> DataFrame:
-    rows = weather_fact.weather_fact(staging.stage_weather_current(current(spark, sf)), AS_OF)
-    return without(rows, "mart_created_at")
+    return weather_fact.weather_fact(staging.stage_weather_current(current(spark, sf)), AS_OF)
 
 
 # --- forecast ----------------------------------------------------------------------------------------------------------
@@ -578,6 +576,24 @@ def forecast_ols(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(trend_forecast(spark, sf, trained), 6, *_BOUNDS)
 
 
+@query("forecast_skipped", """
+    SELECT city, count(*) AS n,
+           CASE WHEN count(*) < 14 THEN 'fewer than 14 days' ELSE 'a single day' END AS reason
+    FROM training_view GROUP BY city HAVING count(*) < 14 OR count(DISTINCT date) < 2""", ("training_view",))
+def forecast_skipped(spark: SparkSession, sf: str) -> DataFrame:
+    """The cities without a trend, and why."""
+    return forecast.skipped_series(features.training_view(training(spark, sf), AS_OF))
+
+
+@query("forecast_city_ridge", "SELECT city, count(*) AS n, true AS solved FROM training_view GROUP BY city",
+       ("training_view",))
+def forecast_city_ridge(spark: SparkSession, sf: str) -> DataFrame:
+    """Each city's regression, with its residuals times each feature against what the penalty makes of them."""
+    view = shared.written(features.training_view(training(spark, sf), AS_OF), "training")
+    gaps = forecast.ridge_residuals(view, forecast.fit_city_ridge(view))
+    return gaps.select("city", "n", (F.col("gap") < 1e-6).alias("solved"))
+
+
 @query("forecast_ml")
 def forecast_ml(spark: SparkSession, sf: str) -> DataFrame:
     """Iterative fit: no SQL form.  ``tests/test_forecast.py`` bounds its distance from ``forecast_ols``."""

@@ -7,6 +7,7 @@ on its own.  Staging models stay lazy views; analytics and marts are tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import schemas
 from .functions.times import Moment
@@ -25,6 +26,14 @@ def _raw(spark: SparkSession, root: str, layer: str, table: str, schema: str) ->
     return read_table(spark, root, layer, table, schema)
 
 
+def _quarantine(root: str, source: str, landed: DataFrame, schema: str, as_of: Moment) -> None:
+    """Broken answers of one load, with the reason; the good ones of the load go on without them."""
+    broken = payloads.unreadable(landed, schema).select(
+        F.lit(source).alias("source"), "city", "fetched_at", payloads.CORRUPT, F.lit("broken JSON").alias("reason"))
+    sinks.append(sinks.with_audit(broken, as_of), table_path(root, "raw", "quarantine"),
+                 new_by=["source", "city", "fetched_at", payloads.CORRUPT])
+
+
 # --- loads --------------------------------------------------------------------------------------
 
 
@@ -40,7 +49,9 @@ def load_accidents(spark: SparkSession, root: str, csv_path: str, as_of: Moment
 
 def load_weather_history(spark: SparkSession, root: str, landed_path: str, as_of: Moment = None) -> None:
     """Hourly answers of the last days into the raw table and the cleaned one."""
-    hours = payloads.hourly_weather(_landed(spark, landed_path), cities.city_dimension(spark))
+    landed = _landed(spark, landed_path)
+    _quarantine(root, "hourly weather", landed, schemas.HOURLY_PAYLOAD, as_of)
+    hours = payloads.hourly_weather(landed, cities.city_dimension(spark))
     recent = sinks.with_audit(trailing_days(hours, "timestamp_utc", as_of), as_of, "hourly answers")
     sinks.replace(recent, table_path(root, "raw_archive", "weather_california_historical_raw"))
     stored = _raw(spark, root, "raw_archive", "weather_california_historical_raw", schemas.WEATHER_HISTORICAL_RAW)
@@ -50,7 +61,9 @@ def load_weather_history(spark: SparkSession, root: str, landed_path: str, as_of
 
 def load_current_weather(spark: SparkSession, root: str, landed_path: str, as_of: Moment = None) -> None:
     """Current answers as a snapshot: raw table, cleaned table and weather fact."""
-    now = payloads.current_weather(_landed(spark, landed_path), cities.city_dimension(spark))
+    landed = _landed(spark, landed_path)
+    _quarantine(root, "current weather", landed, schemas.CURRENT_PAYLOAD, as_of)
+    now = payloads.current_weather(landed, cities.city_dimension(spark))
     sinks.replace(sinks.with_audit(now, as_of, "current answers"),
                   table_path(root, "raw", "weather_california_realtime_raw"))
     stored = _raw(spark, root, "raw", "weather_california_realtime_raw", schemas.WEATHER_REALTIME_RAW)
@@ -63,6 +76,8 @@ def load_traffic(spark: SparkSession, root: str, flow_path: str, incident_path:
     """Flow and incident answers as a snapshot: raw tables, cleaned tables and the traffic mart."""
     dimension = cities.city_dimension(spark)
     flow, incidents = _landed(spark, flow_path), _landed(spark, incident_path)
+    _quarantine(root, "flow", flow, schemas.FLOW_PAYLOAD, as_of)
+    _quarantine(root, "incidents", incidents, schemas.INCIDENTS_PAYLOAD, as_of)
     for name, rows in (("traffic_flow_raw", sinks.with_audit(payloads.flow_raw(flow, dimension), as_of)),
                        ("traffic_flow_realtime", payloads.flow_cleaned(flow, dimension)),
                        ("traffic_incidents_raw", sinks.with_audit(payloads.incidents_raw(incidents, dimension), as_of)),
@@ -92,7 +107,8 @@ def build_safety(spark: SparkSession, root: str, as_of: Moment = None) -> None:
 def build_forecast(spark: SparkSession, root: str, as_of: Moment = None, method: str = "trend") -> DataFrame:
     """Training, future, forecast and adjusted tables; returns the risk assessment as a lazy view.
 
-    ``method`` is ``trend`` (per city, closed form) or ``features`` (one linear model).
+    ``method`` is ``trend`` (per city, closed form), ``features`` (per city, ridge regression on the features) or
+    ``pooled`` (one linear model of all cities).  Cities that the trend leaves out are listed with the reason.
     """
     def keep(rows: DataFrame, table: str) -> DataFrame:
         sinks.replace(rows, table_path(root, "ml_predictions", table))
@@ -109,7 +125,10 @@ def build_forecast(spark: SparkSession, root: str, as_of: Moment = None, method:
     future = keep(features.future_features(view, now, as_of), "future_exogenous_data")
     if method == "trend":
         predicted = forecast.forecast_trend(forecast.fit_trend(view, as_of), future, as_of)
+        keep(forecast.skipped_series(view), "accident_forecast_skipped")
     elif method == "features":
+        predicted = forecast.forecast_city_ridge(forecast.fit_city_ridge(view), future)
+    elif method == "pooled":
         predicted = forecast.forecast_features(*forecast.fit_features(view), future)
     else:
         raise ValueError(f"unknown method {method!r}")

@@ -5,11 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed, risk
 from ..functions.bands import flag
@@ -18,6 +21,7 @@ from .features import latest_traffic, latest_weather_for_adjustment
 
 MIN_POINTS = 14
 Z = 1.96
+PENALTY = 1.0
 WEEKDAYS = range(7)
 
 
@@ -71,6 +75,81 @@ def forecast_trend(model: DataFrame, future: DataFrame, as_of: Moment = None, z:
         estimate.alias("forecast"), (estimate - margin).alias("lower_bound"), (estimate + margin).alias("upper_bound"))
 
 
+def skipped_series(view: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
+    """The cities that ``fit_trend`` leaves out, with their days and the reason."""
+    days = view.groupBy("city").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("date").alias("_dates"))
+    reason = F.when(F.col("n") < min_points, F.lit(f"fewer than {min_points} days")).when(
+        F.col("_dates") < 2, F.lit("a single day"))
+    return days.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("_dates")
+
+
+def _design() -> list[Column]:
+    return [F.lit(1.0), *[F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in fixed.TRAINING_FEATURES]]
+
+
+def _solved(sums: pd.DataFrame, penalty: float) -> pd.DataFrame:
+    """Coefficients and residual spread of each city from its sums; a few hundred numbers per city."""
+    size = len(fixed.TRAINING_FEATURES) + 1
+    upper = np.triu_indices(size)
+    out = []
+    for squares, products, yy, n in zip(sums["xx"], sums["xy"], sums["yy"], sums["n"]):
+        normal = np.zeros((size, size))
+        normal[upper] = squares
+        normal += np.triu(normal, 1).T
+        beta = np.linalg.solve(normal + penalty * np.diag([0.0] + [1.0] * (size - 1)), products)
+        left = max(yy - 2 * beta @ products + beta @ normal @ beta, 0.0)
+        out.append((beta.tolist(), float(np.sqrt(left / max(n - size, 1)))))
+    return pd.DataFrame(out, columns=["beta", "sigma"])
+
+
+_SOLUTION = T.StructType([T.StructField("beta", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType())])
+
+
+def fit_city_ridge(view: DataFrame, penalty: float = PENALTY) -> DataFrame:
+    """One ridge regression per city on the thirteen features: city, n, coefficients (intercept first), spread.
+
+    One grouped aggregate sums up the normal equations of all cities, with a map-side combine, and each city's few
+    hundred sums are solved in a vectorized function.  The penalty, which spares the intercept, makes every system
+    solvable, so no city is skipped.
+    """
+    x, y = _design(), F.col("accident_count").cast("double")
+    pairs = [x[i] * x[j] for i in range(len(x)) for j in range(i, len(x))]
+    sums = view.groupBy("city").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(p) for p in pairs]).alias("xx"),
+        F.array(*[F.sum(v * y) for v in x]).alias("xy"), F.sum(y * y).alias("yy"))
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        return _solved(rows, penalty)
+
+    solved = F.pandas_udf(solve, _SOLUTION)(F.struct("xx", "xy", "yy", "n"))
+    return sums.select("city", "n", solved.alias("s")).select("city", "n", "s.beta", "s.sigma")
+
+
+def _estimate(beta: str) -> Column:
+    return reduce(add, [F.col(beta)[i] * value for i, value in enumerate(_design())])
+
+
+def forecast_city_ridge(model: DataFrame, future: DataFrame, z: float = Z) -> DataFrame:
+    """``series, ts, forecast, lower_bound, upper_bound`` of every future row of a fitted city."""
+    margin = F.col("sigma") * z
+    return future.join(model, "city").withColumn("forecast", _estimate("beta")).select(
+        F.col("city").alias("series"), F.col("date").cast("timestamp_ntz").alias("ts"), "forecast",
+        (F.col("forecast") - margin).alias("lower_bound"), (F.col("forecast") + margin).alias("upper_bound"))
+
+
+def ridge_residuals(view: DataFrame, model: DataFrame, penalty: float = PENALTY) -> DataFrame:
+    """Per city the greatest relative gap in the normal equations: residuals times features against the penalty."""
+    x, y = _design(), F.col("accident_count").cast("double")
+    met = view.join(model, "city").withColumn("_left", y - _estimate("beta"))
+    sums = met.groupBy("city").agg(
+        F.count(F.lit(1)).alias("n"), F.first("beta").alias("beta"),
+        *[F.sum(F.col("_left") * v).alias(f"_r{i}") for i, v in enumerate(x)],
+        *[F.sum(F.abs(y * v)).alias(f"_s{i}") for i, v in enumerate(x)])
+    gaps = [F.abs(F.col(f"_r{i}") - (F.col("beta")[i] * penalty if i else F.lit(0.0))) / (F.col(f"_s{i}") + 1)
+            for i in range(len(x))]
+    return sums.select("city", "n", F.greatest(*gaps).alias("gap"))
+
+
 def fit_features(view: DataFrame, min_points: int = MIN_POINTS) -> tuple[PipelineModel, float]:
     """One linear model over all cities with the exogenous features; a distributed fit.
 

@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import AS_OF, one, plan_text
 from pyspark.sql import functions as F
@@ -115,6 +116,35 @@ def test_trend_recovers_line_and_weekday(rows_of, spark):
     assert one(forecast.forecast_trend(model, future, AS_OF), "forecast") == pytest.approx(200, abs=2)
 
 
+def test_skipped_cities_are_listed(spark):
+    days = [TODAY - dt.timedelta(days=d) for d in range(1, 21)]
+    rows = [("long", day, 5) for day in days] + [("short", day, 5) for day in days[:5]] + [("once", days[0], 5)] * 14
+    view = spark.createDataFrame(rows, "city string, date date, accident_count long")
+    assert {(r.city, r.n, r.reason) for r in forecast.skipped_series(view).collect()} == {
+        ("short", 5, "fewer than 14 days"), ("once", 14, "a single day")}
+    assert {r.city for r in forecast.fit_trend(view, AS_OF).collect()} == {"long"}
+
+
+def test_city_ridge_equals_the_closed_form(spark):
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for city, n in (("A", 60), ("B", 30), ("C", 1)):
+        x = np.round(rng.normal(3, 1, (n, len(fixed.TRAINING_FEATURES))), 3)
+        y = np.round(x @ np.arange(x.shape[1]) + rng.normal(0, 1, n)).astype(int)
+        rows += [(city, TODAY - dt.timedelta(days=i + 1), int(y[i]), *map(float, x[i])) for i in range(n)]
+        full = np.concatenate([np.ones((n, 1)), x], axis=1)
+        want[city] = np.linalg.solve(full.T @ full + forecast.PENALTY * np.diag([0.0] + [1.0] * x.shape[1]), full.T @ y)
+    schema = "city string, date date, accident_count long, " + ", ".join(f"{f} double" for f in fixed.TRAINING_FEATURES)
+    view = spark.createDataFrame(rows, schema)
+    model = forecast.fit_city_ridge(view)
+    got = {r.city: r.beta for r in model.collect()}
+    assert set(got) == set(want) and all(np.allclose(got[c], want[c], atol=1e-6) for c in want)
+    assert all(r.gap < 1e-9 for r in forecast.ridge_residuals(view, model).collect())
+    future = view.where("city = 'A'").limit(3).drop("accident_count")
+    for r in forecast.forecast_city_ridge(model, future).collect():
+        assert r.lower_bound < r.forecast < r.upper_bound
+
+
 def test_bounds_are_symmetric(rows_of):
     view = features.training_view(features.training_table(history(rows_of), weather(rows_of), AS_OF), AS_OF)
     future = features.future_features(view, current(rows_of), AS_OF)

@@ -37,6 +37,8 @@ def root(spark, tmp_path_factory):
     now = land(folder / "current.json", {"current": {
         "time": "2024-01-31T19:00", "temperature_2m": 30.0, "relative_humidity_2m": 50, "weather_code": 3}})
     flow = land(folder / "flow.json", {"flowSegmentData": {"currentSpeed": 20, "freeFlowSpeed": 60}})
+    with open(flow, "a") as lines_:
+        lines_.write(json.dumps({"city": CITY, "fetched_at": "2024-01-31 20:00:00", "payload": '{"flowSegm'}) + "\n")
     incidents = land(folder / "incidents.json", {"incidents": [{"properties": {"id": "i"}}]})
 
     out = str(tmp_path_factory.mktemp("lake"))
@@ -59,6 +61,12 @@ def test_loads(spark, root):
     assert (mart.congestion_level, mart.relative_congestion_level) == ("Heavy", "AVERAGE")
 
 
+def test_broken_answers_are_kept_apart(spark, root):
+    (row,) = read_table(spark, root, "raw", "quarantine").collect()
+    assert (row.source, row.city, row[4 - 1], row.reason) == ("flow", CITY, '{"flowSegm', "broken JSON")
+    assert read_table(spark, root, "raw", "traffic_flow_raw").count() == 1
+
+
 def test_safety(spark, root):
     table = read_table(spark, root, "analytics", "accident_weather_correlation")
     assert table.count() == 200
@@ -69,7 +77,7 @@ def test_safety(spark, root):
         (k, 200) for k in ("city_severity", "weather_condition", "time_pattern", "high_risk_location")}
 
 
-@pytest.mark.parametrize("method", ["trend", "features"])
+@pytest.mark.parametrize("method", ["trend", "features", "pooled"])
 def test_forecast(spark, root, method):
     rows = jobs.build_forecast(spark, root, AS_OF, method).orderBy("date").collect()
     assert [r.date for r in rows] == [dt.date(2024, 2, 1) + dt.timedelta(days=i) for i in range(7)]
