@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -232,7 +233,7 @@ def incident_explode_coords(spark: SparkSession, sf: str) -> DataFrame:
     return rows.drop("raw_json")
 
 
-@query("incident_severity", f"""
+_INCIDENT_ROWS = f"""
     SELECT ifnull({_inc("properties.id")}, 'INC_' || city || '_' || i) AS incident_id, city, 'CA' AS state,
            cast(fetched_at AS timestamp) AS timestamp,
            coalesce(cast({_inc("geometry.coordinates[0][1]")} AS double),
@@ -247,8 +248,10 @@ def incident_explode_coords(spark: SparkSession, sf: str) -> DataFrame:
            0 AS affected_road_count,
            cast(replace(ifnull({_inc("properties.startTime")}, fetched_at), 'Z', '') AS timestamp) AS start_time,
            cast({_inc("properties.endTime")} AS timestamp) AS end_time, true AS is_active
-    FROM (SELECT *, ifnull(cast({_inc("properties.magnitudeOfDelay")} AS int), 0) AS m FROM {_INCIDENTS_SQL})""",
-       ("landed_incidents", "cities"))
+    FROM (SELECT *, ifnull(cast({_inc("properties.magnitudeOfDelay")} AS int), 0) AS m FROM {_INCIDENTS_SQL})"""
+
+
+@query("incident_severity", _INCIDENT_ROWS, ("landed_incidents", "cities"))
 def incident_severity(spark: SparkSession, sf: str) -> DataFrame:
     return payloads.incidents_cleaned(raw(spark, sf, "landed_incidents"), cities.city_dimension(spark))
 
@@ -277,6 +280,18 @@ def city_bbox_range_join(spark: SparkSession, sf: str) -> DataFrame:
     return joins.inside_city_boxes(points, cities.city_dimension(spark))
 
 
+@query("incident_city_boxes", f"""
+    SELECT incident_id, latitude, longitude, name AS box_city
+    FROM (SELECT incident_id, latitude, longitude FROM ({_INCIDENT_ROWS}))
+         JOIN cities ON latitude >= lat - 0.1e0 AND latitude <= lat + 0.1e0
+                    AND longitude >= lon - 0.1e0 AND longitude <= lon + 0.1e0""", ("landed_incidents", "cities"))
+def incident_city_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Incidents and every city whose box holds them."""
+    rows = payloads.incidents_cleaned(raw(spark, sf, "landed_incidents"), cities.city_dimension(spark))
+    return joins.inside_city_boxes(rows.select("incident_id", "latitude", "longitude"),
+                                   cities.city_dimension(spark)).select("incident_id", "latitude", "longitude", "box_city")
+
+
 _LAST_DAY = "2024-01-30"
 
 
@@ -531,6 +546,15 @@ def daily_accidents(spark: SparkSession, sf: str) -> DataFrame:
     return features.daily_accidents(cleaned_accidents(spark, sf), AS_OF)
 
 
+@query("daily_accidents_all", """
+    SELECT cast(start_time AS date) AS date, city, count(*) AS accident_count, sum(severity) / count(*) AS avg_severity,
+           count(*) FILTER (severity IN (3, 4)) AS severe_accident_count
+    FROM accidents_clean WHERE start_time IS NOT NULL AND city IS NOT NULL GROUP BY ALL""", ("accidents_clean",))
+def daily_accidents_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole history."""
+    return features.daily_accidents(cleaned_accidents(spark, sf), AS_OF, days=None)
+
+
 @query("daily_weather", "SELECT * FROM daily_weather", ("daily_weather",))
 def daily_weather(spark: SparkSession, sf: str) -> DataFrame:
     return features.daily_weather(hourly(spark, sf), AS_OF)
@@ -745,6 +769,18 @@ def sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+@query("catalog_table", "SELECT city, count(*) AS accidents FROM stg_accidents GROUP BY city", ("stg_accidents",))
+def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A derived table of the session catalog, replaced when it is saved again; dropped once it has been read."""
+    rows = staged_accidents(spark, sf).groupBy("city").agg(F.count(F.lit(1)).alias("accidents"))
+    name = f"accidents_per_city_{uuid.uuid4().hex}"
+    for _ in range(2):
+        sinks.save_table(rows, name)
+    out = shared.written(spark.table(name), "catalog")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 # --- quality ------------------------------------------------------------------------------------------------------------------------
 
 
@@ -906,16 +942,31 @@ def stream_trailing_closed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_dedupe", """
     SELECT DISTINCT 'NATION_' || (user_id % 25) || '_' || strftime(time_bucket(INTERVAL 30 MINUTE, ts), '%Y%m%d_%H%M')
-           AS flow_id FROM events""")
+           AS flow_id, true AS of_its_slot FROM events""")
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """One reading per city and half hour; which of several is kept does not matter to the key."""
+    """One reading per city and half hour, and whether the kept row is a reading of that city and half hour."""
     root = shared.scratch_path(spark, "dedupe")
     slot = F.window(F.col("ts").cast("timestamp"), "30 minutes").start
     rows = _events_stream(spark, sf).withColumn(
         "flow_id", F.concat_ws("_", "city", F.date_format(slot, "yyyyMMdd_HHmm")))
-    kept = windows.first_of_each(rows.select("flow_id", "ts"), ["flow_id"], "ts").select("flow_id")
+    kept = windows.first_of_each(rows.select("flow_id", "ts", "event_id"), ["flow_id"], "ts")
     _finish(landing.append_stream(kept, f"{root}/out", f"{root}/progress"))
-    return spark.read.parquet(f"{root}/out")
+    minute = F.floor(F.minute("ts") / 30) * 30
+    again = F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string"), F.date_format("ts", "_yyyyMMdd_HH"),
+                     F.lpad(minute.cast("string"), 2, "0"))
+    source = table(spark, sf, "events").select("event_id", again.alias("again"))
+    return spark.read.parquet(f"{root}/out").join(source, "event_id", "left").select(
+        "flow_id", F.col("flow_id").eqNullSafe(F.col("again")).alias("of_its_slot"))
+
+
+@query("stream_landed_json", "SELECT city, fetched_at, payload FROM landed_current", ("landed_current",))
+def stream_landed_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers written as JSON lines in several files, streamed file by file into a table."""
+    root = shared.scratch_path(spark, "landed")
+    raw(spark, sf, "landed_current").repartition(3).write.json(f"{root}/files")
+    _finish(landing.append_stream(landing.landed_stream(spark, f"{root}/files", max_files=1), f"{root}/out",
+                                  f"{root}/progress"))
+    return spark.read.parquet(f"{root}/out").select("city", "fetched_at", "payload")
 
 
 @query("stream_quarantine", """

@@ -26,6 +26,16 @@ def _raw(spark: SparkSession, root: str, layer: str, table: str, schema: str) ->
     return read_table(spark, root, layer, table, schema)
 
 
+def _raw_by_day(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
+    """A raw snapshot that is stored by the day of its readings, for the trailing filters to prune."""
+    return _raw(spark, root, "raw", table, f"{schema}, {features.EVENT_DATE} date")
+
+
+def _replace_by_day(rows: DataFrame, path: str, time: str) -> None:
+    day = F.to_date(F.col(time).try_cast("timestamp_ntz"))
+    sinks.replace(rows.withColumn(features.EVENT_DATE, day), path, [features.EVENT_DATE])
+
+
 def _quarantine(root: str, source: str, landed: DataFrame, schema: str, as_of: Moment) -> None:
     """Broken answers of one load, with the reason; the good ones of the load go on without them."""
     broken = payloads.unreadable(landed, schema).select(
@@ -64,8 +74,8 @@ def load_current_weather(spark: SparkSession, root: str, landed_path: str, as_of
     landed = _landed(spark, landed_path)
     _quarantine(root, "current weather", landed, schemas.CURRENT_PAYLOAD, as_of)
     now = payloads.current_weather(landed, cities.city_dimension(spark))
-    sinks.replace(sinks.with_audit(now, as_of, "current answers"),
-                  table_path(root, "raw", "weather_california_realtime_raw"))
+    _replace_by_day(sinks.with_audit(now, as_of, "current answers"),
+                    table_path(root, "raw", "weather_california_realtime_raw"), "timestamp_str")
     stored = _raw(spark, root, "raw", "weather_california_realtime_raw", schemas.WEATHER_REALTIME_RAW)
     sinks.replace(weather_features.current_features(stored), table_path(root, "raw", "weather_california_realtime_etl"))
     sinks.replace(weather_fact.weather_fact(staging.stage_weather_current(stored), as_of),
@@ -78,8 +88,9 @@ def load_traffic(spark: SparkSession, root: str, flow_path: str, incident_path:
     flow, incidents = _landed(spark, flow_path), _landed(spark, incident_path)
     _quarantine(root, "flow", flow, schemas.FLOW_PAYLOAD, as_of)
     _quarantine(root, "incidents", incidents, schemas.INCIDENTS_PAYLOAD, as_of)
-    for name, rows in (("traffic_flow_raw", sinks.with_audit(payloads.flow_raw(flow, dimension), as_of)),
-                       ("traffic_flow_realtime", payloads.flow_cleaned(flow, dimension)),
+    _replace_by_day(sinks.with_audit(payloads.flow_raw(flow, dimension), as_of),
+                    table_path(root, "raw", "traffic_flow_raw"), "timestamp")
+    for name, rows in (("traffic_flow_realtime", payloads.flow_cleaned(flow, dimension)),
                        ("traffic_incidents_raw", sinks.with_audit(payloads.incidents_raw(incidents, dimension), as_of)),
                        ("traffic_incidents_realtime", payloads.incidents_cleaned(incidents, dimension))):
         sinks.replace(rows, table_path(root, "raw", name))
@@ -116,8 +127,8 @@ def build_forecast(spark: SparkSession, root: str, as_of: Moment = None, method:
 
     crashes = _raw(spark, root, "raw_archive", "traffic_accidents_historical", schemas.ACCIDENTS_HISTORICAL)
     hours = _raw(spark, root, "raw_archive", "weather_california_historical_raw", schemas.WEATHER_HISTORICAL_RAW)
-    now = _raw(spark, root, "raw", "weather_california_realtime_raw", schemas.WEATHER_REALTIME_RAW)
-    flow = _raw(spark, root, "raw", "traffic_flow_raw", schemas.TRAFFIC_FLOW_RAW)
+    now = _raw_by_day(spark, root, "weather_california_realtime_raw", schemas.WEATHER_REALTIME_RAW)
+    flow = _raw_by_day(spark, root, "traffic_flow_raw", schemas.TRAFFIC_FLOW_RAW)
 
     training = keep(features.training_table(crashes, hours, as_of), "accident_training_enriched")
     features.require_rows(training, "training data")

@@ -24,12 +24,14 @@ class Ranking(NamedTuple):
     within: str | None = None
 
 
-def _sorted(rows: DataFrame, ranking: Ranking, ties: list[str], partitions: int) -> DataFrame:
+def _sorted(rows: DataFrame, ranking: Ranking, ties: list[str], partitions: int | None) -> DataFrame:
     group = F.col(ranking.within).cast("string") if ranking.within else F.lit(None).cast("string")
     narrow = rows.select(group.alias("_group"), F.col(ranking.value).cast("double").alias("_value"),
                          *[F.col(name) for name in ties])
     order = [F.col("_group").asc_nulls_last(), F.col("_value").desc_nulls_first(), *[F.col(name) for name in ties]]
-    spread = narrow.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    # Without a number adaptive execution sizes the ranges by the data.
+    ranged = narrow.repartitionByRange(*order) if partitions is None else narrow.repartitionByRange(partitions, *order)
+    spread = ranged.sortWithinPartitions(*order)
     # monotonically_increasing_id numbers the rows of a partition in sort order.
     return spread.select(F.lit(ranking.name).alias("_ranking"), F.col("_group"), F.col(ties[-1]),
                          F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq"))
@@ -40,8 +42,6 @@ def row_numbers(rows: DataFrame, rankings: list[Ranking], ties: list[str], parti
 
     ``rows`` must be a written table; the last of ``ties`` is its unique row key.
     """
-    if partitions is None:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = ties[-1]
     # Written, because the offsets and the positions must come from the same sort.
     placed = written(reduce(DataFrame.unionByName, [_sorted(rows, r, ties, partitions) for r in rankings]), "rankings")

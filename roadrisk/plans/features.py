@@ -10,6 +10,10 @@ from ..functions.bands import indicator
 from ..functions.times import Moment, clock, hours_before, sunday0, today
 
 
+# Day of a reading, by which the raw snapshots are stored.
+EVENT_DATE = "event_date"
+
+
 def daily_accidents(accidents: DataFrame, as_of: Moment = None, days: int | None = fixed.HISTORY_DAYS) -> DataFrame:
     """Accidents per city and day; ``days=None`` keeps the whole history (R2)."""
     rows = accidents.where(F.col("start_time").isNotNull() & F.col("city").isNotNull())
@@ -75,9 +79,17 @@ def require_rows(rows: DataFrame, what: str) -> DataFrame:
     return rows
 
 
+def _since(rows: DataFrame, time: str, as_of: Moment, hours: int) -> DataFrame:
+    """Rows of the trailing hours by their time text; a table stored by day reads only the days in question."""
+    first = hours_before(clock(as_of), hours)
+    recent = F.col(time).try_cast("timestamp_ntz") >= first
+    if EVENT_DATE in rows.columns:
+        recent &= F.col(EVENT_DATE) >= F.to_date(first)
+    return rows.where(recent)
+
+
 def _recent_weather(current: DataFrame, as_of: Moment, hours: int) -> DataFrame:
-    moment = F.col("timestamp_str").try_cast("timestamp_ntz")
-    return current.where(moment >= hours_before(clock(as_of), hours))
+    return _since(current, "timestamp_str", as_of, hours)
 
 
 def _signals(precipitation_above: float) -> list[Column]:
@@ -106,10 +118,9 @@ def latest_weather_for_adjustment(current: DataFrame, as_of: Moment = None) -> D
 
 def latest_traffic(flow: DataFrame, as_of: Moment = None) -> DataFrame:
     """Per city over the trailing day; congestion from the unrounded ratio."""
-    moment = F.col("timestamp").try_cast("timestamp_ntz")
     free, current = F.col("free_flow_speed"), F.col("current_speed")
     congestion = F.when(free > 0, (free - current) / free * 100).otherwise(F.lit(0.0))
-    return flow.where(moment >= hours_before(clock(as_of), fixed.ADJUST_HOURS)).groupBy("city").agg(
+    return _since(flow, "timestamp", as_of, fixed.ADJUST_HOURS).groupBy("city").agg(
         F.avg(current).alias("avg_current_speed"), F.avg(free).alias("avg_free_flow_speed"),
         F.avg(congestion).alias("avg_congestion_pct"), F.count(F.lit(1)).alias("traffic_data_points"))
 

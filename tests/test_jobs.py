@@ -7,8 +7,9 @@ import pytest
 from conftest import AS_OF
 from pyspark.sql import functions as F
 
-from roadrisk import jobs
+from roadrisk import jobs, schemas
 from roadrisk.functions import fixed
+from roadrisk.plans import features
 from roadrisk.sources.tables import read_table
 
 CITY = "Fresno"
@@ -87,6 +88,17 @@ def test_forecast(spark, root, method):
     assert spark.table("accident_risk_assessment_realtime").count() == 7
 
 
+def test_trailing_reads_are_pruned_by_day(spark, root):
+    for table, schema, build in (
+            ("weather_california_realtime_raw", schemas.WEATHER_REALTIME_RAW, features.latest_weather_for_features),
+            ("weather_california_realtime_raw", schemas.WEATHER_REALTIME_RAW, features.latest_weather_for_adjustment),
+            ("traffic_flow_raw", schemas.TRAFFIC_FLOW_RAW, features.latest_traffic)):
+        out = build(jobs._raw_by_day(spark, root, table, schema), AS_OF)
+        filters = [line for line in out._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in line]
+        assert filters and all("event_date" in line.split("PartitionFilters")[1].split("]")[0] for line in filters)
+        assert out.count() == 1
+
+
 def test_unknown_method(spark, root):
     with pytest.raises(ValueError, match="unknown method"):
         jobs.build_forecast(spark, root, AS_OF, "guess")

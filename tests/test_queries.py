@@ -1,8 +1,4 @@
-"""Registered queries next to their statements, on the smallest test tables.
-
-Queries whose parts another query or test module covers run only with
-``ROADRISK_ALL_QUERIES=1``; ``python -m checks.compare`` runs all of them too.
-"""
+"""All registered queries next to their statements, on the smallest test tables."""
 
 import importlib
 import os
@@ -13,14 +9,6 @@ from checks import compare, queries
 
 SF = "/root/testdata/sf0.001"
 
-COVERED = {
-    "json_parse_raw", "traffic_mart_ordered", "accident_weather_join", "safety_city_severity", "safety_condition",
-    "safety_time_pattern", "safety_hotspots", "training_view", "future_features", "forecast_adjusted",
-    "forecast_report", "forecast_top", "training_stats", "count_guard", "city_dimension_join", "daily_accidents",
-    "daily_weather", "sink_roundtrip", "dq_not_null", "dq_accepted", "clean_accidents_validated",
-}
-NAMES = [name for name in queries.QUERIES if name not in COVERED or os.environ.get("ROADRISK_ALL_QUERIES")]
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -29,7 +17,7 @@ def connection():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", queries.QUERIES)
 def test_query(spark, connection, name):
     assert compare.compare(spark, connection, SF, name) == []
 
