@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (factorisation, host_rules, secrets, segmentation, sharding, simhash, suffix_dedup, templates, weak_labels,
-               winnowing)
+from . import (factorisation, host_rules, oracles, secrets, segmentation, sharding, simhash, suffix_dedup, templates,
+               weak_labels, winnowing)
 from .common import table
 
 
@@ -42,7 +42,8 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+    judged = host_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+    return judged.withColumn("host_rate", F.round("host_rate", 9))
 
 
 def op8_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_randomness_secrets)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
