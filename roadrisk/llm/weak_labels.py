@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import CHUNK_BYTES, held_out, run_sums
-from .factorisation import labelled_sample
+from .factorisation import calibrated, labelled_sample
 
 BUCKETS = 1 << 20
 SAMPLE_ROWS = 8_000  # labelled rows at most that the lexicon is taken from, and rows that the models are fitted on
@@ -30,7 +30,7 @@ LEAST_SUPPORT = 4
 LEAST_ODDS = 2.5  # log of the odds ratio
 BEGINNINGS = (4, 5, 6)
 ROUNDS = 25
-EPOCHS = 8
+EPOCHS = 20
 BATCH = 64
 RATE, SPARSITY, PENALTY = 0.3, 0.15, 1e-3
 LIMIT = 0.5
@@ -165,12 +165,17 @@ def label_model(votes: np.ndarray, prior: float) -> LabelModel:
 
 
 class Linear(NamedTuple):
+    """Bias and weights of hashed features, slope and shift of the calibration."""
+
     bias: float
     weights: np.ndarray
+    slope: float = 1.0
+    shift: float = 0.0
 
     def score(self, words: Words) -> np.ndarray:
         each = np.where(words.hashes >= 0, self.weights[words.hashes], 0.0).sum(axis=1)
-        return 1 / (1 + np.exp(-np.clip(self.bias + run_sums(each[words.code], words.starts), -30, 30)))
+        raw = self.bias + run_sums(each[words.code], words.starts)
+        return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.shift, -30, 30)))
 
 
 def linear(features: list[np.ndarray], target: np.ndarray, seed: int = 1) -> Linear:
@@ -199,7 +204,10 @@ def linear(features: list[np.ndarray], target: np.ndarray, seed: int = 1) -> Lin
             step = float(loss.sum())
             seen += step * step
             bias -= RATE * step / np.sqrt(seen)
-    return Linear(float(bias), weights.astype(np.float32))
+    if not len(target):
+        return Linear(float(bias), weights.astype(np.float32))
+    raw = np.array([bias + weights[f].sum() for f in features])
+    return Linear(float(bias), weights.astype(np.float32), *calibrated(raw, (target > 0.5).astype(float)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[Linear, LabelModel]:
