@@ -1,9 +1,9 @@
 """Benchmark decontamination by winnowing, in column expressions only.
 
 The fingerprints of a text are the smallest hashes of its word k-grams within each run of ``WINDOW_GRAMS`` grams.  A
-window of 13 words holds 9 grams of 5 words, so two texts that share a window share the smallest of its grams, at the
-same offset, and a join on fingerprints misses no shared window.  Each meeting is then extended to the whole window,
-word by word, in the document.  An item of fewer than 13 words is one gram by itself (a window of one gram).
+window of 13 words holds 9 grams of 5 words, so two texts that share a window share the smallest of its grams, and a
+join on fingerprints misses no shared window.  Windows one after another mostly share theirs, so a text keeps one row
+per run of windows.  Each meeting is then extended to the whole window, word by word, in the document.  An item of fewer than 13 words is one gram by itself (a window of one gram).
 """
 
 from __future__ import annotations
@@ -39,37 +39,38 @@ def _places(last: Column) -> Column:
 
 
 def _grams(hashes: Column, length: int) -> Column:
-    return F.transform(_places(F.size(hashes) - length), lambda i: F.xxhash64(F.slice(hashes, i + 1, length)))
+    return F.transform(_places(F.size(hashes) - length),
+                       lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(length)]))
 
 
 def _smallest(grams: Column) -> Column:
     """The smallest gram of each window of a text that has at least one."""
-    return F.transform(_places(F.size(grams) - WINDOW_GRAMS), lambda i: F.array_min(F.slice(grams, i + 1, WINDOW_GRAMS)))
+    return F.transform(_places(F.size(grams) - WINDOW_GRAMS),
+                       lambda i: F.least(*[F.get(grams, i + j) for j in range(WINDOW_GRAMS)]))
 
 
-def _picked(grams: Column, smallest: Column) -> Column:
-    """Places and hashes of the grams that are the smallest of a window they stand in; of equals, all."""
-    def chosen(i: Column) -> Column:
-        first = F.greatest(i - (WINDOW_GRAMS - 1), F.lit(0))
-        return F.array_contains(F.slice(smallest, first + 1, i - first + 1), F.get(grams, i))
-
-    at = F.filter(_places(F.when(F.size(smallest) > 0, F.size(grams) - 1).otherwise(-1)), chosen)
-    return F.transform(at, lambda i: F.struct(i.alias("at"), F.get(grams, i).alias("gram")))
+def _runs(smallest: Column) -> Column:
+    """Runs of windows with the same smallest gram: first and last window, gram."""
+    starts = F.filter(_places(F.size(smallest) - 1),
+                      lambda i: (i == 0) | (F.get(smallest, i) != F.get(smallest, i - 1)))
+    return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+        i.alias("at"), (F.coalesce(F.get(at, k + 1), F.size(smallest)) - 1).alias("last"),
+        F.get(smallest, i).alias("gram"))))
 
 
 def fingerprints(words: Column, short: list[int]) -> Column:
-    """The fingerprints of a text, and its grams of each length in ``short``."""
+    """The fingerprints of a text with the windows they stand for, and its grams of each length in ``short``."""
     def of(hashes: Column) -> Column:
-        picked = let(_grams(hashes, GRAM), lambda g: let(_smallest(g), lambda s: _picked(g, s)))
-        more = [let(_grams(hashes, n), lambda g: F.transform(g, lambda x, i: F.struct(i.alias("at"), x.alias("gram"))))
-                for n in short]
+        picked = let(_grams(hashes, GRAM), lambda g: let(_smallest(g), _runs))
+        more = [let(_grams(hashes, n), lambda g: F.transform(g, lambda x, i: F.struct(
+            i.alias("at"), i.alias("last"), x.alias("gram")))) for n in short]
         return F.concat(picked, *more) if more else picked
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
 def _windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Distinct windows with their fingerprint and its offset; windows with their items; the lengths below 13."""
+    """Distinct windows with their fingerprint; windows with their items; the lengths below 13."""
     items = benchmark.select("item_id", words_of("text").alias("words")).where("size(words) > 0")
     cut = items.select(
         "item_id", "words", F.least(F.size("words"), F.lit(SPAN)).alias("length"),
@@ -77,14 +78,13 @@ def _windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, list[int]]:
     cut = written(cut.select("item_id", "length", F.slice("words", F.col("at") + 1, F.col("length")).alias("words")),
                   "items").withColumn("window", F.array_join("words", " "))
     hashes = F.transform("words", lambda w: F.xxhash64(w))
-    whole = F.struct(F.xxhash64(hashes).alias("gram"), F.lit(0).alias("offset"))
-    smallest = let(_grams(hashes, GRAM), lambda g: let(F.array_min(g), lambda m: F.struct(
-        m.alias("gram"), (F.array_position(g, m) - 1).cast("int").alias("offset"))))
-    marked = cut.select("window", "length", "words").dropDuplicates(["window"]).select(
-        "window", "length", F.when(F.col("length") == SPAN, smallest).otherwise(whole).alias("f"))
+    # A window of 13 words is known by its smallest gram, a shorter item by itself.
+    gram = let(hashes, lambda h: F.when(F.size(h) == SPAN, F.array_min(_grams(h, GRAM))).otherwise(
+        F.coalesce(*[F.when(F.size(h) == n, _grams(h, n)[0]) for n in range(1, SPAN)])))
+    marked = cut.dropDuplicates(["window"]).select("window", "length", gram.alias("gram"))
     # At most twelve numbers.
     short = sorted(row[0] for row in cut.where(F.col("length") < SPAN).select("length").distinct().collect())
-    return (written(marked.select("window", "length", "f.*"), "windows"),
+    return (written(marked, "windows"),
             written(cut.select("window", "item_id").distinct(), "window_items"), short)
 
 
@@ -109,8 +109,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                      .select("doc_id", "row", F.size("words").cast("long").alias("n_words"),
                              fingerprints(F.col("words"), short).alias("prints")), "fingerprints")
     met = (marked.select("row", F.explode("prints").alias("p")).select("row", "p.*")
-           .join(windows, "gram").select("row", (F.col("at") - F.col("offset")).alias("at"), "length", "window")
-           .where("at >= 0"))
+           .join(windows, "gram")
+           .select("row", F.explode(F.sequence("at", "last")).alias("at"), "length", "window"))
     meetings = written(met.groupBy("row").agg(F.collect_set(F.struct("at", "length", "window")).alias("met")), "met")
 
     def extended(words: Column) -> Column:
