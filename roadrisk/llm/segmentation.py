@@ -21,6 +21,7 @@ weight of the last rank.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from typing import NamedTuple
@@ -28,6 +29,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +39,12 @@ from .common import chunks
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 SEED = 7
-CHUNK = 2_000_000  # bytes of text segmented together
+CHUNK = 1_000_000  # bytes of text segmented together
 MARK, OWN_MARK = "▁", "\ud800"  # space in pieces; stands for a text's own U+2581, which is spelt in bytes
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+# Regions below this log mass get a value only if it can matter: none exceeds its mass by more than MOST.
+FLOOR = -60.0
+MOST = 37.0  # of a Gumbel value from a number of 52 bits
 CODE_BITS = 21
 SLOT_BITS = 18  # of the hash table of trie edges
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -143,6 +148,43 @@ def _bytes_of(code: int) -> bytes:
     return MARK.encode() if code == ord(OWN_MARK) else chr(code).encode("utf-8", "surrogatepass")
 
 
+def _levels(runs: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """The arcs that end at each depth, and the runs of arcs with the same end among all."""
+    at = np.searchsorted(runs, cuts)
+    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist(), at[:-1].tolist(), at[1:].tolist())
+
+
+def _shares(start, score, nodes, runs, sizes, cuts, size) -> np.ndarray | None:
+    """Chance of each arc among those with its end, by forward sums; None where they leave the range of numbers.
+
+    All words go together, one depth after another.
+    """
+    weight, forward, share = np.exp(score), np.ones(size), np.empty(len(start))
+    for a, b, r, q in _levels(runs, cuts):
+        if b > a:
+            value = forward[start[a:b]] * weight[a:b]
+            total = np.add.reduceat(value, runs[r:q] - a)
+            if total.min() < 1e-280:
+                return None
+            forward[nodes[r:q]] = total
+            share[a:b] = value / np.repeat(total, sizes[r:q])
+    return share
+
+
+def _shares_of_logs(start, score, nodes, runs, sizes, cuts, size) -> np.ndarray:
+    """The same from logarithms, for long words."""
+    forward, share = np.zeros(size), np.empty(len(start))
+    for a, b, r, q in _levels(runs, cuts):
+        if b > a:
+            value = forward[start[a:b]] + score[a:b]
+            top = np.maximum.reduceat(value, runs[r:q] - a)
+            weight = np.exp(value - np.repeat(top, sizes[r:q]))
+            total = np.add.reduceat(weight, runs[r:q] - a)
+            forward[nodes[r:q]] = top + np.log(total)
+            share[a:b] = weight / np.repeat(total, sizes[r:q])
+    return share
+
+
 def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     codes = _utf32("".join(words))
@@ -173,36 +215,32 @@ def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
     start, stop, piece = (np.concatenate(parts[::-1]) for parts in (starts, stops, pieces))
     owner = word[start]
     depth = stop - (ends - lengths)[owner]
-    order = np.argsort(depth * (len(codes) + 1) + stop, kind="stable")
+    # Unique numbers: the order of a word's arcs must not depend on the other words.
+    order = np.argsort((depth * (len(codes) + 1) + stop) * (vocab.longest + 2) + vocab.longest - (stop - start))
     start, stop, piece, owner, depth = (x[order] for x in (start, stop, piece, owner, depth))
-    code = np.where(piece < 0, codes[start], -1)
-    score = np.where(piece < 0, 0.0, vocab.log_prob[piece])
-    if (piece < 0).any():
-        widths = {c: len(_bytes_of(c)) for c in np.unique(code[piece < 0]).tolist()}
-        score[piece < 0] = [widths[c] * vocab.byte_log_prob for c in code[piece < 0].tolist()]
+    spelt = np.flatnonzero(piece < 0)
+    code = np.full(len(piece), -1, dtype=np.int64)
+    code[spelt] = codes[start[spelt]]
+    score = vocab.log_prob[piece]
+    if len(spelt):
+        widths = {c: len(_bytes_of(c)) for c in np.unique(code[spelt]).tolist()}
+        score[spelt] = [widths[c] * vocab.byte_log_prob for c in code[spelt].tolist()]
     start, stop = start + owner, stop + owner  # each word has one node more than code points
-    # Forward sums, all words together, one depth after another.
-    forward = np.zeros(len(codes) + len(words))
-    share = np.empty(len(start))
-    first, last = (np.zeros(len(forward), dtype=np.int64) for _ in range(2))
     cuts = np.searchsorted(depth, np.arange(1, (depth[-1] if len(depth) else 0) + 2))
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        end = stop[a:b]
-        runs = np.concatenate([[0], np.flatnonzero(end[1:] != end[:-1]) + 1])
-        nodes, sizes = end[runs], np.diff(np.append(runs, b - a))
-        value = forward[start[a:b]] + score[a:b]
-        top = np.maximum.reduceat(value, runs)
-        weight = np.exp(value - np.repeat(top, sizes))
-        total = np.add.reduceat(weight, runs)
-        forward[nodes] = top + np.log(total)
-        share[a:b] = weight / np.repeat(total, sizes)
-        first[nodes], last[nodes] = a + runs, a + runs + sizes - 1
-    log_choice = forward[start] + score - forward[stop]
+    runs = np.concatenate([[0], np.flatnonzero(stop[1:] != stop[:-1]) + 1])
+    nodes, sizes = stop[runs], np.diff(np.append(runs, len(stop)))
+    first, last = (np.zeros(len(codes) + len(words), dtype=np.int64) for _ in range(2))
+    first[nodes], last[nodes] = runs, runs + sizes - 1
+    share = _shares(start, score, nodes, runs, sizes, cuts, len(first))
+    if share is None:
+        share = _shares_of_logs(start, score, nodes, runs, sizes, cuts, len(first))
+    with np.errstate(divide="ignore"):
+        log_choice = np.log(share)
     running = np.cumsum(share)
     chosen = running - (running[first[stop]] - share[first[stop]])
     chosen[last[stop]] = 1.0
     word_end = ends + np.arange(len(words))
-    return Lattice(start, stop, piece, code, np.minimum(log_choice, 0.0), chosen, first, last,
+    return Lattice(start, stop, piece, code, np.maximum(np.minimum(log_choice, 0.0), -700.0), chosen, first, last,
                    word_end - lengths, word_end)
 
 
@@ -216,7 +254,7 @@ def _uniform(seed: np.ndarray, path: int, step: np.ndarray | int, use: int) -> n
     """Numbers inside (0, 1) from the seeds of words, the path, the step inside the word and the use."""
     salt = _mixed(np.array([path * 4 + use + 1], dtype=np.uint64) * SPREAD)
     x = _mixed(seed + salt + np.asarray(step).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
 
 
 def _gumbel(u: np.ndarray) -> np.ndarray:
@@ -232,12 +270,14 @@ def _below(bound: np.ndarray, value: np.ndarray) -> np.ndarray:
 class Path(NamedTuple):
     """One path of each of some texts: its choices in order, with the values of the regions that they leave open."""
 
+    number: int
     texts: np.ndarray
     bounds: np.ndarray  # first choice of each of the texts, and the end
     word: np.ndarray
     step: np.ndarray
     arc: np.ndarray
     before: np.ndarray  # log mass of what is fixed before the choice
+    free: np.ndarray  # choices that leave a region
     open_: np.ndarray
     log_prob: np.ndarray
     value: np.ndarray
@@ -267,6 +307,8 @@ class Sampler:
         place = np.arange(len(code)) - self.starts[self.text_of]
         self.seed = _mixed(own[self.text_of] ^ _mixed(place.astype(np.uint64) + np.uint64(1)))
         self.own = own
+        # Per path the words of texts all of whose regions have values.
+        self.valued: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(len(code), dtype=bool))
 
     def _walk(self, word: np.ndarray, node: np.ndarray, step: np.ndarray, path: int):
         """Sample the choices of words from a node back to the word's start."""
@@ -292,17 +334,57 @@ class Sampler:
         word, step, arc = word[order], step[order], arc[order]
         bounds = np.searchsorted(word, np.append(self.starts[texts], self.starts[texts[-1] + 1]))
         bounds[:-1] = np.searchsorted(word, self.starts[texts])
-        chosen = self.lattice.log_choice[arc]
-        total = np.concatenate([[0.0], np.cumsum(chosen)])
+        total = np.concatenate([[0.0], np.cumsum(self.lattice.log_choice[arc])])
         per = np.diff(bounds)
         before = total[:-1] - np.repeat(total[bounds[:-1]], per)
-        alone = self.lattice.first[self.lattice.end[arc]] == self.lattice.last[self.lattice.end[arc]]
-        rest = np.log(np.maximum(-np.expm1(chosen), 1e-300))
-        free = ~alone & (np.arange(len(arc)) - np.repeat(bounds[:-1], per) > np.repeat(after, per))
-        mass = np.where(free, before + rest, -np.inf)
-        g = _gumbel(_uniform(self.seed[word], path, step, 1))
-        return Path(texts, bounds, word, step, arc, before, _below(np.repeat(value, per), mass + g),
-                    total[bounds[1:]] - total[bounds[:-1]], value)
+        end = self.lattice.end[arc]
+        free = (self.lattice.first[end] != self.lattice.last[end]) & (
+            np.arange(len(arc)) - np.repeat(bounds[:-1], per) > np.repeat(after, per))
+        out = Path(path, texts, bounds, word, step, arc, before, free, np.full(len(arc), -np.inf),
+                   total[bounds[1:]] - total[bounds[:-1]], value)
+        self._value(out, np.flatnonzero(free & (before > FLOOR)))
+        return out
+
+    def _value(self, path: Path, at: np.ndarray) -> None:
+        """Give the regions that some choices leave open their values."""
+        rest = np.log(np.maximum(-np.expm1(self.lattice.log_choice[path.arc[at]]), 1e-300))
+        g = _gumbel(_uniform(self.seed[path.word[at]], path.number, path.step[at], 1))
+        bound = path.value[np.searchsorted(path.bounds, at, side="right") - 1]
+        path.open_[at] = _below(bound, path.before[at] + rest + g)
+
+    def _best(self, found: list[Path], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per text the greatest value of an open region, and where it is: number of the path and choice."""
+        best = np.full(size, -np.inf)
+        where = np.full((size, 2), -1, dtype=np.int64)
+        for m, held in enumerate(found):
+            top = np.maximum.reduceat(held.open_, held.bounds[:-1])
+            # The first place of each text's greatest value.
+            hit = np.flatnonzero(held.open_ == np.repeat(top, np.diff(held.bounds)))
+            owner = np.searchsorted(held.bounds, hit, side="right") - 1
+            at = np.full(len(held.texts), -1, dtype=np.int64)
+            at[owner[::-1]] = hit[::-1]
+            better = top > best[held.texts]
+            chosen = held.texts[better]
+            best[chosen] = top[better]
+            where[chosen, 0], where[chosen, 1] = m, at[better]
+        return best, where
+
+    def _sure_best(self, found: list[Path], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best of all regions: where a far one could be better, all regions of the text get their values."""
+        best, where = self._best(found, size)
+        unsure = best < FLOOR + MOST
+        filled = False
+        for held in found:
+            of_unsure = np.repeat(unsure[held.texts], np.diff(held.bounds))
+            # Closed regions below the floor have been valued before, as has all of a text that was unsure once.
+            far = np.flatnonzero(of_unsure & held.free & (held.before <= FLOOR) & (held.open_ == -np.inf))
+            far = far[~self.valued[held.number][held.word[far]]]
+            if len(far):
+                self._value(held, far)
+                filled = True
+        for held in found:
+            self.valued[held.number] |= unsure[self.text_of]
+        return self._best(found, size) if filled else (best, where)
 
     def paths(self, k: int) -> tuple[list[Path], np.ndarray]:
         """Up to ``k`` paths of each text that has words, and each text's threshold (-inf if nothing is left)."""
@@ -315,19 +397,7 @@ class Sampler:
         found = [self._path(texts, parts, 0, _gumbel(_uniform(self.own[texts], 0, 0, 2)), np.full(len(texts), -1))]
         closed: dict[tuple[int, int], list[int]] = {}
         for number in range(1, k + 1):
-            best = np.full(len(threshold), -np.inf)
-            where = np.full((len(threshold), 2), -1, dtype=np.int64)
-            for m, held in enumerate(found):
-                top = np.maximum.reduceat(held.open_, held.bounds[:-1])
-                # The first place of each text's greatest value.
-                hit = np.flatnonzero(held.open_ == np.repeat(top, np.diff(held.bounds)))
-                owner = np.searchsorted(held.bounds, hit, side="right") - 1
-                at = np.full(len(held.texts), -1, dtype=np.int64)
-                at[owner[::-1]] = hit[::-1]
-                better = top > best[held.texts]
-                chosen = held.texts[better]
-                best[chosen] = top[better]
-                where[chosen, 0], where[chosen, 1] = m, at[better]
+            best, where = self._sure_best(found, len(threshold))
             if number == k:
                 return found, best
             opened = np.flatnonzero(best > -np.inf)
@@ -455,16 +525,47 @@ def decoded(ids: np.ndarray, spelling: list[bytes]) -> str:
     return b"".join([spelling[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
 
 
-def _decoded_all(pieces: pd.Series, model: bytes) -> pd.Series:
+def _spelt(ids: np.ndarray, bounds: np.ndarray, blob: np.ndarray, begin: np.ndarray, size: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 of many texts from their ids, without each one's first byte, and where each begins."""
+    width = size[ids]
+    place = np.concatenate([[0], np.cumsum(width)])
+    out = blob[np.repeat(begin[ids] - place[:-1], width) + np.arange(place[-1])]
+    edge = place[bounds]
+    some = edge[1:] > edge[:-1]
+    keep = np.ones(len(out), dtype=bool)
+    keep[edge[:-1][some]] = False
+    return out[keep], edge - np.concatenate([[0], np.cumsum(some)])
+
+
+def _decoded_all(pieces: pa.Array, model: bytes) -> pa.Array:
     spelling = vocabulary(model).spelling
-    return pd.Series([None if ids is None else decoded(ids.tolist(), spelling) for ids in pieces], dtype=object)
+    size = np.fromiter(map(len, spelling), np.int64, len(spelling))
+    begin, blob = np.cumsum(size) - size, np.frombuffer(b"".join(spelling), np.uint8)
+    ids = pieces.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(pieces.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+    parts, at = [], 0
+    while at < len(pieces) or not parts:
+        # Rows of about CHUNK ids together; a longer row stands alone.
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK, side="right")) - 1)
+        to = min(to, len(pieces))
+        raw, edge = _spelt(ids[bounds[at]:bounds[to]], bounds[at:to + 1] - bounds[at], blob, begin, size)
+        part = pa.Array.from_buffers(pa.large_binary(), to - at, [None, pa.py_buffer(edge.astype(np.int64).tobytes()),
+                                                                  pa.py_buffer(raw.tobytes())])
+        try:
+            parts.append(part.cast(pa.large_string()).cast(pa.string()))
+        except pa.ArrowInvalid:  # ids that no text has
+            parts.append(pa.array([b.decode("utf-8", "replace") for b in part.to_pylist()], pa.string()))
+        at = to
+    out = pa.concat_arrays(parts)
+    return pc.if_else(pieces.is_valid(), out, pa.scalar(None, pa.string())) if pieces.null_count else out
 
 
 def decode(column: str, path: str = MODEL):
-    """Column: the text of an array of piece ids; null for null."""
+    """Column: the text of an array of piece ids; null for null.  Bytes that are no text become U+FFFD."""
     model = read_model(path)
 
-    def texts(pieces: pd.Series) -> pd.Series:
+    def texts(pieces: pa.Array) -> pa.Array:
         return _decoded_all(pieces, model)
 
-    return F.pandas_udf(texts, T.StringType())(column)
+    return F.arrow_udf(texts, T.StringType())(column)

@@ -85,10 +85,32 @@ def test_round_trip(text):
         assert sampling.decoded(list(ids), VOCAB.spelling) == text
 
 
+def test_far_regions_are_valued_where_they_matter(monkeypatch):
+    texts = ["some words and some more of them, quite a few", "zq ab", "aaaa", "", "x " * 50]
+    want = sampled(texts, range(5), 12)
+    monkeypatch.setattr(sampling, "MOST", 60.0)
+    for floor in (-0.001, -1.0, -8.0):
+        monkeypatch.setattr(sampling, "FLOOR", floor)
+        assert sampled(texts, range(5), 12) == want
+
+
 def test_samples_depend_on_the_key_alone():
     texts = ["some words here", "and some others there", "some words here"]
+    rounded = lambda paths: [(r, ids, *(round(x, 9) for x in more)) for r, ids, *more in paths]
     alone, together = sampled(texts[:1], [5], 3)[0], sampled(texts, [4, 9, 5], 3)
-    assert alone == together[2] and [p[1:] for p in together[2]] != [p[1:] for p in sampled(texts[:1], [6], 3)[0]]
+    assert rounded(alone) == rounded(together[2]) and [p[1:] for p in together[2]] != [p[1:] for p in sampled(texts[:1], [6], 3)[0]]
+
+
+def test_many_texts_are_decoded_at_once(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(sampling, "CHUNK", 7)
+    texts = ["", "a b", None, "é漢", " x", "", "long " * 9]
+    ids = [None if t is None else list(sampled([t], [0], 1)[0][0][1]) for t in texts]
+    out = sampling._decoded_all(pa.array(ids, pa.list_(pa.int32())), MODEL)
+    assert out.to_pylist() == texts
+    broken = pa.array([[28705, int(VOCAB.byte_ids[0xFF])]], pa.list_(pa.int32()))
+    assert sampling._decoded_all(broken, MODEL).to_pylist() == ["\ufffd"]
+    assert sampling._decoded_all(broken.slice(0, 0), MODEL).to_pylist() == []
 
 
 def test_odd_rows(spark, documents, odd_rows):
