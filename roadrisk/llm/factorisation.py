@@ -26,7 +26,6 @@ BUCKETS = 1 << 15
 RANK = 6
 BINS = 12
 SAMPLE_ROWS = 8_000  # labelled rows at most that the machine is fitted on, the same for any size of the corpus
-SAMPLE_WORDS = 400  # distinct words of a row that the fit looks at; scores use all
 STEPS = 1_000  # at least, and 12 passes
 EPOCHS = 12
 BATCH = 128
@@ -147,7 +146,7 @@ def inputs(texts: Texts, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def fitted(texts: Texts, labels: np.ndarray, seed: int = 1) -> Machine:
-    """AdaGrad on the logistic loss, with words dropped to the bounded number a row may bring."""
+    """AdaGrad on the logistic loss over all distinct words of each row, as they are scored."""
     draw = np.random.default_rng(seed)
     rows, stats = texts.statistics.shape
     marks = np.linspace(0, 1, BINS + 1)[1:-1]
@@ -192,7 +191,7 @@ def _sampled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = featured(texts[a:b])
             yield pd.DataFrame({
                 "label": frame["label"].to_numpy()[a:b], "statistics": list(held.statistics),
-                "buckets": [np.sort(held.buckets[s:e])[:SAMPLE_WORDS].astype(np.int32)
+                "buckets": [np.sort(held.buckets[s:e]).astype(np.int32)
                             for s, e in zip(held.starts[:-1], held.starts[1:])]})
 
 

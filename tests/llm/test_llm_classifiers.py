@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from zlib import crc32
 
@@ -73,6 +74,15 @@ def test_quality_is_learned_and_held_out_labels_are_not_used(spark, documents, c
     assert all(abs(scores[r.doc_id] - r.score) < 1e-9 for r in out)
 
 
+def test_the_fit_sees_all_words_of_a_long_text():
+    text = " ".join(f"w{i}" for i in range(3000))
+    (frame,) = factorisation._sampled(iter([pd.DataFrame({"text": [text, "a b"], "label": [1.0, 0.0]})]))
+    whole = factorisation.featured([text.encode(), b"a b"])
+    assert [len(b) for b in frame["buckets"]] == [3000, 2]
+    assert all(sorted(b) == sorted(whole.buckets[s:e])
+               for b, s, e in zip(frame["buckets"], whole.starts[:-1], whole.starts[1:]))
+
+
 def test_toxicity_is_learned_from_votes(spark, documents, corpus):
     docs, labels = frames(spark, documents, corpus)
     out = weak_labels.toxicity(docs, labels).collect()
