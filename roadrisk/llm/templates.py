@@ -58,7 +58,11 @@ DIGITS = re.compile(r"\d+")
 
 
 class Run(NamedTuple):
-    """A text run: the path of its block elements, its text, whether it is skipped by name, in an article, in a link."""
+    """A text run: the path of its block elements, its text, whether it is skipped by name, in an article, in a link.
+
+    ``marks`` numbers the elements marked by name around it that no ``article`` element holds; ``post`` tells whether it
+    stands in an ``article`` element, ``place`` its position among the runs and tags of the page.
+    """
 
     path: str
     block: int
@@ -66,13 +70,18 @@ class Run(NamedTuple):
     skipped: bool
     article: bool
     link: bool
+    marks: tuple[int, ...] = ()
+    post: bool = False
+    place: int = 0
 
 
 class Element(NamedTuple):
     tag: str
     path: str
-    skipped: bool
+    skipped: bool  # marked by name inside an article element
     article: bool
+    marks: tuple[int, ...]
+    post: bool
 
 
 def _named(attributes: str) -> tuple[str, bool]:
@@ -84,7 +93,7 @@ def _named(attributes: str) -> tuple[str, bool]:
 
 def parsed(page: str) -> tuple[list[Run], list[str]]:
     """Text runs of the body in order, and the paths of all opened elements."""
-    stack = [Element("", "", False, False)]
+    stack = [Element("", "", False, False, (), False)]
     runs: list[Run] = []
     tags: list[str] = []
     block, at, links = 0, 0, 0
@@ -92,7 +101,8 @@ def parsed(page: str) -> tuple[list[Run], list[str]]:
     def text(raw: str) -> None:
         if raw:
             top = stack[-1]
-            runs.append(Run(top.path, block, html.unescape(raw), top.skipped, top.article, links > 0))
+            runs.append(Run(top.path, block, html.unescape(raw), top.skipped, top.article, links > 0, top.marks, top.post,
+                            len(runs) + len(tags)))
 
     for m in TOKEN.finditer(page):
         text(page[at:m.start()])
@@ -104,7 +114,7 @@ def parsed(page: str) -> tuple[list[Run], list[str]]:
         if name not in INLINE:
             block += 1
         elif name == "br":
-            runs.append(Run(stack[-1].path, block, " ", stack[-1].skipped, stack[-1].article, links > 0))
+            text(" ")
         if closing:
             deep = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
             if deep:
@@ -134,12 +144,46 @@ def parsed(page: str) -> tuple[list[Run], list[str]]:
             continue
         links += name == "a"
         header = name == "header" and not top.article
-        stack.append(Element(name, path, top.skipped or name in SKIPPED or header or marked and name != "body",
-                             top.article or name in ARTICLES))
+        named = name in SKIPPED or header or marked and name != "body"
+        stack.append(Element(name, path, top.skipped or named and top.post, top.article or name in ARTICLES,
+                             (*top.marks, len(tags)) if named and not top.post else top.marks,
+                             top.post or name == "article"))
     text(page[at:])
     return runs, tags
 
 
+def settled(runs: list[Run], template: frozenset[int] = frozenset()) -> list[Run]:
+    """The runs with ``skipped`` decided: names are a hint, and the text that they would drop may overrule them.
+
+    Inside an ``article`` element marked elements go.  Elsewhere a marked element stays if it holds the only article, or
+    more than half of the page's text outside the template; if nothing else is left, marked elements are read too.
+    """
+    if not any(run.marks or run.skipped for run in runs):
+        return runs
+    sizes = [0.0 if run.skipped or not run.text.strip() or not run.article and run_token(run) in template
+             else len(run.text.strip()) * (LINK_WEIGHT if run.link else 1.0) for run in runs]
+    freed: set[int] = set()
+    for held in ([i for i, run in enumerate(runs) if run.post and sizes[i]],
+                 [i for i, run in enumerate(runs) if run.article and sizes[i]]):
+        by_marks: dict[tuple[int, ...], float] = {}
+        for i in held:
+            by_marks[runs[i].marks] = by_marks.get(runs[i].marks, 0.0) + sizes[i]
+        if by_marks and () not in by_marks:
+            freed.update(max(by_marks, key=lambda marks: (by_marks[marks], marks)))
+        if by_marks:
+            break
+    if not any(run.post and size for run, size in zip(runs, sizes)):
+        inside: dict[int, float] = {}
+        for run, size in zip(runs, sizes):
+            for mark in run.marks:
+                inside[mark] = inside.get(mark, 0.0) + size
+        freed.update(mark for mark, size in inside.items() if 2 * size > sum(sizes))
+    out = [run._replace(skipped=run.skipped or not freed.issuperset(run.marks)) for run in runs]
+    if not any(size and not run.skipped for run, size in zip(out, sizes)):
+        return [run._replace(skipped=run.skipped and any(sizes)) for run in runs]
+    return out
+
+
 def _hash(*parts: str) -> int:
     value = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
     return value - (1 << 64) if value >> 63 else value
@@ -156,6 +200,7 @@ def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
         for key, host, page in zip(frame["page"], frame["host"], frame["html"]):
             runs, tags = parsed(page or "")
+            runs = settled(runs)
             seen: dict[int, list] = {}
             for place, path in enumerate(tags):
                 seen.setdefault(_hash("<", path), [0, place, False])[0] += 1
@@ -197,7 +242,7 @@ def extracted(page: str, template: frozenset[int], main: str | None) -> str:
 
     Inside an article no run is dropped for being common: a passage that many articles share is still their text.
     """
-    kept = [run for run in parsed(page)[0] if not run.skipped
+    kept = [run for run in settled(parsed(page)[0], template) if not run.skipped
             and (run.article or not run.text.strip() or run_token(run) not in template)]
     inside = [run for run in kept if main is not None and (run.path == main or run.path.startswith(main + "/"))]
     if not any(run.text.strip() for run in inside):

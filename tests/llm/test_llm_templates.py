@@ -24,6 +24,19 @@ def test_single_pages(page, text):
     assert templates.extracted(page, NONE, None) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<form id=aspnetForm><div class=menu>m</div><div><p>the real text</div></form>", "the real text"),
+    ("<div class='content no-sidebar'><p>the real text</div><div><p>low</div>", "the real text"),
+    ("<main><h1>T</h1><article class='post comment-open'><p>text</article></main>", "T text"),
+    ("<div id='search-content'><article>text</article></div><div><p>much longer words than the text</div>", "text"),
+    ("<article>text</article><aside><article>a longer teaser</article></aside>", "text"),
+    ("<nav>only this</nav>", "only this"),
+    ("<article><form>only this</form></article>", "only this"),
+])
+def test_names_are_only_a_hint(page, text):
+    assert templates.extracted(page, NONE, None) == text
+
+
 def pages(host, n, article="div class='body'"):
     close = article.split()[0]
     return [(i, f"https://{host}/{i}?q=1",
