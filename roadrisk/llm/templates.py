@@ -195,32 +195,44 @@ def run_token(run: Run) -> int:
 
 
 def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per page its tokens with count and place, and its containers with their text."""
+    """Per page its tokens with count and place."""
     for frame in frames:
         out: list[tuple] = []
         for key, host, page in zip(frame["page"], frame["host"], frame["html"]):
             runs, tags = parsed(page or "")
-            runs = settled(runs)
             seen: dict[int, list] = {}
             for place, path in enumerate(tags):
                 seen.setdefault(_hash("<", path), [0, place, False])[0] += 1
-            sizes: dict[str, float] = {}
             for place, run in enumerate(runs):
-                plain = run.text.strip()
-                if not plain:
-                    continue
-                seen.setdefault(run_token(run), [0, place + len(tags), True])[0] += 1
-                if not run.skipped:
+                if run.text.strip():
+                    seen.setdefault(run_token(run), [0, place + len(tags), True])[0] += 1
+            out.append((host, 0, key, 1, 0, False))
+            out += [(host, token, key, n, place, fixed) for token, (n, place, fixed) in seen.items()]
+        yield pd.DataFrame(out, columns=["host", "token", "page", "n", "place", "fixed"])
+
+
+def _held(template: object, known: dict[bytes, frozenset[int]]) -> frozenset[int]:
+    """The tokens of a stored template, made once per batch."""
+    key = template.tobytes() if isinstance(template, np.ndarray) else b""
+    if key not in known:
+        known[key] = frozenset(template.tolist()) if key else frozenset()
+    return known[key]
+
+
+def _regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per page its containers with the worth of their slot text: what no template token covers."""
+    for frame in frames:
+        out: list[tuple] = []
+        known: dict[bytes, frozenset[int]] = {}
+        for host, page, tokens in zip(frame["host"], frame["html"], frame["template"]):
+            template = _held(tokens, known)
+            sizes: dict[str, float] = {}
+            for run in settled(parsed(page or "")[0], template):
+                if not run.skipped and run.text.strip() and run_token(run) not in template:
                     inside = container(run)
                     sizes[inside] = sizes.get(inside, 0.0) + worth(run)
-            out.append((host, 0, "", key, 1, 0, False, 0.0))
-            out += [(host, token, "", key, n, place, fixed, 0.0) for token, (n, place, fixed) in seen.items()]
-            out += [(host, None, path, key, 0, 0, False, size) for path, size in sizes.items()]
-        names = ["host", "token", "path", "page", "n", "place", "fixed", "worth"]
-        columns = dict(zip(names, zip(*out)))
-        # Not through floats, which cannot hold a hash.
-        yield pd.DataFrame({**columns, "token": pd.array(columns["token"], dtype="Int64")} if out else columns,
-                           columns=names)
+            out += [(host, path, size) for path, size in sizes.items()]
+        yield pd.DataFrame(out, columns=["host", "path", "worth"])
 
 
 def worth(run: Run) -> float:
@@ -266,13 +278,11 @@ def host_of(url: Column) -> Column:
 def host_templates(pages: DataFrame) -> DataFrame:
     """Per host: pages, the tokens of its valid classes and the path of its main container.  Written."""
     spread = pages.select(F.xxhash64("page_id", "url").alias("page"), host_of(F.col("url")).alias("host"), "html")
-    tokens = spread.mapInPandas(_tokens, "host string, token long, path string, page long, n int, place int, "
-                                         "fixed boolean, worth double")
-    # One pass over the pages feeds both: tokens have a number, containers a path.
-    summed = written(tokens.groupBy("host", "token", "path").agg(
+    tokens = spread.mapInPandas(_tokens, "host string, token long, page long, n int, place int, fixed boolean")
+    summed = written(tokens.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
-        F.avg("place").alias("place"), F.max("n").alias("most"), F.bool_or("fixed").alias("fixed"),
-        F.sum("worth").alias("worth")).where("token is null or token = 0 or pages > 1"), "tokens")
+        F.avg("place").alias("place"), F.max("n").alias("most"), F.bool_or("fixed").alias("fixed"))
+        .where("token = 0 or pages > 1"), "tokens")
     hosts = written(summed.where("token = 0").select("host", F.col("pages").alias("all_pages")), "hosts")
     common = (summed.where("token <> 0").join(hosts, "host")
               .where((F.col("all_pages") > 1) & (F.col("pages") >= SUPPORT * F.col("all_pages"))))
@@ -283,10 +293,14 @@ def host_templates(pages: DataFrame) -> DataFrame:
     valid = classes.join(roots, "host", "left").where(
         ((F.size("tokens") > 1) | F.col("fixed")) & (F.col("root") | F.col("from").isNull()
                                                      | ((F.col("first") >= F.col("from")) & (F.col("last") <= F.col("to")))))
-    template = valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
-    mains = summed.where("token is null").groupBy("host").agg(
-        F.max_by("path", F.struct("worth", "path")).alias("main"))
-    return written(hosts.join(template, "host", "left").join(mains, "host", "left"), "templates")
+    template = written(hosts.join(valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template")),
+                                  "host", "left"), "tokens_of_hosts")
+    # A second pass over the pages: what counts for the main container is slot text, which only the template tells.
+    mains = (spread.select("host", "html").join(template.select("host", "template"), "host")
+             .mapInPandas(_regions, "host string, path string, worth double")
+             .groupBy("host", "path").agg(F.sum("worth").alias("worth"))
+             .groupBy("host").agg(F.max_by("path", F.struct("worth", "path")).alias("main")))
+    return written(template.join(mains, "host", "left"), "templates")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -301,14 +315,9 @@ def main_text(pages: DataFrame) -> DataFrame:
         host_templates(pages), "host", "left")
 
     def read(page: pd.Series, template: pd.Series, main: pd.Series) -> pd.Series:
-        held: dict[bytes, frozenset[int]] = {}
-        out = []
-        for p, t, m in zip(page, template, main):
-            key = t.tobytes() if isinstance(t, np.ndarray) else b""
-            if key not in held:
-                held[key] = frozenset(t.tolist()) if key else frozenset()
-            out.append(extracted(p, held[key], m if isinstance(m, str) else None) if isinstance(p, str) else "")
-        return pd.Series(out, dtype=object)
+        known: dict[bytes, frozenset[int]] = {}
+        return pd.Series([extracted(p, _held(t, known), m if isinstance(m, str) else None) if isinstance(p, str) else ""
+                          for p, t, m in zip(page, template, main)], dtype=object)
 
     return met.withColumn("text", F.pandas_udf(read, T.StringType())("html", "template", "main")).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"),

@@ -75,6 +75,14 @@ def test_template_tokens_of_a_host(spark):
     assert run("/html/body/div.body/p", "word3 word3 word3 word3 word3 word3 word3 word3") not in host.template
 
 
+def test_repeated_text_does_not_make_a_container_main(spark):
+    terms = "".join(f"<p>Long terms of use, part {i} of them.</p>" for i in range(40))
+    rows = [(i, f"https://t.example/{i}", f"<html><body><div class='post'><p>{'word%d ' % i * 9}</p></div>"
+             f"<div class='terms'>{terms}<p>Page {i}</p></div></body></html>") for i in range(8)]
+    out = found(spark, rows)
+    assert all(r.text == ("word%d " % i * 9).strip() for (i, _), r in out.items())
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "no url", ""), (3, None, "<p>x</p>"), (3, None, "<p>x</p>"), (None, "http://h/", "<p>y"),
             (4, "http://h/", "<article>" + "<p>w " * 5000), (5, "HTTP://User@Up.Example:80/x", "<p>z</p>")]
