@@ -1,10 +1,12 @@
 """Main text of web pages by deducing each host's template.
 
 A page is a list of tokens: tags and text runs, each told apart by the path of elements it stands in.  Tokens of a host
-with the same vector of occurrences over its pages form an equivalence class; classes that occur on most pages, that
-have several tokens or fixed text, and that lie inside the root class (once on each page) make the template.  What is left
-between template tokens are slots.  The container that holds most slot text of a host is its article; containers whose
-element says article win over others, menus and the like lose.  A page's text is the slots inside that container.
+with the same vector of occurrences over its pages form an equivalence class.  Classes nest by their elements: a token
+counts if it is on most pages that have the element around it, and on most pages of the host or at least ``LAYOUT_PAGES``,
+so each layout of a host gets its template; classes of one tag alone do not count.  The template tokens in the order of a
+page, tags too, cut it into slots.  Slots with the same text on all their pages hold no content.  Pages with the same
+template tags that occur once a page have one layout; the container whose slots hold most content over a layout's pages
+is its article, and where containers are near to each other an article element wins.  A page's text is the slots inside.
 
 Vectors are never gathered: a class is known by the exclusive-or of hashes of (page, count), which Spark sums up on the
 map side, so a host with a third of all pages costs one row per token and task.
@@ -26,7 +28,9 @@ from pyspark.sql import types as T
 
 from ..operators.shared import written
 
-SUPPORT = 0.6  # share of a host's pages that a template token is on
+SUPPORT = 0.6  # share of the pages with the element around it that a template token is on
+LAYOUT_PAGES = 3  # pages that a template token of a rarer layout is on at least
+NEAR = 0.5  # containers with this share of the best one's content are near to it
 ARTICLE_WEIGHT = 1000.0
 LINK_WEIGHT = 0.1
 
@@ -53,6 +57,7 @@ TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][\w:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>"""
     r"""|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>""", re.S | re.I)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ARTICLE_PATH = r"/(article|main)(\.[^/]*)?$"
 HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/@?#]*@)?([^/:?#]+)")
 DIGITS = re.compile(r"\d+")
 
@@ -91,11 +96,19 @@ def _named(attributes: str) -> tuple[str, bool]:
     return DIGITS.sub("0", ".".join(" ".join(parts).split())), any(w in MARKS for w in words)
 
 
-def parsed(page: str) -> tuple[list[Run], list[str]]:
-    """Text runs of the body in order, and the paths of all opened elements."""
+class Tag(NamedTuple):
+    """An opened element: its path, that of the block element around it, and its position among runs and tags."""
+
+    path: str
+    around: str
+    place: int
+
+
+def parsed(page: str) -> tuple[list[Run], list[Tag]]:
+    """Text runs of the body in order, and all opened elements."""
     stack = [Element("", "", False, False, (), False)]
     runs: list[Run] = []
-    tags: list[str] = []
+    tags: list[Tag] = []
     block, at, links = 0, 0, 0
 
     def text(raw: str) -> None:
@@ -139,7 +152,7 @@ def parsed(page: str) -> tuple[list[Run], list[str]]:
         top = stack[-1]
         signature, marked = _named(m[4] or m[7] or "")
         path = top.path if name in INLINE else f"{top.path}/{name}{'.' if signature else ''}{signature}"
-        tags.append(path if name not in INLINE else f"{path}/{name}")
+        tags.append(Tag(path if name not in INLINE else f"{path}/{name}", top.path, len(runs) + len(tags)))
         if name in VOID:
             continue
         links += name == "a"
@@ -161,7 +174,7 @@ def settled(runs: list[Run], template: frozenset[int] = frozenset()) -> list[Run
     if not any(run.marks or run.skipped for run in runs):
         return runs
     sizes = [0.0 if run.skipped or not run.text.strip() or not run.article and run_token(run) in template
-             else len(run.text.strip()) * (LINK_WEIGHT if run.link else 1.0) for run in runs]
+             else content(run) for run in runs]
     freed: set[int] = set()
     for held in ([i for i, run in enumerate(runs) if run.post and sizes[i]],
                  [i for i, run in enumerate(runs) if run.article and sizes[i]]):
@@ -194,21 +207,26 @@ def run_token(run: Run) -> int:
     return _hash(run.path, " ".join(run.text.split()))
 
 
+def tag_token(path: str) -> int:
+    """The token of a tag: its path.  The page itself, around all elements, is 0."""
+    return _hash("<", path) if path else 0
+
+
 def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per page its tokens with count and place."""
+    """Per page its tokens with count and the token of the element around."""
     for frame in frames:
         out: list[tuple] = []
         for key, host, page in zip(frame["page"], frame["host"], frame["html"]):
             runs, tags = parsed(page or "")
             seen: dict[int, list] = {}
-            for place, path in enumerate(tags):
-                seen.setdefault(_hash("<", path), [0, place, False])[0] += 1
-            for place, run in enumerate(runs):
+            for tag in tags:
+                seen.setdefault(tag_token(tag.path), [0, tag_token(tag.around), False])[0] += 1
+            for run in runs:
                 if run.text.strip():
-                    seen.setdefault(run_token(run), [0, place + len(tags), True])[0] += 1
-            out.append((host, 0, key, 1, 0, False))
-            out += [(host, token, key, n, place, fixed) for token, (n, place, fixed) in seen.items()]
-        yield pd.DataFrame(out, columns=["host", "token", "page", "n", "place", "fixed"])
+                    seen.setdefault(run_token(run), [0, tag_token(run.path), True])[0] += 1
+            out.append((host, 0, 0, key, 1, False))
+            out += [(host, token, around, key, n, fixed) for token, (n, around, fixed) in seen.items()]
+        yield pd.DataFrame(out, columns=["host", "token", "around", "page", "n", "fixed"])
 
 
 def _held(template: object, known: dict[bytes, frozenset[int]]) -> frozenset[int]:
@@ -219,25 +237,53 @@ def _held(template: object, known: dict[bytes, frozenset[int]]) -> frozenset[int
     return known[key]
 
 
+def layout_of(tags: list[Tag], skeleton: frozenset[int]) -> int:
+    """One number for the set of a page's template tags that occur once a page."""
+    out = 0
+    for token in {tag_token(tag.path) for tag in tags} & skeleton if skeleton else ():
+        out ^= token
+    return out
+
+
+def slots(runs: list[Run], tags: list[Tag], template: frozenset[int]) -> Iterator[tuple[int, Run]]:
+    """The text runs that no template token covers, each with its slot: the template token last met before it."""
+    stream = [(tag.place, tag_token(tag.path), None) for tag in tags]
+    stream += [(run.place, run_token(run), run) for run in runs if run.text.strip()]
+    last = 0
+    for _, token, run in sorted(stream, key=lambda at: at[0]):
+        if token in template:
+            last = token
+        elif run is not None and not run.skipped:
+            yield last, run
+
+
 def _regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per page its containers with the worth of their slot text: what no template token covers."""
+    """Per page its layout, and its slots by container with the worth and a hash of their text."""
     for frame in frames:
         out: list[tuple] = []
         known: dict[bytes, frozenset[int]] = {}
-        for host, page, tokens in zip(frame["host"], frame["html"], frame["template"]):
+        for host, page, tokens, once in zip(frame["host"], frame["html"], frame["template"], frame["skeleton"]):
             template = _held(tokens, known)
-            sizes: dict[str, float] = {}
-            for run in settled(parsed(page or "")[0], template):
-                if not run.skipped and run.text.strip() and run_token(run) not in template:
-                    inside = container(run)
-                    sizes[inside] = sizes.get(inside, 0.0) + worth(run)
-            out += [(host, path, size) for path, size in sizes.items()]
-        yield pd.DataFrame(out, columns=["host", "path", "worth"])
+            runs, tags = parsed(page or "")
+            layout = layout_of(tags, _held(once, known))
+            cut: dict[tuple[str, int], list] = {}
+            for slot, run in slots(settled(runs, template), tags, template):
+                cut.setdefault((container(run), slot), []).append(run)
+            # Without a path: the page itself.
+            out.append((host, layout, None, 0, 0, 0.0))
+            out += [(host, layout, path, slot, _hash(*[run.text for run in inside]), sum(map(content, inside)))
+                    for (path, slot), inside in cut.items()]
+        yield pd.DataFrame(out, columns=["host", "layout", "path", "slot", "text", "worth"])
+
+
+def content(run: Run) -> float:
+    """What the text of a run counts, whatever the names around it: links little."""
+    return len(run.text.strip()) * (LINK_WEIGHT if run.link else 1.0)
 
 
 def worth(run: Run) -> float:
-    """What the text of a run counts for its container: links little, articles much."""
-    return len(run.text.strip()) * (ARTICLE_WEIGHT if run.article else 1.0) * (LINK_WEIGHT if run.link else 1.0)
+    """What the text of a run counts on a page without a main container of its layout: articles much."""
+    return content(run) * (ARTICLE_WEIGHT if run.article else 1.0)
 
 
 def container(run: Run) -> str:
@@ -249,12 +295,16 @@ def container(run: Run) -> str:
     return "/".join(steps[:-1])
 
 
-def extracted(page: str, template: frozenset[int], main: str | None) -> str:
-    """The slots of a page inside the main container of its host, or else of the page's own.
+def extracted(page: str, template: frozenset[int], main: str | None, skeleton: frozenset[int] = frozenset(),
+              mains: dict[int, str] | None = None) -> str:
+    """The slots of a page inside the main container of its layout or host, or else of the page's own.
 
     Inside an article no run is dropped for being common: a passage that many articles share is still their text.
     """
-    kept = [run for run in settled(parsed(page)[0], template) if not run.skipped
+    runs, tags = parsed(page)
+    if mains:
+        main = mains.get(layout_of(tags, skeleton), main)
+    kept = [run for run in settled(runs, template) if not run.skipped
             and (run.article or not run.text.strip() or run_token(run) not in template)]
     inside = [run for run in kept if main is not None and (run.path == main or run.path.startswith(main + "/"))]
     if not any(run.text.strip() for run in inside):
@@ -276,31 +326,46 @@ def host_of(url: Column) -> Column:
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """Per host: pages, the tokens of its valid classes and the path of its main container.  Written."""
+    """Per host: pages, the tokens of its valid classes, those that are tags met once a page, the path of its main
+    container, and the layouts that have another one.  Written."""
     spread = pages.select(F.xxhash64("page_id", "url").alias("page"), host_of(F.col("url")).alias("host"), "html")
-    tokens = spread.mapInPandas(_tokens, "host string, token long, page long, n int, place int, fixed boolean")
+    tokens = spread.mapInPandas(_tokens, "host string, token long, around long, page long, n int, fixed boolean")
     summed = written(tokens.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
-        F.avg("place").alias("place"), F.max("n").alias("most"), F.bool_or("fixed").alias("fixed"))
+        F.min("around").alias("around"), F.max("n").alias("most"), F.bool_or("fixed").alias("fixed"))
         .where("token = 0 or pages > 1"), "tokens")
     hosts = written(summed.where("token = 0").select("host", F.col("pages").alias("all_pages")), "hosts")
-    common = (summed.where("token <> 0").join(hosts, "host")
-              .where((F.col("all_pages") > 1) & (F.col("pages") >= SUPPORT * F.col("all_pages"))))
+    around = summed.select("host", F.col("token").alias("around"), F.col("pages").alias("around_pages"))
+    common = (summed.where("token <> 0").join(hosts, "host").join(around, ["host", "around"])
+              .where((F.col("all_pages") > 1) & (F.col("pages") >= SUPPORT * F.col("around_pages"))
+                     & ((F.col("pages") >= SUPPORT * F.col("all_pages")) | (F.col("pages") >= LAYOUT_PAGES))))
     classes = common.groupBy("host", "vector").agg(
-        F.collect_list("token").alias("tokens"), F.min("place").alias("first"), F.max("place").alias("last"),
-        F.bool_or("fixed").alias("fixed"), F.max((F.col("pages") == F.col("all_pages")) & (F.col("most") == 1)).alias("root"))
-    roots = classes.where("root").groupBy("host").agg(F.min("first").alias("from"), F.max("last").alias("to"))
-    valid = classes.join(roots, "host", "left").where(
-        ((F.size("tokens") > 1) | F.col("fixed")) & (F.col("root") | F.col("from").isNull()
-                                                     | ((F.col("first") >= F.col("from")) & (F.col("last") <= F.col("to")))))
-    template = written(hosts.join(valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template")),
-                                  "host", "left"), "tokens_of_hosts")
-    # A second pass over the pages: what counts for the main container is slot text, which only the template tells.
-    mains = (spread.select("host", "html").join(template.select("host", "template"), "host")
-             .mapInPandas(_regions, "host string, path string, worth double")
-             .groupBy("host", "path").agg(F.sum("worth").alias("worth"))
-             .groupBy("host").agg(F.max_by("path", F.struct("worth", "path")).alias("main")))
-    return written(template.join(mains, "host", "left"), "templates")
+        F.collect_list("token").alias("tokens"), F.bool_or("fixed").alias("fixed"),
+        F.collect_list(F.when(~F.col("fixed") & (F.col("most") == 1), F.col("token"))).alias("skeleton"))
+    valid = classes.where((F.size("tokens") > 1) | F.col("fixed")).groupBy("host").agg(
+        F.flatten(F.collect_list("tokens")).alias("template"), F.flatten(F.collect_list("skeleton")).alias("skeleton"))
+    template = written(hosts.join(valid, "host", "left"), "tokens_of_hosts")
+    # A second pass over the pages: only the template tells the slots.
+    cut = (spread.select("host", "html").join(template.select("host", "template", "skeleton"), "host")
+           .mapInPandas(_regions, "host string, layout long, path string, slot long, text long, worth double")
+           .groupBy("host", "layout", "path", "slot").agg(
+               F.count(F.lit(1)).alias("pages"), F.min("text").alias("least"), F.max("text").alias("greatest"),
+               F.sum("worth").alias("worth")))
+    cut = written(cut.where("path is null or pages = 1 or least <> greatest"), "slots")
+
+    def best(*keys: str) -> DataFrame:
+        regions = cut.where("path is not null").groupBy(*keys, "path").agg(F.sum("worth").alias("worth"))
+        top = regions.groupBy(*keys).agg(F.max("worth").alias("top"))
+        return regions.join(top, list(keys)).where(F.col("worth") >= NEAR * F.col("top")).groupBy(*keys).agg(
+            F.max_by("path", F.struct(F.col("path").rlike(ARTICLE_PATH).alias("named"), "worth", "path")).alias("main"))
+
+    mains = best("host")
+    known = cut.where(F.col("path").isNull() & (F.col("pages") >= LAYOUT_PAGES)).select("host", "layout")
+    others = (best("host", "layout").withColumnRenamed("main", "own").join(known, ["host", "layout"]).join(mains, "host")
+              .where("own <> main").groupBy("host").agg(
+                  F.sort_array(F.collect_list(F.struct("layout", "own"))).alias("others"))
+              .select("host", F.col("others.layout").alias("layouts"), F.col("others.own").alias("layout_mains")))
+    return written(template.join(mains, "host", "left").join(others, "host", "left"), "templates")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -314,11 +379,15 @@ def main_text(pages: DataFrame) -> DataFrame:
     met = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(
         host_templates(pages), "host", "left")
 
-    def read(page: pd.Series, template: pd.Series, main: pd.Series) -> pd.Series:
+    def read(page: pd.Series, template: pd.Series, main: pd.Series, skeleton: pd.Series, layouts: pd.Series,
+             own: pd.Series) -> pd.Series:
         known: dict[bytes, frozenset[int]] = {}
-        return pd.Series([extracted(p, _held(t, known), m if isinstance(m, str) else None) if isinstance(p, str) else ""
-                          for p, t, m in zip(page, template, main)], dtype=object)
+        return pd.Series([extracted(p, _held(t, known), m if isinstance(m, str) else None, _held(k, known),
+                                    dict(zip(at, paths)) if isinstance(at, np.ndarray) else None)
+                          if isinstance(p, str) else ""
+                          for p, t, m, k, at, paths in zip(page, template, main, skeleton, layouts, own)], dtype=object)
 
-    return met.withColumn("text", F.pandas_udf(read, T.StringType())("html", "template", "main")).select(
+    return met.withColumn("text", F.pandas_udf(read, T.StringType())(
+        "html", "template", "main", "skeleton", "layouts", "layout_mains")).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"),
         F.coalesce(F.size("template"), F.lit(0)).alias("n_template"))

@@ -83,6 +83,23 @@ def test_repeated_text_does_not_make_a_container_main(spark):
     assert all(r.text == ("word%d " % i * 9).strip() for (i, _), r in out.items())
 
 
+def test_each_layout_of_a_host_gets_its_template(spark):
+    blog = [(i, f"https://l.example/{i}", f"<html><body><div class='top'><p>Visitor {i}</p></div><div class='post'>"
+             f"<p>{'word%d ' % i * 30}</p><p>Read more.</p></div></body></html>") for i in range(40)]
+    shop = [(i, f"https://l.example/{i}", f"<html><body><div class='top'><p>Visitor {i}</p></div><div class='goods'>"
+             f"<h2>Buy now</h2><p>{'thing%d ' % i * 20}</p><p>Free delivery.</p></div></body></html>") for i in range(40, 46)]
+    quoted = [(i, u, h.replace("Read more.", "Read more.</p><p>A quotation.") if i < 4 else h) for i, u, h in blog]
+    out = {i: r.text for (i, _), r in found(spark, quoted + shop).items()}
+    assert all(out[i] == ("word%d " % i * 30).strip() + (" A quotation." if i < 4 else "") for i in range(40))
+    assert all(out[i] == ("thing%d " % i * 20).strip() for i in range(40, 46))
+
+
+def test_content_decides_over_element_names(spark):
+    rows = [(i, f"https://n.example/{i}", f"<html><body><article class='tip'><p>Tip {i}</p></article><div class='story'>"
+             f"<p>{'word%d ' % i * 30}</p></div></body></html>") for i in range(8)]
+    assert all(r.text == ("word%d " % i * 30).strip() for (i, _), r in found(spark, rows).items())
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "no url", ""), (3, None, "<p>x</p>"), (3, None, "<p>x</p>"), (None, "http://h/", "<p>y"),
             (4, "http://h/", "<article>" + "<p>w " * 5000), (5, "HTTP://User@Up.Example:80/x", "<p>z</p>")]
