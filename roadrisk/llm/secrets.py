@@ -22,7 +22,9 @@ from .winnowing import let
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}=*"  # an inner "=" ends a run: a name and its value are two
+# Parts of a run that fits no alphabet: keys joined to names or paths, with the signs of either base64 or of neither.
+PARTS = (r"[^/]{20,}", r"[^_-]{20,}", r"[^_/-]{20,}")
 KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6
 MASK = "*"
@@ -204,17 +206,26 @@ def tested_runs(text: Column, base: Column) -> Column:
         base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
     def cut(s: Column) -> Column:
-        token = F.rtrim(F.substring(text, s["start"] + 1, s["end"] - s["start"]), F.lit("="))
-        return let(token, lambda t: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), t.alias("token"), encoding_of(t).alias("encoding"),
-            F.length(t).alias("n")))
+        def part(run: Column, p: Column) -> Column:
+            token = F.rtrim(F.substring(run, p["start"] + 1, p["end"] - p["start"]), F.lit("="))
+            return let(token, lambda t: F.struct(
+                (s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), t.alias("token"),
+                encoding_of(t).alias("encoding"), F.length(t).alias("n")))
+
+        def parts(run: Column) -> Column:
+            whole = F.array(F.struct(F.lit(0).alias("start"), F.length(run).alias("end"), F.length(run).alias("n")))
+            split = F.array_distinct(F.concat(*[_spans(run, pattern) for pattern in PARTS]))
+            return F.transform(F.when(encoding_of(F.rtrim(run, F.lit("="))).isNotNull(), whole).otherwise(split),
+                               lambda p: part(run, p))
+
+        return let(F.substring(text, s["start"] + 1, s["end"] - s["start"]), parts)
 
     def tested(t: Column) -> Column:
         return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["encoding"].alias("encoding"),
                         t["n"].alias("n"), battery(t["token"], t["encoding"]).alias("p"))
 
     least = [n for _, _, n in ALPHABETS]
-    long = F.filter(F.transform(free, cut), lambda t: t["encoding"].isNotNull()
+    long = F.filter(F.flatten(F.transform(free, cut)), lambda t: t["encoding"].isNotNull()
                     & (t["n"] >= _by_encoding(t["encoding"], least)))
     return F.transform(long, tested)
 

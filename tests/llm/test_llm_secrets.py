@@ -55,6 +55,21 @@ def test_random_runs_are_added_and_words_are_not(scanned):
     assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in out.values())
 
 
+def test_keys_joined_to_names_and_paths_are_found(scanned):
+    rng = random.Random(9)
+    rows, keys = [], []
+    for i in range(24):
+        key = "+/".join(base64.b64encode(rng.randbytes(18)).decode() for _ in range(2))
+        before = ("AWS_SECRET_ACCESS_KEY=", "private_key=", "auth=", "key-of_")[i % 4]
+        rows.append((i, f"see {before}{key} there"))
+        keys.append((4 + len(before), 4 + len(before) + len(key)))
+    words = ["some-long_path/with/many-parts_and_words/in/it", "name_of_a_long_setting=value_of_a_long_setting/and-more"]
+    out = {r.doc_id: r for r in scanned(rows + [(100 + i, f"x {w} y") for i, w in enumerate(words)])}
+    hit = [i for i, (a, b) in enumerate(keys) if (a, 3, b) in [tuple(s) for s in out[i].spans]]
+    assert len(hit) >= 0.8 * len(keys) and any(i % 4 == 3 for i in hit) and any(i % 4 == 0 for i in hit)
+    assert not [i for i in out if i >= 100 and out[i].spans]
+
+
 def test_tails(spark):
     row = spark.range(1).select(
         secrets.upper_tail(F.lit(1.959964)).alias("a"), secrets.upper_tail(F.lit(-1.0)).alias("b"),
