@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import host_rules
+from . import host_rules, url_rules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -83,8 +83,21 @@ SELECT doc_id, cast(length(h) // 2 AS bigint) AS n_bytes, cast(ifnull(n_removed,
        ifnull(n_spans, 0) AS n_spans, sha256(unhex(ifnull(kept, '') || substr(h, 2 * ifnull(last, 0) + 1))) AS kept_sha256
 FROM docs LEFT JOIN summed USING (doc_id)"""
 
+# Every rule against the host and path of every URL.
+URL_RULES = rf"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(map(str, url_rules.RULES))}),
+parts AS (SELECT DISTINCT url, translate(regexp_extract(ifnull(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+                 regexp_extract(ifnull(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+fits AS (SELECT p.url, r.host || r.path AS rule, r.verdict, row_number() OVER (
+                    PARTITION BY p.url ORDER BY length(r.host || r.path) DESC, length(r.host) DESC, r.verdict DESC) AS n
+         FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, parts.host, parts.path, rule, ifnull(verdict, 'allow') AS verdict
+FROM pages JOIN parts ON pages.url IS NOT DISTINCT FROM parts.url
+     LEFT JOIN fits ON parts.url IS NOT DISTINCT FROM fits.url AND n = 1"""
+
 ORACLES = {
     "op3_winnowing_decontamination": CONTAMINATION,
     "op5_lpf_dedup": REPEATS,
     "op7_host_rules": HOST_RULES,
+    "op11_url_rules": URL_RULES,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (factorisation, host_rules, oracles, secrets, segmentation, sharding, simhash, suffix_dedup, templates,
-               weak_labels, winnowing)
+from . import (alignment, factorisation, host_rules, oracles, periodic_runs, secrets, segmentation, sharding, simhash,
+               suffix_dedup, templates, url_rules, weak_labels, winnowing)
 from .common import table
 
 
@@ -63,11 +63,37 @@ def op10_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_rules.RULES), "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = alignment.spelt("groups")
+    found = alignment.align(table(spark, sf_dir, "documents")).withColumns({
+        "n_groups": F.size("groups").cast("long"),
+        "groups_sha256": F.when(F.size("groups") == 0, "").otherwise(F.sha2(groups, 256))}).drop("groups")
+    return alignment.scored(found).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def line(run: Column) -> Column:
+        return F.concat_ws("", F.concat_ws(",", *[run[name].cast("string") for name in ("start", "length", "period")]), F.lit("\n"))
+
+    found = periodic_runs.periodic_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents")))
+    return found.withColumn("best", periodic_runs.strongest("runs")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_gumbel_segmentation, op2_template_extraction, op3_winnowing_decontamination, op4_factorisation_quality,
         op5_lpf_dedup, op6_feistel_sharding, op7_host_rules, op8_gray_simhash, op9_weak_toxicity,
-        op10_randomness_secrets)
+        op10_randomness_secrets, op11_url_rules, op12_diagonal_alignment, op13_periodic_runs)
 }
 
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
