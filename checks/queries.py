@@ -902,7 +902,7 @@ def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
         landing.table_stream(spark, f"{root}/landed", max_files=1),
         [(stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress",
         f"{root}/polls", poll="poll"))
-    return spark.read.parquet(f"{root}/mart")
+    return sinks.read(spark, f"{root}/mart")
 
 
 @query("stream_trailing", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.times import Moment, today
+from ..operators import sinks
 
 LAYERS = ("raw", "raw_archive", "staging", "analytics", "marts", "ml_predictions")
 
@@ -18,8 +19,8 @@ def table_path(root: str, layer: str, table: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(table_path(root, layer, table))
+    """A stored table, pinned to its newest version."""
+    return sinks.read(spark, table_path(root, layer, table), schema)
 
 
 def trailing_days(rows: DataFrame, time: str, as_of: Moment = None, days: int = fixed.EXTRACT_DAYS) -> DataFrame:

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from ast import literal_eval
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import schemas
-from ..operators import sinks
+from ..operators import files, sinks
 from ..sources.payloads import CORRUPT, parsed
 
 Stage = Callable[[DataFrame], DataFrame]
 GOOD, BROKEN = "good", "broken"
-BATCH = "_batch"
+BATCH, POLL = "_batch", "_poll"
+ROWS, POLLS = "rows", "polls"
 
 
 def landed_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -49,14 +52,68 @@ def kept_batches(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(path)
 
 
+def known_polls(spark: SparkSession, path: str) -> list:
+    """The polls that are stored below ``path``, oldest first, as the values of their column."""
+    entries = [name for name in files.names(spark, f"{path}/{POLLS}") if name.isdigit()]
+    return literal_eval(files.read_text(spark, f"{path}/{POLLS}/{entries[-1]}")) if entries else []
+
+
+def poll_rows(spark: SparkSession, path: str, schema: StructType, poll) -> DataFrame:
+    """The stored rows of one poll; the filter is on the column that the table is stored by, so no other poll is read."""
+    return spark.read.schema(StructType([*schema.fields, StructField(POLL, StringType()), StructField(BATCH, LongType())])).parquet(
+        f"{path}/{ROWS}").where(F.col(POLL) == F.lit(str(poll))).drop(POLL, BATCH)
+
+
+def keep_polls(batch: DataFrame, number: int, path: str, poll: str, keep: int = 2) -> tuple[object, bool]:
+    """Store a micro-batch by poll.  Returns the newest poll so far, None without one, and whether the batch has rows of it.
+
+    Only the ``keep`` newest polls stay; rows of older ones, and those without a poll, are not stored.  A list of the polls is
+    created for each batch, so neither the newest poll nor what is left over has to be looked for in the rows.  A
+    repeated batch replaces its own rows and finds its list made.
+    """
+    spark = batch.sparkSession
+    before = known_polls(spark, path)
+    # The driver gets no more than ``keep`` values.
+    newest = [r[0] for r in batch.where(F.col(poll).isNotNull()).select(poll).distinct().orderBy(F.desc(poll)).limit(keep).collect()]
+    polls = sorted({*before, *map(_plain, newest)})[-keep:]
+    stored = [p for p in map(_plain, newest) if p in polls]
+    if stored:
+        rows = batch.where(F.col(poll) >= F.lit(newest[stored.index(min(stored))])).withColumns(
+            {POLL: F.col(poll).cast("string"), BATCH: F.lit(number).cast("long")})
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(POLL, BATCH).parquet(f"{path}/{ROWS}")
+    files.create(spark, f"{path}/{POLLS}/{number:010d}", repr(polls))
+    for old in set(before) - set(polls):
+        files.drop(spark, f"{path}/{ROWS}/{POLL}={_escaped(spark, str(old))}")
+    for name in files.names(spark, f"{path}/{POLLS}"):
+        if name.isdigit() and int(name) < number - 1:
+            files.drop(spark, f"{path}/{POLLS}/{name}")
+    return (polls[-1] if polls else None), bool(stored) and stored[0] == polls[-1]
+
+
+def _plain(value):
+    """A poll as a number or a text that is ordered like it and reads as Spark writes it."""
+    if isinstance(value, (int, str)):
+        return value
+    if isinstance(value, dt.datetime):
+        whole = value.replace(tzinfo=None).isoformat(" ")
+        return whole.rstrip("0") if value.microsecond else whole
+    if isinstance(value, dt.date):
+        return value.isoformat()
+    raise TypeError(f"a poll is a number, a text or a time, not {type(value).__name__}")
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoint: str, landed: str,
-                     poll: str = "fetched_at", every: str | None = None) -> StreamingQuery:
+                     poll: str = "fetched_at", every: str | None = None, keep: int = 2) -> StreamingQuery:
     """Rebuild a chain of tables from the newest poll, so only the newest snapshot lives.
 
     A poll is all rows with the same value of ``poll``, and may span several
-    micro-batches: each batch is stored below ``landed`` first, and the tables
-    are built from all stored rows of the newest poll, which later rows of
-    older polls do not change.
+    micro-batches: each batch is stored by poll below ``landed`` first, and the
+    tables are built from the stored rows of the newest poll alone.  A batch
+    without rows of it changes no table.  The ``keep`` newest polls stay stored.
 
     Every step is a plan and a path; the first plan reads the poll, each later
     one the table before it.  A repeated batch gives the same rows, so a restart
@@ -66,15 +123,13 @@ def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoi
 
     def rebuild(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        keep_batch(batch, number, landed)
-        held = kept_batches(spark, landed, schema)
-        newest = held.agg(F.max(poll).alias("newest")).first()["newest"]
-        if newest is None:
+        newest, grown = keep_polls(batch, number, landed, poll, keep)
+        if not grown:
             return
-        rows = held.where(F.col(poll) == F.lit(newest)).drop(BATCH)
+        rows = poll_rows(spark, landed, schema, newest)
         for plan, path in steps:
             sinks.replace(plan(rows), path)
-            rows = spark.read.parquet(path)
+            rows = sinks.read(spark, path)
 
     writer = stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from conftest import AS_OF, one, plan_text
 
 from roadrisk import schemas
-from roadrisk.operators import fill, quality, sinks
+from roadrisk.operators import files, fill, quality, sinks
 from roadrisk.plans import staging
 
 
@@ -14,7 +14,7 @@ def numbers(spark, *values):
 
 
 def ids(spark, path):
-    return sorted(r.id for r in spark.read.parquet(path).collect())
+    return sorted(r.id for r in sinks.read(spark, path).collect())
 
 
 def test_replace(spark, tmp_path):
@@ -67,13 +67,79 @@ def test_a_failed_replace_leaves_the_table(spark, tmp_path):
         sinks.replace(numbers(spark, 3).selectExpr("if(id = 3, raise_error('stop'), id) AS id"), path)
     assert ids(spark, path) == [1, 2]
     # Rows may come from the table itself.
-    sinks.replace(spark.read.parquet(path).selectExpr("id + 10 AS id"), path)
-    assert ids(spark, path) == [11, 12]
-    # A job that died between the two renames.
-    (tmp_path / "t").rename(tmp_path / f"t{sinks.PREVIOUS}")
+    sinks.replace(sinks.read(spark, path).selectExpr("id + 10 AS id"), path)
     assert sorted(r.id for r in sinks.existing(spark, path).collect()) == [11, 12]
     sinks.replace(numbers(spark, 4), path)
-    assert ids(spark, path) == [4] and not (tmp_path / f"t{sinks.PREVIOUS}").exists()
+    assert ids(spark, path) == [4]
+    assert len(list((tmp_path / "t" / sinks.DATA).iterdir())) == sinks.KEPT_VERSIONS  # nothing is left of the failed one
+
+
+def test_a_reader_sees_one_version_at_every_step(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert sinks.replace(numbers(spark, 1, 2), path) == 1
+    pinned = sinks.read(spark, path)
+    seen = []
+    look = lambda: seen.append(ids(spark, path))
+    for name in ("create", "drop"):
+        real = getattr(files, name)
+
+        def step(*args, real=real):
+            look()
+            out = real(*args)
+            look()
+            return out
+        monkeypatch.setattr(files, name, step)
+    sinks.replace(numbers(spark, 3), path)
+    assert seen == [[1, 2], [3]]
+    assert sorted(r.id for r in pinned.collect()) == [1, 2]  # opened before the replace
+    sinks.replace(numbers(spark, 4), path)
+    assert seen[2:] == [[3]] + [[4]] * 5
+    assert sinks.versions(spark, path) == [2, 3]
+    assert [r.id for r in sinks.read(spark, path, version=2).collect()] == [3]
+    with pytest.raises(ValueError, match="no version 1"):
+        sinks.read(spark, path, version=1)
+
+
+def test_of_two_writers_one_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.replace(numbers(spark, 1), path)
+    real = files.create
+
+    def late(*args):  # another writer commits between the look at the log and the entry
+        monkeypatch.setattr(files, "create", real)
+        sinks.replace(numbers(spark, 2), path)
+        return real(*args)
+    monkeypatch.setattr(files, "create", late)
+    with pytest.raises(sinks.TableChanged):
+        sinks.replace(numbers(spark, 3), path)
+    assert ids(spark, path) == [2]
+    with pytest.raises(sinks.TableChanged):
+        sinks.replace(numbers(spark, 4), path, based_on=1)
+    assert ids(spark, path) == [2] and sinks.replace(numbers(spark, 5), path, based_on=2) == 3
+    assert len(list((tmp_path / "t" / sinks.DATA).iterdir())) == sinks.KEPT_VERSIONS
+
+
+def test_a_plain_table_is_read_and_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.append(numbers(spark, 1), path)
+    sinks.append(numbers(spark, 2), path)
+    assert ids(spark, path) == [1, 2] and sinks.versions(spark, path) == []
+    sinks.replace(numbers(spark, 3), path)
+    assert ids(spark, path) == [3] and sorted(f.name for f in (tmp_path / "t").iterdir()) == [sinks.DATA, sinks.LOG]
+    sinks.append(numbers(spark, 3, 4), path, new_by=["id"])
+    assert ids(spark, path) == [3, 4]
+
+
+def test_the_kept_row_of_a_key_does_not_depend_on_the_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(k, t, f"n{t}", {"a": 1}) for k in (1, 2, None) for t in (5, 3, None, 4)],
+                                 "id long, t long, name string, m map<string,int>")
+    for i, parts in enumerate((1, 5)):
+        for order, want in ((["t"], None), (["name"], 3)):
+            path = str(tmp_path / f"{i}{order[0]}")
+            sinks.append(rows.repartition(parts, "t"), path, ["id"], order)
+            sinks.append(rows.where("t = 3"), path, ["id"], order)
+            got = sinks.read(spark, path).collect()
+            assert len(got) == 3 and {r.t for r in got} == {want} and got[0].m == {"a": 1}
 
 
 def test_audit_keeps_present_values(spark):

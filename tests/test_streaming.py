@@ -1,10 +1,14 @@
 import datetime as dt
 import json
+import os
 import random
 
+import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 from roadrisk import schemas
+from roadrisk.operators import sinks
 from roadrisk.plans import staging, traffic_mart
 from roadrisk.sources import cities, payloads
 from roadrisk.streaming import landing, windows
@@ -37,7 +41,7 @@ def test_snapshot_keeps_the_newest_batch(spark, tmp_path):
         run(landing.refresh_snapshot(landing.landed_stream(spark, str(landed), max_files=1), [
             (stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress",
             f"{root}/polls"))
-        return {(r.city, r.congestion_score) for r in spark.read.parquet(f"{root}/mart").collect()}
+        return {(r.city, r.congestion_score) for r in sinks.read(spark, f"{root}/mart").collect()}
 
     first, second = "2024-01-31 10:00:00", "2024-01-31 10:30:00"
     land(landed, "1.json", answer("Fresno", 15, first), answer("Oakland", 60, first))
@@ -50,6 +54,40 @@ def test_snapshot_keeps_the_newest_batch(spark, tmp_path):
     assert refresh() == {("Fresno", 80), ("Oakland", 100), ("San Jose", 10)}
 
 
+def polls(spark, kind, *batches):
+    return [(spark.createDataFrame(rows, f"poll {kind}, n long"), i) for i, rows in enumerate(batches)]
+
+
+T = dt.datetime
+
+
+@pytest.mark.parametrize("kind, a, b, c, d", [
+    ("long", 9, 10, 11, 100), ("string", "a b/c", "b=1", "c:2", "d%"),
+    ("timestamp_ntz", T(2024, 1, 31, 9), T(2024, 1, 31, 9, 30), T(2024, 1, 31, 9, 30, 0, 500), T(2024, 2, 1)),
+    ("timestamp", T(2024, 1, 31, 9), T(2024, 1, 31, 9, 30), T(2024, 1, 31, 9, 30, 0, 500), T(2024, 2, 1)),
+    ("date", dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 2, 1))])
+def test_a_batch_reads_one_poll_and_old_polls_go(spark, tmp_path, kind, a, b, c, d):
+    path = str(tmp_path / "polls")
+    seen = []
+    steps = polls(spark, kind, [(a, 1), (b, 2)], [(a, 3), (None, 4)], [(a, 5), (c, 6)], [(b, 7), (a, 8)], [(None, 9)], [(d, 10), (c, 11)])
+    for batch, number in steps + steps[-1:]:  # the last one is repeated
+        newest, grown = landing.keep_polls(batch, number, path, "poll", keep=2)
+        held = landing.poll_rows(spark, path, batch.schema, newest)
+        seen.append((sorted(r.n for r in held.collect()), grown, len(landing.known_polls(spark, path))))
+        assert len([f for f in os.listdir(f"{path}/rows") if f.startswith("_poll=")]) <= 2
+        assert len([f for f in os.listdir(f"{path}/polls") if not f.startswith(".")]) <= 2
+    assert seen == [([2], True, 2), ([2], False, 2), ([6], True, 2), ([6], False, 2), ([6], False, 2), ([10], True, 2), ([10], True, 2)]
+    # The poll is a filter on the column that the rows are stored by.
+    text = plan_text(held)
+    assert "PartitionFilters: [isnotnull(_poll" in text and "(_poll#" in text
+    assert len(held.inputFiles()) == 1 or len(held.where("false").inputFiles()) <= 2
+
+
+def test_polls_must_be_ordered_values(spark, tmp_path):
+    with pytest.raises(TypeError, match="poll"):
+        landing.keep_polls(spark.sql("SELECT 1.5D AS poll, 1L AS n"), 0, str(tmp_path / "p"), "poll")
+
+
 def test_quarantine_leaves_other_rows_alone(spark, tmp_path):
     landed, root = tmp_path / "landed", tmp_path / "out"
     broken = {"city": "Fresno", "fetched_at": "2024-01-31 10:00:00", "payload": '{"flowSegmentData": {'}
