@@ -769,6 +769,37 @@ def sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+@query("sink_versions", """
+    SELECT version, city, severity, count(*) AS accidents
+    FROM (SELECT unnest([1, 2]) AS version, * FROM stg_accidents) WHERE version = 1 OR severity >= 3 GROUP BY ALL""",
+       ("stg_accidents",))
+def sink_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced twice, read at both versions; a writer that began at the first one loses against the second."""
+    rows = shared.written(staged_accidents(spark, sf).select("city", "severity"), "accidents")
+    path = shared.scratch_path(spark, "versions")
+    first = sinks.replace(rows, path)
+    second = sinks.replace(rows.where("severity >= 3"), path, based_on=first)
+    try:
+        sinks.replace(rows.where("false"), path, based_on=first)
+    except sinks.TableChanged:
+        pass
+    return sinks.read(spark, path, version=first).withColumn("version", F.lit(first)).unionByName(
+        sinks.read(spark, path).withColumn("version", F.lit(second))).groupBy("version", "city", "severity").agg(
+        F.count(F.lit(1)).alias("accidents"))
+
+
+@query("append_first_of_key", """
+    SELECT user_id, ts, event_id, props FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2, ts, event_id) AS n FROM events) WHERE n = 1""")
+def append_first_of_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads that hold many rows of a key: the first one of the key in the first load with it stays, whole."""
+    path = shared.scratch_path(spark, "append")
+    rows = table(spark, sf, "events").select("user_id", "ts", "event_id", "props")
+    for load in (rows.where("event_id % 2 = 0"), rows):
+        sinks.append(load, path, new_by=["user_id"], order=["ts", "event_id"])
+    return sinks.read(spark, path)
+
+
 @query("catalog_table", "SELECT city, count(*) AS accidents FROM stg_accidents GROUP BY city", ("stg_accidents",))
 def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """A derived table of the session catalog, replaced when it is saved again; dropped once it has been read."""
@@ -898,10 +929,10 @@ def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     def stage(poll: DataFrame) -> DataFrame:
         return staging.stage_flow(raw(poll.sparkSession, sf, "traffic_flow_raw", lineitem=poll.drop("poll")))
 
-    _finish(landing.refresh_snapshot(
+    landing.catch_up_snapshot(
         landing.table_stream(spark, f"{root}/landed", max_files=1),
         [(stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress",
-        f"{root}/polls", poll="poll"))
+        f"{root}/polls", poll="poll")
     return sinks.read(spark, f"{root}/mart")
 
 

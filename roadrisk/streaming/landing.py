@@ -18,7 +18,7 @@ from ..sources.payloads import CORRUPT, parsed
 Stage = Callable[[DataFrame], DataFrame]
 GOOD, BROKEN = "good", "broken"
 BATCH, POLL = "_batch", "_poll"
-ROWS, POLLS = "rows", "polls"
+ROWS, POLLS, BUILT = "rows", "polls", "built"
 
 
 def landed_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -52,10 +52,15 @@ def kept_batches(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(path)
 
 
-def known_polls(spark: SparkSession, path: str) -> list:
-    """The polls that are stored below ``path``, oldest first, as the values of their column."""
+def _state(spark: SparkSession, path: str) -> dict:
+    """What is known of the stored polls: their values, oldest first, and the last batch with rows of the newest."""
     entries = [name for name in files.names(spark, f"{path}/{POLLS}") if name.isdigit()]
-    return literal_eval(files.read_text(spark, f"{path}/{POLLS}/{entries[-1]}")) if entries else []
+    return literal_eval(files.read_text(spark, f"{path}/{POLLS}/{entries[-1]}")) if entries else {"polls": [], "grown": None}
+
+
+def known_polls(spark: SparkSession, path: str) -> list:
+    """The polls that are stored below ``path``, oldest first."""
+    return _state(spark, path)["polls"]
 
 
 def poll_rows(spark: SparkSession, path: str, schema: StructType, poll) -> DataFrame:
@@ -72,7 +77,8 @@ def keep_polls(batch: DataFrame, number: int, path: str, poll: str, keep: int =
     repeated batch replaces its own rows and finds its list made.
     """
     spark = batch.sparkSession
-    before = known_polls(spark, path)
+    state = _state(spark, path)
+    before = state["polls"]
     # The driver gets no more than ``keep`` values.
     newest = [r[0] for r in batch.where(F.col(poll).isNotNull()).select(poll).distinct().orderBy(F.desc(poll)).limit(keep).collect()]
     polls = sorted({*before, *map(_plain, newest)})[-keep:]
@@ -81,13 +87,14 @@ def keep_polls(batch: DataFrame, number: int, path: str, poll: str, keep: int =
         rows = batch.where(F.col(poll) >= F.lit(newest[stored.index(min(stored))])).withColumns(
             {POLL: F.col(poll).cast("string"), BATCH: F.lit(number).cast("long")})
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(POLL, BATCH).parquet(f"{path}/{ROWS}")
-    files.create(spark, f"{path}/{POLLS}/{number:010d}", repr(polls))
+    grown = bool(stored) and stored[0] == polls[-1]
+    files.create(spark, f"{path}/{POLLS}/{number:010d}", repr({"polls": polls, "grown": number if grown else state["grown"]}))
     for old in set(before) - set(polls):
         files.drop(spark, f"{path}/{ROWS}/{POLL}={_escaped(spark, str(old))}")
     for name in files.names(spark, f"{path}/{POLLS}"):
         if name.isdigit() and int(name) < number - 1:
             files.drop(spark, f"{path}/{POLLS}/{name}")
-    return (polls[-1] if polls else None), bool(stored) and stored[0] == polls[-1]
+    return (polls[-1] if polls else None), grown
 
 
 def _plain(value):
@@ -106,35 +113,55 @@ def _escaped(spark: SparkSession, value: str) -> str:
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
+def build_snapshot(spark: SparkSession, landed: str, schema: StructType, steps: list[tuple[Stage, str]]) -> bool:
+    """Build a chain of tables from the newest stored poll; false if they were built from the same rows before.
+
+    Every step is a plan and a path; the first plan reads the poll, each later one the table before it.
+    """
+    state = _state(spark, landed)
+    done = f"{landed}/{BUILT}/{state['grown']}"
+    if state["grown"] is None or files.read_text(spark, done) is not None:
+        return False
+    rows = poll_rows(spark, landed, schema, state["polls"][-1])
+    for plan, path in steps:
+        sinks.replace(plan(rows), path)
+        rows = sinks.read(spark, path)
+    for name in files.names(spark, f"{landed}/{BUILT}"):
+        files.drop(spark, f"{landed}/{BUILT}/{name}")
+    files.create(spark, done, "")
+    return True
+
+
 def refresh_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoint: str, landed: str,
                      poll: str = "fetched_at", every: str | None = None, keep: int = 2) -> StreamingQuery:
     """Rebuild a chain of tables from the newest poll, so only the newest snapshot lives.
 
     A poll is all rows with the same value of ``poll``, and may span several
     micro-batches: each batch is stored by poll below ``landed`` first, and the
-    tables are built from the stored rows of the newest poll alone.  A batch
-    without rows of it changes no table.  The ``keep`` newest polls stay stored.
-
-    Every step is a plan and a path; the first plan reads the poll, each later
-    one the table before it.  A repeated batch gives the same rows, so a restart
-    after a failure changes nothing.
+    tables are built (``build_snapshot``) from the stored rows of the newest poll
+    alone.  A batch without rows of it changes no table.  The ``keep`` newest
+    polls stay stored.  A repeated batch gives the same rows, so a restart after
+    a failure changes nothing.
     """
-    schema = stream.schema
-
     def rebuild(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        newest, grown = keep_polls(batch, number, landed, poll, keep)
-        if not grown:
-            return
-        rows = poll_rows(spark, landed, schema, newest)
-        for plan, path in steps:
-            sinks.replace(plan(rows), path)
-            rows = sinks.read(spark, path)
+        keep_polls(batch, number, landed, poll, keep)
+        build_snapshot(batch.sparkSession, landed, stream.schema, steps)
 
     writer = stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
+def catch_up_snapshot(stream: DataFrame, steps: list[tuple[Stage, str]], checkpoint: str, landed: str,
+                      poll: str = "fetched_at", keep: int = 2) -> bool:
+    """Take in all that has landed, batch by batch, and then build the tables once; false if nothing new came.
+
+    A run that ends before its tables are built leaves that to the next one.
+    """
+    writer = stream.writeStream.foreachBatch(lambda batch, number: keep_polls(batch, number, landed, poll, keep) and None)
+    _trigger(writer.option("checkpointLocation", checkpoint), None).start().awaitTermination()
+    return build_snapshot(stream.sparkSession, landed, stream.schema, steps)
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str, every: str | None = None,
                   partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Append to a parquet table; the sink's own log makes it exactly-once."""

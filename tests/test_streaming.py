@@ -54,6 +54,36 @@ def test_snapshot_keeps_the_newest_batch(spark, tmp_path):
     assert refresh() == {("Fresno", 80), ("Oakland", 100), ("San Jose", 10)}
 
 
+def test_catching_up_builds_once(spark, tmp_path):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "out")
+    built = []
+
+    def plan(rows):
+        built.append(1)
+        return rows
+
+    def catch_up():
+        new = landing.catch_up_snapshot(landing.table_stream(spark, landed, max_files=1), [(plan, f"{root}/t")],
+                                        f"{root}/progress", f"{root}/polls", "poll")
+        return new, sorted(r.n for r in sinks.read(spark, f"{root}/t").collect()), len(built)
+
+    def land_rows(*rows):
+        spark.createDataFrame(rows, "poll long, n long").coalesce(1).write.mode("append").parquet(landed)
+
+    for n in range(3):
+        land_rows((1, n), (0, n))
+    assert catch_up() == (True, [0, 1, 2], 1)
+    assert catch_up() == (False, [0, 1, 2], 1)
+    land_rows((0, 9))
+    assert catch_up() == (False, [0, 1, 2], 1)
+    land_rows((1, 3))
+    # A run that dies before it has built the tables.
+    with pytest.raises(RuntimeError, match="stop"):
+        landing.catch_up_snapshot(landing.table_stream(spark, landed, max_files=1), [
+            (lambda rows: (_ for _ in ()).throw(RuntimeError("stop")), f"{root}/t")], f"{root}/progress", f"{root}/polls", "poll")
+    assert catch_up() == (True, [0, 1, 2, 3], 2)
+
+
 def polls(spark, kind, *batches):
     return [(spark.createDataFrame(rows, f"poll {kind}, n long"), i) for i, rows in enumerate(batches)]
 
