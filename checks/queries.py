@@ -13,7 +13,7 @@ from roadrisk.operators import fill, joins, quality, shared, sinks
 from roadrisk.plans import (correlation, features, forecast, safety_mart, staging, traffic_mart, trends, weather_fact,
                             weather_features)
 from roadrisk.sources import accidents, cities, payloads, tables
-from roadrisk.streaming import landing, windows
+from roadrisk.streaming import landing, panes, windows
 
 from . import oracle
 from .oracle import NOW, TODAY, rnd
@@ -948,9 +948,75 @@ def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def stream_trailing(spark: SparkSession, sf: str) -> DataFrame:
     """All windows up to the present, those that are still open included."""
     root = shared.scratch_path(spark, "trailing")
-    _finish(windows.refresh_panes(_events_stream(spark, sf), "ts", "city", ["level"], f"{root}/panes",
-                                  f"{root}/progress"))
-    return windows.trailing_now(spark, f"{root}/panes", "city", ["level"])
+    _finish(panes.refresh_panes(_events_stream(spark, sf), "ts", "city", ["level"], f"{root}/panes",
+                                f"{root}/progress"))
+    return panes.trailing_now(spark, f"{root}/panes", "city", ["level"])
+
+
+def _events_in_parts(spark: SparkSession, sf: str, root: str, parts: int) -> DataFrame:
+    """A stream of the events in ``parts`` files, one micro-batch each: every file spans the whole time, so later ones hold late rows."""
+    rows = table(spark, sf, "events").select(
+        F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("city"), "event_id", "ts",
+        F.regexp_extract("props", "([0-9]+)", 1).cast("double").alias("level"))
+    for part in range(parts):
+        share = F.col("event_id") % parts == part
+        rows.where(share).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return landing.table_stream(spark, f"{root}/in", max_files=1)
+
+
+# Rows of part i are late if their pane ended an hour before the latest time of the parts before.
+_PARTS = """
+    parts AS (SELECT *, event_id % 3 AS part, 'NATION_' || (user_id % 25) AS city,
+                     cast(cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS double) AS level,
+                     time_bucket(INTERVAL 30 MINUTE, ts) + to_minutes(30) AS pane_end FROM events),
+    marks AS (SELECT p AS part, (SELECT max(ts) - to_hours(1) FROM parts WHERE part < p) AS watermark
+              FROM (SELECT unnest(range(3)) AS p)),
+    judged AS (SELECT *, ifnull(pane_end <= watermark, false) AS late FROM parts JOIN marks USING (part))"""
+
+
+@query("stream_late", f"""
+    WITH {_PARTS}
+    SELECT city, event_id, ts, level, late, CASE WHEN late THEN 'behind the watermark' END AS reason,
+           CASE WHEN late THEN watermark END AS watermark, CASE WHEN late THEN part END AS batch FROM judged""")
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """All events: those in time, which the pane sums count, and the late ones with reason, watermark and batch."""
+    root = shared.scratch_path(spark, "late")
+    stream = _events_in_parts(spark, sf, root, 3)
+    _finish(panes.refresh_panes(stream, "ts", "city", ["level"], f"{root}/panes", f"{root}/progress"))
+    late = panes.late_rows(spark, f"{root}/panes", "city string, event_id long, ts timestamp_ntz, level double")
+    rows = spark.read.schema(stream.schema).parquet(f"{root}/in")
+    timely = rows.join(late.select("event_id"), "event_id", "left_anti")
+    return late.withColumnRenamed("_batch", "batch").withColumn("late", F.lit(True)).unionByName(
+        timely.withColumn("late", F.lit(False)), allowMissingColumns=True)
+
+
+@query("stream_trailing_in_time", f"""
+    WITH {_PARTS}
+    SELECT pane_end + to_minutes(30 * i) - to_hours(6) AS window_start, pane_end + to_minutes(30 * i) AS window_end,
+           city, cast(sum(n) AS bigint) AS readings, sum(k) / sum(n) AS avg_level
+    FROM (SELECT *, unnest(range(12)) AS i
+          FROM (SELECT pane_end, city, count(*) AS n, sum(level) AS k FROM judged WHERE NOT late GROUP BY ALL))
+    GROUP BY ALL""")
+def stream_trailing_in_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of six hours over the rows of several micro-batches that were in time."""
+    root = shared.scratch_path(spark, "trailing")
+    stream = _events_in_parts(spark, sf, root, 3)
+    _finish(panes.refresh_panes(stream, "ts", "city", ["level"], f"{root}/panes", f"{root}/progress"))
+    return panes.trailing_now(spark, f"{root}/panes", "city", ["level"], "6 hours")
+
+
+@query("stream_first_of_key", """
+    SELECT user_id, ts, event_id, props FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3, ts, event_id) AS n FROM events) WHERE n = 1""")
+def stream_first_of_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The first event of every user over several micro-batches that each span all days: later repeats never get in."""
+    root = shared.scratch_path(spark, "first")
+    rows = table(spark, sf, "events").select("user_id", "ts", "event_id", "props")
+    for part in range(3):
+        rows.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = landing.table_stream(spark, f"{root}/in", max_files=1)
+    _finish(windows.keep_first(stream, ["user_id"], ["ts", "event_id"], f"{root}/out", f"{root}/progress"))
+    return landing.kept_batches(spark, f"{root}/out", stream.schema).drop("_batch")
 
 
 @query("stream_trailing_closed", """

@@ -134,7 +134,7 @@ def append(rows: DataFrame, path: str, new_by: list[str] | None = None, order: l
 def first_by_key(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key, the first by ``order`` and then by every other column that has an order; partial sums come before the shuffle."""
     ranked = [*(order or []), *[f.name for f in rows.schema.fields
-                                if f.name not in keys and f.name not in (order or []) and _has_order(f.dataType)]]
+                                if f.name not in keys and f.name not in (order or []) and has_order(f.dataType)]]
     rest = [name for name in rows.columns if name not in keys]
     if not rest:
         return rows.dropDuplicates(keys)
@@ -143,11 +143,11 @@ def first_by_key(rows: DataFrame, keys: list[str], order: list[str] | None = Non
     return kept.select(*[F.col(name) if name in keys else F.col(f"_kept.`{name}`").alias(name) for name in rows.columns])
 
 
-def _has_order(kind: DataType) -> bool:
+def has_order(kind: DataType) -> bool:
     if isinstance(kind, ArrayType):
-        return _has_order(kind.elementType)
+        return has_order(kind.elementType)
     if isinstance(kind, StructType):
-        return all(_has_order(f.dataType) for f in kind.fields)
+        return all(has_order(f.dataType) for f in kind.fields)
     return not isinstance(kind, (MapType, VariantType))
 
 

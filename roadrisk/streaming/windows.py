@@ -1,4 +1,4 @@
-"""Event-time windows and de-duplication on streams.
+"""Event-time windows and de-duplication on streams.
 
 Watermarks need a zoned timestamp, so event times are cast to ``timestamp``
 under a UTC session and back to ``timestamp_ntz`` on output.
@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from threading import Event
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from ..operators.sinks import has_order
 from . import landing
 
-EVENT = "_event_time"
+EVENT, ARRIVED = "_event_time", "_arrived"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def with_event_time(rows: DataFrame, time: str, delay: str) -> DataFrame:
@@ -45,46 +47,6 @@ def trailing_means(rows: DataFrame, time: str, key: str, measures: list[str], le
         *[F.try_divide(f"_sum_{name}", f"_n_{name}").alias(f"avg_{name}") for name in measures])
 
 
-def refresh_panes(rows: DataFrame, time: str, key: str, measures: list[str], path: str, checkpoint: str,
-                  slide: str = "30 minutes", delay: str = "1 hour", every: str | None = None) -> StreamingQuery:
-    """Keep sums per key and pane of one slide up to the present, open panes included.
-
-    In update mode each micro-batch gives the new sums of the panes it touched.
-    They are stored by batch, so a repeated batch replaces itself, and
-    ``trailing_now`` reads the last sums of each pane.
-    """
-    timed = with_event_time(rows, time, delay)
-    panes = timed.groupBy(F.window(EVENT, slide).alias("pane"), F.col(key)).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(name).alias(f"_sum_{name}") for name in measures],
-        *[F.count(name).alias(f"_n_{name}") for name in measures])
-    flat = panes.select(F.col("pane.end").cast("timestamp_ntz").alias("pane_end"), "*").drop("pane")
-
-    def keep(batch: DataFrame, number: int) -> None:
-        landing.keep_batch(batch, number, path)
-
-    writer = flat.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
-
-
-def trailing_now(spark: SparkSession, path: str, key: str, measures: list[str], length: str = "24 hours",
-                 slide: str = "30 minutes") -> DataFrame:
-    """Count and means per key over every window of ``length`` that ends on a slide, also those still open.
-
-    Reads the panes of ``refresh_panes``; equals the windows of a batch over all rows that were not late.
-    """
-    stored = spark.read.option("basePath", path).parquet(path)
-    sums = ["_rows", *[f"_sum_{name}" for name in measures], *[f"_n_{name}" for name in measures]]
-    last = stored.groupBy("pane_end", key).agg(F.max_by(F.struct(*sums), landing.BATCH).alias("s")).select(
-        "pane_end", key, "s.*")
-    step, whole = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {length}")
-    ends = F.explode(F.sequence(F.col("pane_end"), F.col("pane_end") + whole - step, step)).alias("window_end")
-    windows = last.select(key, *sums, ends).groupBy("window_end", key).agg(*[F.sum(name).alias(name) for name in sums])
-    return windows.select(
-        (F.col("window_end") - whole).alias("window_start"), "window_end", key, F.col("_rows").alias("readings"),
-        *[F.try_divide(f"_sum_{name}", f"_n_{name}").alias(f"avg_{name}") for name in measures])
-
-
 class LateRows(StreamingQueryListener):
     """Rows that came too late for the state, added up over all batches of each run.
 
@@ -119,5 +81,37 @@ class LateRows(StreamingQueryListener):
 
 
 def first_of_each(rows: DataFrame, keys: list[str], time: str, delay: str = "1 hour") -> DataFrame:
-    """One row per key; the state of a key is dropped once the watermark has passed it."""
+    """One row per key; the state of a key is dropped once the watermark has passed it, so a later repeat gets in again."""
     return with_event_time(rows, time, delay).dropDuplicatesWithinWatermark(keys).drop(EVENT)
+
+
+def keep_first(rows: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str,
+               every: str | None = None) -> StreamingQuery:
+    """Store the first row of every key, whole, and never another one, however much later it comes.
+
+    The first is that of the first micro-batch with the key and there, as in ``first_by_key``, by ``order`` and then all other
+    columns.  NULL is a key.  The keys stay in the query's state, kept by RocksDB on the executors' disks: a batch
+    looks up and adds its own keys only, whatever has been stored before.  Update mode gives each key of a batch with its first
+    row and the times of the first and the last batch that had it; only keys for which both are this batch's are
+    new.  The time of a batch is part of the query's log, so a repeated batch stores the same rows again.
+    """
+    spark = rows.sparkSession
+    kept = [name for name in rows.columns if name not in keys]
+    ranked = [*order, *[f.name for f in rows.schema.fields if f.name in kept and f.name not in order and has_order(f.dataType)]]
+    first = rows.withColumn(ARRIVED, F.current_timestamp()).groupBy(*keys).agg(
+        F.min_by(F.struct(*kept) if kept else F.lit(True), F.struct(F.col(ARRIVED), *ranked)).alias("_kept"),
+        F.min(ARRIVED).alias("_first"), F.max(ARRIVED).alias("_last"))
+
+    def store(batch: DataFrame, number: int) -> None:
+        new = batch.where("_first = _last").select(
+            *[F.col(name) if name in keys else F.col(f"_kept.`{name}`").alias(name) for name in rows.columns])
+        landing.keep_batch(new, number, path)
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKS)
+    try:
+        writer = first.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+        return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    finally:
+        spark.conf.set(name, before)

@@ -11,7 +11,7 @@ from roadrisk import schemas
 from roadrisk.operators import sinks
 from roadrisk.plans import staging, traffic_mart
 from roadrisk.sources import cities, payloads
-from roadrisk.streaming import landing, windows
+from roadrisk.streaming import landing, panes, windows
 
 
 def land(folder, name, *records):
@@ -167,9 +167,9 @@ def test_open_windows_equal_the_batch(spark, tmp_path):
 
     def refresh(part):
         readings(spark, tmp_path / "in", part)
-        run(windows.refresh_panes(landing.table_stream(spark, str(tmp_path / "in")), "ts", "city", ["level"],
-                                  str(tmp_path / "panes"), str(tmp_path / "progress")))
-        out = windows.trailing_now(spark, str(tmp_path / "panes"), "city", ["level"], "3 hours")
+        run(panes.refresh_panes(landing.table_stream(spark, str(tmp_path / "in")), "ts", "city", ["level"],
+                                str(tmp_path / "panes"), str(tmp_path / "progress")))
+        out = panes.trailing_now(spark, str(tmp_path / "panes"), "city", ["level"], "3 hours")
         return {(r.window_end, r.city): (r.window_start, r.readings, r.avg_level) for r in out.collect()}
 
     for upto in (50, 90):
@@ -228,3 +228,74 @@ def test_repeats_within_the_watermark_are_dropped(spark, tmp_path):
     assert refresh() == ["a", "b"]
     readings(spark, tmp_path / "in", [("a", "x", start, 1.0), ("c", "x", start, 1.0)])
     assert refresh() == ["a", "b", "c"]
+
+
+def test_many_batches_leave_few_segments_and_late_rows_are_kept(spark, tmp_path):
+    path, draw = str(tmp_path / "panes"), random.Random(8)
+    start = dt.datetime(2024, 1, 1)
+    timely, late, latest = [], [], None
+    schema = "id long, city string, ts timestamp_ntz, level double"
+
+    def add(rows, number):
+        panes.add_batch(spark.createDataFrame(rows, schema), number, path, "ts", "city", ["level"], 1800, 3600)
+
+    for n in range(22):
+        rows = [(100 * n + i, draw.choice("ab"), start + dt.timedelta(minutes=40 * n - draw.choice([0, 10, 50, 200])),
+                 draw.choice([None, 1.0, 7.0])) for i in range(6)] if n != 5 else []
+        for row in rows:
+            end = start + ((row[2] - start) // dt.timedelta(minutes=30) + 1) * dt.timedelta(minutes=30)
+            behind = latest is not None and end <= latest - dt.timedelta(hours=1)
+            (late if behind else timely).append((*row, end, n))
+        latest = max([*([latest] if latest else []), *[r[2] for r in rows]])
+        add(rows, n)
+        if n in (7, 21):
+            add(rows, n)  # a repeated batch
+    assert len(panes.open_segments(spark, path)) <= 2 * (panes.FANOUT - 1) + 1
+    held = panes.trailing_now(spark, path, "city", ["level"], "2 hours")
+    assert len(held.inputFiles()) <= 4 * len(panes.open_segments(spark, path))
+    assert len(os.listdir(f"{path}/segments")) <= 4 * panes.FANOUT and len(os.listdir(f"{path}/state")) <= 6
+    kept = panes.late_rows(spark, path, schema).collect()
+    assert late and sorted((r.id, r._batch) for r in kept) == sorted((r[0], r[5]) for r in late)
+    assert {r.reason for r in kept} == {"behind the watermark"} and len(late) + len(timely) == 21 * 6
+    expected, end = {}, min(r[4] for r in timely)
+    while end < max(r[4] for r in timely) + dt.timedelta(hours=2):
+        for city in "ab":
+            inside = [r for r in timely if r[1] == city and end - dt.timedelta(hours=2) < r[4] <= end]
+            levels = [r[3] for r in inside if r[3] is not None]
+            if inside:
+                expected[end, city] = (len(inside), sum(levels) / len(levels) if levels else None)
+        end += dt.timedelta(minutes=30)
+    assert {(r.window_end, r.city): (r.readings, r.avg_level) for r in held.collect()} == expected
+
+
+def test_no_late_rows_and_no_panes(spark, tmp_path):
+    path = str(tmp_path / "panes")
+    with pytest.raises(ValueError, match="no panes"):
+        panes.trailing_now(spark, path, "city", ["level"])
+    assert panes.late_rows(spark, path, "id long").columns == ["id", "reason", "watermark", "_batch"]
+    rows = spark.createDataFrame([(None, "a", 1.0)], "ts timestamp_ntz, city string, level double")
+    panes.add_batch(rows, 0, path, "ts", "city", ["level"], 1800, 3600)
+    assert panes.open_segments(spark, path) == []
+
+
+def test_a_repeat_never_gets_in_however_late(spark, tmp_path):
+    start, day = dt.datetime(2024, 1, 1), dt.timedelta(days=1)
+    schema = landing.StructType.fromDDL("flow_id string, city string, ts timestamp_ntz, level double")
+
+    def refresh():
+        stream = landing.table_stream(spark, str(tmp_path / "in"), max_files=1)
+        run(windows.keep_first(stream, ["flow_id"], ["ts"], str(tmp_path / "out"), str(tmp_path / "progress")))
+        rows = landing.kept_batches(spark, str(tmp_path / "out"), schema).collect()
+        return sorted(((r.flow_id or "none", r.city, r.ts - start, r.level) for r in rows))
+
+    def land(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    land(("a", "x", start + day, 1.0), ("a", "y", start, 2.0), ("b", "x", start, None), (None, "n", start, 0.0))
+    first = [("a", "y", 0 * day, 2.0), ("b", "x", 0 * day, None), ("none", "n", 0 * day, 0.0)]
+    assert refresh() == first
+    # Three days later, and from before the first; other keys make the time go on.
+    land(("a", "z", start + 3 * day, 9.0), ("c", "x", start + 30 * day, 5.0), (None, "m", start, 1.0))
+    land(("a", "z", start - day, 9.0), ("b", "x", start + 60 * day, 8.0), ("c", "w", start, 6.0))
+    assert refresh() == sorted([*first, ("c", "x", 30 * day, 5.0)])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != windows.ROCKS
