@@ -12,7 +12,7 @@ from roadrisk.functions import fixed, times
 from roadrisk.operators import fill, joins, quality, shared, sinks
 from roadrisk.plans import (correlation, features, forecast, safety_mart, staging, traffic_mart, trends, weather_fact,
                             weather_features)
-from roadrisk.sources import accidents, cities, payloads, tables
+from roadrisk.sources import accidents, cities, payloads, records, tables
 from roadrisk.streaming import landing, panes, windows
 
 from . import oracle
@@ -111,6 +111,29 @@ def scan_filter_rename(spark: SparkSession, sf: str) -> DataFrame:
     return accidents.read_csv(spark, path, as_of=AS_OF).drop("load_timestamp")
 
 
+@query("csv_line_breaks", """
+    SELECT accident_id, severity, CASE WHEN severity % 2 = 0 THEN accident_id || ' "said",' || chr(10) || chr(10) || 'then, ' || severity
+                                       ELSE 'one line' END AS description,
+           state, NULL AS broken, NULL AS reason FROM accidents_raw
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, accident_id || ',"two' || chr(10) || 'lines"', 'wrong number of fields'
+    FROM accidents_raw WHERE severity = 3""", ("accidents_raw",))
+def csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Accidents written as CSV with line breaks, quotes and commas inside fields, next to broken records: all come back."""
+    path = shared.scratch_path(spark, "accidents-csv")
+    said = F.concat("accident_id", F.lit(' "said",\n\nthen, '), F.col("severity").cast("string"))
+    source = raw(spark, sf, "accidents_raw").withColumn(
+        "description", F.when(F.col("severity") % 2 == 0, said).otherwise("one line"))
+    source.select(*[F.col(name).cast("string").alias(header) for name, header in _CSV_HEADERS.items()]).write.option(
+        "header", True).option("escape", '"').csv(path)
+    source.where("severity = 3").select(F.concat("accident_id", F.lit(',"two\nlines"'))).write.mode("append").text(path)
+    header = ",".join(_CSV_HEADERS.values())
+    read = records.parsed(spark, path, header)
+    good = accidents.project(read.where("reason IS NULL")).select("accident_id", "severity", "description", "state")
+    bad = read.where("reason IS NOT NULL").select(F.col(records.CORRUPT).alias("broken"), "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @query("clean_accidents_validated", "SELECT * FROM accidents_clean", ("accidents_clean",))
 def clean_accidents_validated(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned_accidents(spark, sf)

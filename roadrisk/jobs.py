@@ -48,9 +48,18 @@ def _quarantine(root: str, source: str, landed: DataFrame, schema: str, as_of: M
 
 
 def load_accidents(spark: SparkSession, root: str, csv_path: str, as_of: Moment = None) -> bool:
-    """Accident CSV files into the raw table (append of new ids) and the cleaned one (at most once a day)."""
+    """Accident CSV files into the raw table (append of new ids) and the cleaned one (at most once a day).
+
+    Records that are no accident go into quarantine, once each however often a file is loaded.
+    """
     raw = table_path(root, "raw_archive", "traffic_accidents_raw")
-    sinks.append(accidents.read_csv(spark, csv_path, as_of=as_of), raw, new_by=["accident_id"])
+    broken = accidents.broken_records(spark, csv_path).select(
+        F.lit("accidents").alias("source"), F.lit(None).cast("string").alias("city"),
+        F.lit(None).cast("string").alias("fetched_at"), payloads.CORRUPT, "reason")
+    sinks.append(sinks.with_audit(broken, as_of), table_path(root, "raw", "quarantine"),
+                 new_by=["source", "city", "fetched_at", payloads.CORRUPT])
+    sinks.append(accidents.read_records(spark, csv_path, as_of=as_of), raw, new_by=["accident_id"],
+                 order=["load_timestamp"])
     stored = _raw(spark, root, "raw_archive", "traffic_accidents_raw", schemas.ACCIDENTS_RAW)
     cleaned = staging.clean_accidents(stored).drop("load_timestamp")
     audited = sinks.with_audit(cleaned, as_of, "csv")
