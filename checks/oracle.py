@@ -374,4 +374,5 @@ def sql(select: str, *needs: str) -> str:
 
     for need in needs:
         add(need)
+    # A statement that begins with a comma goes on with tables of its own.
     return f"WITH {', '.join(done.values())} {select}" if done else select

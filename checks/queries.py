@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from roadrisk.functions import fixed, times
 from roadrisk.operators import fill, joins, quality, shared, sinks
-from roadrisk.plans import (correlation, features, forecast, safety_mart, staging, traffic_mart, trends, weather_fact,
-                            weather_features)
+from roadrisk.plans import (correlation, features, forecast, joint_forecast, safety_mart, staging, traffic_mart, trends,
+                            weather_fact, weather_features)
 from roadrisk.sources import accidents, cities, payloads, records, tables
 from roadrisk.streaming import landing, panes, windows
 
@@ -593,6 +593,41 @@ def training_view(spark: SparkSession, sf: str) -> DataFrame:
     return features.training_view(training(spark, sf), AS_OF).orderBy("city", "date")
 
 
+_DENSE = """
+    , days AS (SELECT city, cast(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS date) AS date
+               FROM daily_accidents GROUP BY city),
+    dense AS (SELECT date, city, ifnull(accident_count, 0) AS accident_count, avg_severity,
+                     ifnull(severe_accident_count, 0) AS severe_accident_count
+              FROM days LEFT JOIN daily_accidents USING (city, date))"""
+
+
+@query("daily_zero_filled", f"{_DENSE} SELECT * FROM dense", ("daily_accidents",))
+def daily_zero_filled(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for every day of a city's history."""
+    return features.zero_filled(features.daily_accidents(cleaned_accidents(spark, sf), AS_OF))
+
+
+@query("training_zero_filled", f"""{_DENSE}
+    SELECT date, city, accident_count, severe_accident_count, cast(dayofweek(date) AS int) AS day_of_week,
+           ifnull(avg_temp_f, {fixed.DAILY_WEATHER_DEFAULTS["avg_temp_f"]}e0) AS avg_temp_f,
+           {oracle.one("total_precipitation_mm > 10")} AS heavy_precipitation
+    FROM dense LEFT JOIN daily_weather USING (date, city)""", ("daily_accidents", "daily_weather"))
+def training_zero_filled(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features.training_table(cleaned_accidents(spark, sf), hourly(spark, sf), AS_OF, zero_fill=True)
+    return rows.select("date", "city", "accident_count", "severe_accident_count", "day_of_week", "avg_temp_f",
+                       "heavy_precipitation")
+
+
+@query("rolling_7d_zero_filled", f"""{_DENSE}
+    SELECT d.city, d.date, d.accident_count, sum(e.accident_count) / count(*) AS rolling_7d_accidents,
+           count(*) AS days_in_window
+    FROM dense d JOIN dense e ON e.city = d.city AND e.date BETWEEN d.date - 6 AND d.date
+    GROUP BY d.city, d.date, d.accident_count""", ("daily_accidents",))
+def rolling_7d_zero_filled(spark: SparkSession, sf: str) -> DataFrame:
+    """Means over seven calendar days with the days without accidents in them."""
+    return trends.rolling_week(features.zero_filled(features.daily_accidents(cleaned_accidents(spark, sf), AS_OF)))
+
+
 @query("latest_weather_6h", "SELECT * FROM weather_6h", ("weather_6h",))
 def latest_weather_6h(spark: SparkSession, sf: str) -> DataFrame:
     return features.latest_weather_for_features(current(spark, sf), AS_OF)
@@ -632,6 +667,65 @@ def forecast_skipped(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.skipped_series(features.training_view(training(spark, sf), AS_OF))
 
 
+_T = "(1.96e0 + 2.372384e0 / df + {b} / (df * df) + {c} / (df * df * df))".format(
+    b=(5 * 1.96**5 + 16 * 1.96**3 + 3 * 1.96) / 96, c=(3 * 1.96**7 + 19 * 1.96**5 + 17 * 1.96**3 - 15 * 1.96) / 384)
+# Models by city and origin o, from groups g of a weekday's days up to the origin; the mean of a weekday, or else of all days.
+_JOINT = f"""
+    m AS (SELECT city, o, sum(n) AS n, sum(n) - count(*) - 1 AS df, sum(sxx) AS wxx, sum(sxy) / sum(sxx) AS slope,
+                 sqrt(greatest(sum(syy) - sum(sxy) * sum(sxy) / sum(sxx), 0e0) / (sum(n) - count(*) - 1)) AS sigma,
+                 sum(n * mx) / sum(n) AS ax, sum(n * my) / sum(n) AS ay
+          FROM g GROUP BY city, o HAVING sum(n) >= 14 AND sum(sxx) > 1),
+    said AS (SELECT t.*, ifnull(my, ay) + slope * (t.x - ifnull(mx, ax)) AS forecast,
+                    {_T} * sigma * sqrt(1 + 1e0 / ifnull(g.n, m.n) + (t.x - ifnull(mx, ax)) * (t.x - ifnull(mx, ax)) / wxx) AS margin
+             FROM asked t JOIN m USING (city, o) LEFT JOIN g ON g.city = t.city AND g.o = t.o AND g.dow = t.dow)"""
+_GROUP = """count(*) AS n, avg(p.x) AS mx, avg(p.y) AS my, regr_sxx(p.y, p.x) AS sxx, regr_sxy(p.y, p.x) AS sxy,
+               regr_syy(p.y, p.x) AS syy"""
+
+
+@query("forecast_joint", f"""
+    , g AS (SELECT city, 0 AS o, dow, {_GROUP} FROM points p GROUP BY city, dow),
+    asked AS (SELECT city, 0 AS o, date, date_diff('day', {TODAY}, date) AS x, dayofweek(date) AS dow FROM future), {_JOINT}
+    SELECT city AS series, cast(date AS timestamp) AS ts, {rnd("forecast", 6)} AS forecast,
+           {rnd("forecast - margin", 6)} AS lower_bound, {rnd("forecast + margin", 6)} AS upper_bound FROM said""",
+       ("points", "future"))
+def forecast_joint_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Trend and weekdays fitted together, with bounds from spread, degrees of freedom and leverage."""
+    trained = shared.written(training(spark, sf), "training")
+    model = joint_forecast.fit_joint(features.training_view(trained, AS_OF), AS_OF)
+    return rounded(joint_forecast.forecast_joint(model, coming(spark, sf, trained), AS_OF), 6, *_BOUNDS)
+
+
+_ROLLED = f"""
+    , g AS (SELECT p.city, a.x AS o, p.dow, {_GROUP} FROM points a JOIN points p ON p.city = a.city AND p.x <= a.x
+          GROUP BY p.city, a.x, p.dow),
+    asked AS (SELECT a.city, a.x - h AS o, h, a.x, a.dow, a.y FROM points a, (SELECT unnest(range(1, 8)) AS h)), {_JOINT}"""
+
+
+@query("forecast_rolling", f"""{_ROLLED}
+    SELECT city, {TODAY} + cast(o AS int) AS origin, cast(h AS int) AS horizon, {TODAY} + cast(x AS int) AS date, y AS actual,
+           {rnd("forecast + 1e-9", 6)} AS forecast, {rnd("forecast - margin + 1e-9", 6)} AS lower_bound,
+           {rnd("forecast + margin + 1e-9", 6)} AS upper_bound, y BETWEEN forecast - margin AND forecast + margin AS covered
+    FROM said""", ("points",))
+def forecast_rolling(spark: SparkSession, sf: str) -> DataFrame:
+    """The forecasts of every past day next to what came."""
+    view = features.training_view(training(spark, sf), AS_OF)
+    rows = joint_forecast.rolling_origins(view, AS_OF)
+    # Many means are halves of the last digit; off them both engines round alike.
+    return rounded(rows.withColumns({name: F.col(name) + 1e-9 for name in _BOUNDS}), 6, *_BOUNDS)
+
+
+@query("forecast_coverage", f"""{_ROLLED}
+    SELECT cast(h AS int) AS horizon, count(*) AS forecasts,
+           {rnd("avg(cast(y BETWEEN forecast - margin AND forecast + margin AS int))", 6)} AS covered_share,
+           {rnd("avg(abs(y - forecast))", 6)} AS mean_abs_error, {rnd("avg(2 * margin)", 6)} AS mean_width
+    FROM said GROUP BY h""", ("points",))
+def forecast_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """How often the bounds held on days the models had not seen."""
+    view = features.training_view(training(spark, sf), AS_OF)
+    return rounded(joint_forecast.coverage(joint_forecast.rolling_origins(view, AS_OF)), 6, "covered_share",
+                   "mean_abs_error", "mean_width")
+
+
 @query("forecast_city_ridge", "SELECT city, count(*) AS n, true AS solved FROM training_view GROUP BY city",
        ("training_view",))
 def forecast_city_ridge(spark: SparkSession, sf: str) -> DataFrame:
@@ -715,6 +809,32 @@ def weather_corr(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(trends.weather_correlation(training(spark, sf)), 6, "correlation")
 
 
+def _held(variable: int) -> str:
+    """One step of the recursion for partial correlations: variable ``variable`` is held in the matrix of every other measure."""
+    return f"""h{variable} AS (
+        SELECT a.m, a.i, a.j, CASE WHEN a.m = {variable} THEN a.v
+                                   ELSE (a.v - b.v * c.v) / sqrt((1 - b.v * b.v) * (1 - c.v * c.v)) END AS v
+        FROM h{variable - 1} a JOIN h{variable - 1} b ON b.m = a.m AND b.i = least(a.i, {variable}) AND b.j = greatest(a.i, {variable})
+             JOIN h{variable - 1} c ON c.m = a.m AND c.i = least(a.j, {variable}) AND c.j = greatest(a.j, {variable})
+        WHERE a.m = {variable} OR (a.i <> {variable} AND a.j <> {variable}))"""
+
+
+_VARIABLES = ("accident_count", *trends.MEASURES)
+
+
+@query("weather_partial_corr", f"""
+    , h0 AS (SELECT m, i, j, v FROM (SELECT unnest(range(1, 5)) AS m), ({" UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS v FROM training"
+        for i, a in enumerate(_VARIABLES) for j, b in enumerate(_VARIABLES) if i <= j)})),
+    {", ".join(_held(k) for k in range(1, 5))}
+    SELECT ([{", ".join(f"'{name}'" for name in trends.MEASURES)}])[m] AS measure,
+           (SELECT count(*) FROM training) AS city_days, {rnd("v", 6)} AS partial_correlation FROM h4 WHERE i = 0 AND j = m""",
+       ("training",))
+def weather_partial_corr(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily accidents against each weather measure with the other measures held."""
+    return rounded(trends.partial_correlations(training(spark, sf)), 6, "partial_correlation")
+
+
 @query("seasonal_peaks", """
     SELECT *, accident_count = max(accident_count) OVER (PARTITION BY city) AS is_peak_month
     FROM (SELECT city, cast(quarter(date) AS int) AS quarter, cast(month(date) AS int) AS month,

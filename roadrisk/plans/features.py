@@ -36,6 +36,19 @@ def daily_weather(weather: DataFrame, as_of: Moment = None, days: int = fixed.HI
         F.min("temperature_f").alias("min_temp_f"), F.max("temperature_f").alias("max_temp_f"))
 
 
+def zero_filled(daily: DataFrame) -> DataFrame:
+    """Daily accidents with a row for every day from a city's first to its last one; days without accidents count 0.
+
+    The calendar of a city is made from its own two dates, one row per day, and joined with the days that have accidents.
+    """
+    span = daily.groupBy("city").agg(F.min("date").alias("_first"), F.max("date").alias("_last"))
+    days = span.select("city", F.explode(F.sequence("_first", "_last")).alias("date"))
+    counts = ("accident_count", "severe_accident_count")
+    return days.join(daily, ["date", "city"], "left").select(
+        "date", "city", *[F.coalesce(name, F.lit(0).cast("long")).alias(name) if name in counts else F.col(name)
+                          for name in daily.columns if name not in ("date", "city")])
+
+
 def calendar_features(day: Column, weekend_dows: tuple[int, ...] = fixed.ML_WEEKEND_DOWS) -> dict[str, Column]:
     """On a 0-based day of week the default weekend (1, 7) marks Mondays only; pass (0, 6) for the calendar one."""
     dow = sunday0(day)
@@ -43,9 +56,13 @@ def calendar_features(day: Column, weekend_dows: tuple[int, ...] = fixed.ML_WEEK
 
 
 def training_table(accidents: DataFrame, weather: DataFrame, as_of: Moment = None,
-                   weekend_dows: tuple[int, ...] = fixed.ML_WEEKEND_DOWS) -> DataFrame:
-    """City-days with three accidents or more, with weather, calendar and risk features.  Gaps stay gaps."""
-    counted = daily_accidents(accidents, as_of).where(F.col("accident_count") >= fixed.MIN_DAILY_ACCIDENTS)
+                   weekend_dows: tuple[int, ...] = fixed.ML_WEEKEND_DOWS, zero_fill: bool = False) -> DataFrame:
+    """City-days with three accidents or more, with weather, calendar and risk features.  Gaps stay gaps.
+
+    With ``zero_fill`` every day from a city's first to its last one is a row, whatever its count.
+    """
+    daily = daily_accidents(accidents, as_of)
+    counted = zero_filled(daily) if zero_fill else daily.where(F.col("accident_count") >= fixed.MIN_DAILY_ACCIDENTS)
     # Both sides are aggregates on the join keys, so their partitioning serves the join.
     joined = counted.join(daily_weather(weather, as_of), ["date", "city"], "left")
     calendar = calendar_features(F.col("date"), weekend_dows)
