@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,6 +33,7 @@ SUPPORT = 0.6  # share of the pages with the element around it that a template t
 LAYOUT_PAGES = 3  # pages that a template token of a rarer layout is on at least
 NEAR = 0.5  # containers with this share of the best one's content are near to it
 ARTICLE_WEIGHT = 1000.0
+DEEPEST = 256  # elements inside each other that paths tell apart
 LINK_WEIGHT = 0.1
 
 # Element names of HTML.
@@ -53,9 +55,11 @@ MARKS = frozenset(("ad ads advert adverts advertisement banner promo promoted sp
                    "newsletter subscribe signup login search widget pagination pager toolbar skip").split())
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)"""
-    r"""|<(script|style|noscript|template|svg|iframe|textarea|select|title|object|canvas)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
+    r"""|<svg(?:\s[^<>]*)?/>"""
+    r"""|<(script|style|noscript|template|svg|iframe|textarea|select|title|object|canvas)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"""
     r"""|<(/?)([a-zA-Z][\w:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>"""
-    r"""|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>""", re.S | re.I)
+    # A tag whose quotes do not close ends at the next bracket, so no look goes further than that.
+    r"""|<(/?)([a-zA-Z][\w:-]*)([^<>]*)(?:>|(?=<)|\Z)|<[!?/][^>]*>""", re.S | re.I)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 ARTICLE_PATH = r"/(article|main)(\.[^/]*)?$"
 HOST = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/@?#]*@)?([^/:?#]+)")
@@ -117,6 +121,20 @@ def parsed(page: str) -> tuple[list[Run], list[Tag]]:
             runs.append(Run(top.path, block, html.unescape(raw), top.skipped, top.article, links > 0, top.marks, top.post,
                             len(runs) + len(tags)))
 
+    # A last tag that is cut short ends with the page, so the look for its end always finds one.
+    size = len(page)
+    if page.rfind("<") > page.rfind(">"):
+        page += ">"
+    opened: Counter[str] = Counter()
+    paths: dict[str, str] = {}
+
+    def close(first: int) -> None:
+        nonlocal links
+        for element in stack[first:]:
+            opened[element.tag] -= 1
+            links -= element.tag == "a"
+        del stack[first:]
+
     for m in TOKEN.finditer(page):
         text(page[at:m.start()])
         at = m.end()
@@ -129,39 +147,40 @@ def parsed(page: str) -> tuple[list[Run], list[Tag]]:
         elif name == "br":
             text(" ")
         if closing:
-            deep = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
+            deep = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0) if opened[name] else 0
             if deep:
                 # An inline tag closes nothing but inline elements.
                 if name not in INLINE or all(e.tag in INLINE for e in stack[deep:]):
-                    links -= sum(e.tag == "a" for e in stack[deep:])
-                    del stack[deep:]
+                    close(deep)
             continue
-        if name in CLOSES_P:
+        if name in CLOSES_P and opened["p"]:
             open_p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag not in INLINE), 0)
             if open_p and stack[open_p].tag == "p":
-                links -= sum(e.tag == "a" for e in stack[open_p:])
-                del stack[open_p:]
-        if name in SIBLINGS:
+                close(open_p)
+        if name in SIBLINGS and any(opened[tag] for tag in SIBLINGS[name][0]):
             ended, walls = SIBLINGS[name]
             i = len(stack) - 1
             while i > 0 and stack[i].tag not in walls:
                 if stack[i].tag in ended:
-                    links -= sum(e.tag == "a" for e in stack[i:])
-                    del stack[i:]
+                    close(i)
                 i -= 1
         top = stack[-1]
         signature, marked = _named(m[4] or m[7] or "")
-        path = top.path if name in INLINE else f"{top.path}/{name}{'.' if signature else ''}{signature}"
+        # Deeper elements have paths like their siblings', so that paths stay short on any page.
+        above = top.path if len(stack) <= DEEPEST else stack[DEEPEST].path
+        path = top.path if name in INLINE else f"{above}/{name}{'.' if signature else ''}{signature}"
+        path = paths.setdefault(path, path)
         tags.append(Tag(path if name not in INLINE else f"{path}/{name}", top.path, len(runs) + len(tags)))
         if name in VOID:
             continue
         links += name == "a"
         header = name == "header" and not top.article
         named = name in SKIPPED or header or marked and name != "body"
+        opened[name] += 1
         stack.append(Element(name, path, top.skipped or named and top.post, top.article or name in ARTICLES,
                              (*top.marks, len(tags)) if named and not top.post else top.marks,
                              top.post or name == "article"))
-    text(page[at:])
+    text(page[at:size])
     return runs, tags
 
 

@@ -37,6 +37,33 @@ def test_names_are_only_a_hint(page, text):
     assert templates.extracted(page, NONE, None) == text
 
 
+PAGE = "<div class='top'>Site</div><article><p>the text</p></article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<svg class='icon'/>", "<svg/>", "<svg viewBox='0 0 1 1' />", "<svg><path d='x'/><title>t</title></svg>", "<title-bar>", "<select-box>",
+    "<object-list>", "<script-loader src='x'>", "<svg-icon name='a'>", "<textarea-x>", "<p title='open>", '<a "', "<option", "<select/>x</select>"])
+def test_nothing_before_the_article_swallows_it(before):
+    assert templates.extracted(before + PAGE, NONE, None) == "the text"
+
+
+@pytest.mark.parametrize("part", ['<a "', "<a '\"", "<b x='", "<", "<!", "</", "<svg ", "<svg-a ", "<p a=b"])
+def test_broken_markup_takes_linear_time(part):
+    import time
+    start = time.process_time()
+    templates.parsed(part * (400_000 // len(part)))
+    assert time.process_time() - start < 10
+
+
+def test_deep_nesting_takes_linear_memory():
+    import tracemalloc
+    page = "<div>" * 40_000 + "<article><p>the text</p></article>" + "</div>" * 10_000
+    tracemalloc.start()
+    assert templates.extracted(page, NONE, None) == "the text"
+    assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+
+
 def pages(host, n, article="div class='body'"):
     close = article.split()[0]
     return [(i, f"https://{host}/{i}?q=1",
