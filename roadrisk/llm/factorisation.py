@@ -198,12 +198,14 @@ def _sampled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents that may be learned from, the same ones on every run: text and label.
 
-    The ids are chosen first, from the narrow table of labels, by the order of their hashes.
+    The ids are chosen first, from the narrow table of labels, by the order of their hashes.  An id that stands on several rows
+    counts once, with its smallest text.
     """
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("label").alias("label")).select("text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> Machine:

@@ -25,13 +25,13 @@ from .factorisation import calibrated, labelled_sample
 
 BUCKETS = 1 << 20
 SAMPLE_ROWS = 8_000  # labelled rows at most that the lexicon is taken from, and rows that the models are fitted on
-VOTERS = 60
 LEAST_SUPPORT = 4
 LEAST_ODDS = 2.5  # log of the odds ratio
 BEGINNINGS = (4, 5, 6)
 ROUNDS = 25
 EPOCHS = 20
 BATCH = 64
+NO_LABELS = 1e-3  # share of the class that is assumed without any label
 RATE, SPARSITY, PENALTY = 0.3, 0.15, 1e-3
 LIMIT = 0.5
 WORD = re.compile(r"\w+")
@@ -91,23 +91,12 @@ def _frequency(features: list[np.ndarray]) -> np.ndarray:
 
 
 def lexicon(features: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Features that speak for label 1, chosen one by one for the rows of that label which the chosen cover least."""
+    """Every feature that enough rows of label 1 have and that speaks for this label."""
     toxic = [f for f, y in zip(features, labels) if y > 0.5]
     clean = [f for f, y in zip(features, labels) if y <= 0.5]
     one, zero = _frequency(toxic), _frequency(clean)
     odds = np.log((one + 0.5) / (len(toxic) + 1)) - np.log((zero + 0.5) / (len(clean) + 1))
-    good = (one >= LEAST_SUPPORT) & (odds >= LEAST_ODDS)
-    left = [f[good[f]] for f in toxic]
-    row = np.repeat(np.arange(len(left)), [len(f) for f in left])
-    entry = np.concatenate([*left, np.zeros(0, np.int64)])
-    covered, chosen = np.zeros(len(left)), []
-    while len(chosen) < VOTERS and len(entry):
-        gain = np.bincount(entry, 0.5 ** covered[row] * odds[entry])
-        best = int(gain.argmax())
-        chosen.append(best)
-        covered[row[entry == best]] += 1
-        row, entry = row[entry != best], entry[entry != best]
-    return np.array(chosen, dtype=np.int64)
+    return np.flatnonzero((one >= LEAST_SUPPORT) & (odds >= LEAST_ODDS))
 
 
 def votes_of(features: list[np.ndarray], entries: np.ndarray) -> np.ndarray:
@@ -143,14 +132,15 @@ class LabelModel(NamedTuple):
 
 def label_model(votes: np.ndarray, prior: float) -> LabelModel:
     """Accuracies and correlations of the voters from their votes alone, started from a majority of the votes."""
-    spread = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     p = np.where((votes == 1).any(axis=1), 0.9, 0.05 if len(votes) else 0.5)
     voters = votes.shape[1]
     weight, correlation = np.ones(voters), np.eye(voters)
     prior = min(max(prior, 1e-3), 1 - 1e-3)
-    for step in range(ROUNDS):
+    chance = np.full((2, voters, 3), 1 / 3)
+    for step in range(ROUNDS if len(votes) else 0):
         given = np.stack([1 - p, p])
-        chance = (np.einsum("cn,njv->cjv", given, spread) + 0.1) / (given.sum(axis=1)[:, None, None] + 0.3)
+        counted = np.stack([given @ (votes == v) for v in (-1, 0, 1)], axis=2)
+        chance = (counted + 0.1) / (given.sum(axis=1)[:, None, None] + 0.3)
         model = LabelModel(prior, chance, weight, correlation)
         p = model.posterior(votes)
         prior = float(np.clip((p.sum() + 1) / (len(p) + 2), 1e-3, 1 - 1e-3))
@@ -185,7 +175,7 @@ def linear(features: list[np.ndarray], target: np.ndarray, seed: int = 1) -> Lin
     """
     draw = np.random.default_rng(seed)
     z, n, weights = np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(BUCKETS)
-    share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3)) if len(target) else 0.5
+    share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3)) if len(target) else NO_LABELS
     bias, seen, limit = np.log(share / (1 - share)), 1.0, SPARSITY * np.sqrt(len(target))
     for _ in range(EPOCHS if len(target) else 0):
         order = draw.permutation(len(target))
@@ -217,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[Li
     sample = sample.assign(_k=[crc32(f.tobytes()) for f in sample["features"]]).sort_values(["_k", "label"])
     features, known = [f.astype(np.int64) for f in sample["features"]], sample["label"].to_numpy()
     votes = votes_of(features, lexicon(features, known))
-    model = label_model(votes, float(known.mean()) if len(known) else 0.5)
+    model = label_model(votes, float(known.mean()) if len(known) else NO_LABELS)
     return linear(features, model.posterior(votes)), model
 
 

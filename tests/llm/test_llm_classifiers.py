@@ -115,8 +115,39 @@ def test_odd_rows(spark, documents, odd_rows, score, column):
         out = score(docs, labels).collect()
         assert len(out) == len(odd_rows) and all(0 <= r.score <= 1 for r in out)
         assert [r.held_out for r in out if r.doc_id is None] == [False, False]
-        alike = {r.score for r in out if r.doc_id in (1, 2)}
+        alike = {round(r.score, 12) for r in out if r.doc_id in (1, 2)}
         assert len(alike) == 1
         assert score(documents([]), labels).count() == 0
     if column == "quality":
         assert {r.score for r in score(docs, none).collect()} == {0.5}
+    else:
+        assert {r.predicted for r in score(docs, none).collect()} == {0}
+
+
+def test_an_id_on_very_many_rows_counts_once(spark, documents):
+    docs = documents([(3, f"text {i % 7} of one id") for i in range(20_000)] + [(5, None), (6, "other"), (6, None)])
+    labels = spark.createDataFrame([(i, 1.0) for i in (3, 5, 6)], "doc_id long, quality double")
+    held = [i for i in (3, 5, 6) if may_learn(i)]
+    got = factorisation.labelled_sample(docs, labels, "quality", 10).collect()
+    assert sorted(str(r.text) for r in got) == sorted({3: "text 0 of one id", 5: "None", 6: "other"}[i] for i in held) and held
+
+
+def test_every_entry_that_qualifies_votes():  # fifty features on eight rows each
+    features = [np.array([i, 1000 + i // 8]) for i in range(400)] + [np.array([5000])] * 400
+    labels = np.array([1.0] * 400 + [0.0] * 400)
+    entries = weak_labels.lexicon(features, labels)
+    assert entries.tolist() == list(range(1000, 1050))
+    votes = weak_labels.votes_of(features, entries)
+    assert (votes[:400] == 1).any(axis=1).all() and (votes[400:, -1] == -1).all()
+
+
+def test_label_model_against_a_second_computation():
+    rng = np.random.default_rng(8)
+    votes = rng.integers(-1, 2, (60, 4)).astype(np.int8)
+    model = weak_labels.label_model(votes, 0.4)
+    for row, got in zip(votes, model.posterior(votes)):
+        one, zero = model.prior, 1 - model.prior
+        for voter, vote in enumerate(row):
+            one *= model.chance[1, voter, vote + 1] ** model.weight[voter]
+            zero *= model.chance[0, voter, vote + 1] ** model.weight[voter]
+        assert got == pytest.approx(one / (one + zero))
