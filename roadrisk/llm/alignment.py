@@ -31,15 +31,15 @@ from .common import chunks, run_sums
 MODEL_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CHUNK = 1_000_000  # bytes of text aligned together
-REMEMBERED = 1_000_000  # words after which a worker forgets all it knows; limits memory, not results
+REMEMBERED = 600_000  # words after which a worker forgets all it knows; limits memory, not results
 LINKS_AT_ONCE = 4_000_000  # links spelt out at a time
 FREQUENT = 1 << 16  # at most so many pairs are counted as frequent and broadcast
 ID_BITS = 21
 FIRST = 8  # tokens in the first slice compared at a shift
 # A space that stands alone between characters that are no white space starts a token on both sides.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-SCHEMA = ("_row long, part int, n_a long, n_b long, groups array<struct<a:array<int>,b:array<int>>>, "
-          "pairs array<long>, times array<long>")
+NESTED = "array<struct<a:array<int>,b:array<int>>>"
+SCHEMA = "_row long, part int, n_a long, n_b long, n_groups long, groups {}, pairs array<long>, times array<long>"
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -328,7 +328,38 @@ class _Aligned:
         return pa.ListArray.from_arrays(pa.array((edge[texts[0]:texts[-1] + 2] - lo).astype(np.int32)), groups)
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], model_a: bytes, model_b: bytes) -> Iterator[pa.RecordBatch]:
+    def written(self, texts: np.ndarray) -> pa.Array:
+        """The groups of these texts, which follow each other, as in ``spelt``: built as one run of bytes."""
+        ids = np.empty(len(self.a) + len(self.b), np.int32)
+        sign = np.full(len(ids), ord(","), np.uint8)
+        # In a group the ids of A stand before those of B.
+        at_a = np.arange(len(self.a)) + np.repeat(self.cut_b - self.many_b, self.many_a)
+        at_b = np.arange(len(self.b)) + np.repeat(self.cut_a, self.many_b)
+        ids[at_a], ids[at_b] = self.a, self.b
+        sign[at_a[self.cut_a - 1]], sign[at_b[self.cut_b - 1]] = ord("|"), ord(";")
+        size, digits = _digits(1 << max(16, int(ids.max(initial=0)).bit_length()))
+        width = size[ids]
+        end = np.cumsum(width + 1, dtype=np.int64)
+        out = np.empty(end[-1] if len(end) else 0, np.uint8)
+        out[end - 1] = sign
+        for back, digit in enumerate(digits):  # from the last digit to the first
+            some = np.flatnonzero(width > back)
+            out[end[some] - 2 - back] = digit[ids[some]]
+        edge = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])]
+        text = out.tobytes().decode("ascii")
+        return pa.array([text[edge[t]:max(edge[t], edge[t + 1] - 1)] for t in texts.tolist()], pa.string())
+
+
+@lru_cache(maxsize=2)
+def _digits(many: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """How many decimal digits each number below ``many`` has, and their signs from the last on."""
+    numbers = np.arange(many)
+    places = [10 ** k for k in range(len(str(many - 1)))]
+    size = np.maximum(1, sum((numbers >= p).astype(np.int64) for p in places))
+    return size, [(numbers // p % 10 + ord("0")).astype(np.uint8) for p in places]
+
+
+def _aligned(batches: Iterator[pa.RecordBatch], model_a: bytes, model_b: bytes, text: bool = False) -> Iterator[pa.RecordBatch]:
     known = _words(model_a, model_b)
     for batch in batches:
         texts = batch.column("text").to_pylist()
@@ -338,12 +369,16 @@ def _aligned(batches: Iterator[pa.RecordBatch], model_a: bytes, model_b: bytes)
             found = _Aligned(known, texts[lo:hi])
             for part, at, pairs, times, bounds in _links(found):
                 place, bounds = pa.array(at + lo), pa.array(bounds.astype(np.int32))
-                groups = found.nested(at) if part == 0 else pa.nulls(len(at), GROUPS)
+                if part:
+                    groups = pa.nulls(len(at), pa.string() if text else GROUPS)
+                else:
+                    groups = found.written(at) if text else found.nested(at)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(place), batch.column("_row").take(place),
-                     pa.array(np.full(len(at), part, np.int32)), pa.array(found.n_a[at]), pa.array(found.n_b[at]), groups,
+                     pa.array(np.full(len(at), part, np.int32)), pa.array(found.n_a[at]), pa.array(found.n_b[at]),
+                     pa.array(found.groups[at]), groups,
                      pa.ListArray.from_arrays(bounds, pa.array(pairs)), pa.ListArray.from_arrays(bounds, pa.array(times))],
-                    names=["doc_id", "_row", "part", "n_a", "n_b", "groups", "pairs", "times"])
+                    names=["doc_id", "_row", "part", "n_a", "n_b", "n_groups", "groups", "pairs", "times"])
 
 
 def _read(path: str) -> bytes:
@@ -352,18 +387,18 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
-def align(docs: DataFrame, path_a: str = MODEL_A, path_b: str = MODEL_B) -> DataFrame:
+def align(docs: DataFrame, path_a: str = MODEL_A, path_b: str = MODEL_B, text: bool = False) -> DataFrame:
     """Tokens of both tokenizers for a space and each whole text, in groups between common ends.
 
-    Returns per row of ``docs`` a number ``_row``, doc_id, n_a, n_b, ``groups`` (ids of both sides, in order) and the
-    distinct linked ``pairs`` (``a << 21 | b``) with their links (``times``).  A text with very many links comes in several rows,
+    Returns per row of ``docs`` a number ``_row``, doc_id, n_a, n_b, n_groups, ``groups`` (ids of both sides, in order; with
+    ``text`` in the form of ``spelt``, which is made faster here) and the distinct linked ``pairs`` (``a << 21 | b``) with their links (``times``).  A text with very many links comes in several rows,
     numbered by ``part`` from 0, each with other pairs; the groups stand in part 0.  Null and empty texts, and texts that
     either tokenizer does not spell back byte for byte, have no tokens.  Repeated rows are separate rows; extra columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    work = partial(_aligned, model_a=_read(path_a), model_b=_read(path_b))
-    return numbered.mapInArrow(work, f"doc_id {kind}, {SCHEMA}")
+    work = partial(_aligned, model_a=_read(path_a), model_b=_read(path_b), text=text)
+    return numbered.mapInArrow(work, f"doc_id {kind}, {SCHEMA.format('string' if text else NESTED)}")
 
 
 def pair_counts(links: DataFrame) -> DataFrame:

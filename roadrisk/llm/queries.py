@@ -69,10 +69,8 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = alignment.spelt("groups")
-    found = alignment.align(table(spark, sf_dir, "documents")).withColumns({
-        "n_groups": F.size("groups").cast("long"),
-        "groups_sha256": F.when(F.size("groups") == 0, "").otherwise(F.sha2(groups, 256))}).drop("groups")
+    found = alignment.align(table(spark, sf_dir, "documents"), text=True)
+    found = found.withColumn("groups_sha256", F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256))).drop("groups")
     return alignment.scored(found).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 

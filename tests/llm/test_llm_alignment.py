@@ -63,8 +63,10 @@ def by_hand(tokenizers, texts):
 
 
 def result(frame, frequent=alignment.FREQUENT):
-    found = alignment.align(frame).selectExpr("*", "size(groups) AS n_groups").withColumn("text", alignment.spelt("groups"))
-    rows = alignment.scored(found.drop("groups"), frequent).collect()
+    found = alignment.align(frame).withColumn("text", alignment.spelt("groups")).drop("groups")
+    rows = alignment.scored(found, frequent).collect()
+    written = alignment.align(frame, text=True).where("part = 0").select("doc_id", "groups").collect()
+    assert sorted(map(str, written)) == sorted(str(r).replace("text=", "groups=") for r in found.where("part = 0").select("doc_id", "text").collect())
     return [(r.doc_id, (r.n_a, r.n_b, r.n_groups, r.text, r.n_links, r.n_best, r.count_sum)) for r in rows]
 
 
