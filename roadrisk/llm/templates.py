@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -33,6 +34,7 @@ SUPPORT = 0.6  # share of the pages with the element around it that a template t
 LAYOUT_PAGES = 3  # pages that a template token of a rarer layout is on at least
 NEAR = 0.5  # containers with this share of the best one's content are near to it
 ARTICLE_WEIGHT = 1000.0
+REMEMBERED_LENGTH = 200  # characters of attributes that are worth remembering
 DEEPEST = 256  # elements inside each other that paths tell apart
 LINK_WEIGHT = 0.1
 
@@ -94,12 +96,26 @@ class Element(NamedTuple):
 
 
 def _named(attributes: str) -> tuple[str, bool]:
-    """Signature of the class, id and role of a tag, and whether they mark something else than the article."""
-    parts = [m[2] or m[3] or m[4] or "" for m in NAMES.finditer(attributes)] if attributes else []
+    """Signature of the class, id and role of a tag, and whether they mark something else than the article.
+
+    Pages of a host repeat their tags, so the last short ones are remembered.
+    """
+    if not attributes:
+        return "", False
+    return _known_names(attributes) if len(attributes) <= REMEMBERED_LENGTH else _names(attributes)
+
+
+def _names(attributes: str) -> tuple[str, bool]:
+    parts = [m[2] or m[3] or m[4] or "" for m in NAMES.finditer(attributes)]
+    if not parts:
+        return "", False
     words = [w for w in re.split(r"[^a-z]+", " ".join(parts).lower()) if w]
     return DIGITS.sub("0", ".".join(" ".join(parts).split())), any(w in MARKS for w in words)
 
 
+_known_names = lru_cache(maxsize=1 << 15)(_names)
+
+
 class Tag(NamedTuple):
     """An opened element: its path, that of the block element around it, and its position among runs and tags."""
 
@@ -125,7 +141,7 @@ def parsed(page: str) -> tuple[list[Run], list[Tag]]:
     size = len(page)
     if page.rfind("<") > page.rfind(">"):
         page += ">"
-    opened: Counter[str] = Counter()
+    opened: defaultdict[str, int] = defaultdict(int)
     paths: dict[str, str] = {}
 
     def close(first: int) -> None:
@@ -157,7 +173,7 @@ def parsed(page: str) -> tuple[list[Run], list[Tag]]:
             open_p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag not in INLINE), 0)
             if open_p and stack[open_p].tag == "p":
                 close(open_p)
-        if name in SIBLINGS and any(opened[tag] for tag in SIBLINGS[name][0]):
+        if name in SIBLINGS and any(map(opened.__getitem__, SIBLINGS[name][0])):
             ended, walls = SIBLINGS[name]
             i = len(stack) - 1
             while i > 0 and stack[i].tag not in walls:
