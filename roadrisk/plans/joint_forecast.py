@@ -121,7 +121,8 @@ def rolling_origins(view: DataFrame, as_of: Moment = None, horizon: int = HORIZO
     met = asked.join(points.select("city", "x", "date", "dow", F.col("y").alias("actual")), ["city", "x"])
     rows = met.withColumns(_bounds(F.col("x"), F.col("dow"), z))
     return rows.select("city", "origin", "horizon", "date", "actual", "forecast", "lower_bound", "upper_bound",
-                       F.col("actual").between(F.col("lower_bound"), F.col("upper_bound")).alias("covered"))
+                       # Up to rounding, as a series without spread has bounds of no width.
+                       F.col("actual").between(F.col("lower_bound") - 1e-9, F.col("upper_bound") + 1e-9).alias("covered"))
 
 
 def coverage(rolled: DataFrame) -> DataFrame:
