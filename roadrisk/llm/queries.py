@@ -13,8 +13,7 @@ from .common import table
 
 
 def op1_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sampled = segmentation.encode_samples(table(spark, sf_dir, "documents"))
-    return sampled.withColumn("decoded", segmentation.decode("pieces")).select(
+    return segmentation.encode_samples(table(spark, sf_dir, "documents"), with_text=True).select(
         "doc_id", "rank", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
         F.crc32("decoded").alias("decoded_crc32"), "log_prob", "perturbed", "log_inclusion")
 

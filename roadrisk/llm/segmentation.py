@@ -46,6 +46,7 @@ UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 FLOOR = -60.0
 MOST = 37.0  # of a Gumbel value from a number of 52 bits
 CODE_BITS = 21
+NO_CODE = (1 << CODE_BITS) - 1  # follows the end of a word
 SLOT_BITS = 18  # of the hash table of trie edges
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = "rank int, pieces array<int>, log_prob double, perturbed double, log_inclusion double"
@@ -126,18 +127,20 @@ def vocabulary(model: bytes) -> Vocabulary:
 
 
 class Lattice(NamedTuple):
-    """Arcs of all distinct words, those with the same end together; ``chosen`` sums up their chances to be the one."""
+    """Arcs of all distinct words, those with the same end together; ``chosen`` sums up their chances to be the one.
+
+    Nodes go by depth and then by word, longer words first, so the first nodes are the starts of all words.
+    """
 
     start: np.ndarray
     end: np.ndarray
     piece: np.ndarray  # -1: the bytes of one code point
-    code: np.ndarray
     log_choice: np.ndarray  # of the arc among those that end where it ends
     chosen: np.ndarray
     first: np.ndarray  # per node
     last: np.ndarray
-    word_start: np.ndarray  # nodes of each word
-    word_end: np.ndarray
+    code: np.ndarray  # the code point that follows
+    word_end: np.ndarray  # node of each word
 
 
 def _utf32(text: str) -> np.ndarray:
@@ -148,100 +151,105 @@ def _bytes_of(code: int) -> bytes:
     return MARK.encode() if code == ord(OWN_MARK) else chr(code).encode("utf-8", "surrogatepass")
 
 
-def _levels(runs: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """The arcs that end at each depth, and the runs of arcs with the same end among all."""
-    at = np.searchsorted(runs, cuts)
-    yield from zip(cuts[:-1].tolist(), cuts[1:].tolist(), at[:-1].tolist(), at[1:].tolist())
-
-
-def _shares(start, score, nodes, runs, sizes, cuts, size) -> np.ndarray | None:
+def _shares(start, weight, first, sizes, cuts) -> np.ndarray | None:
     """Chance of each arc among those with its end, by forward sums; None where they leave the range of numbers.
 
     All words go together, one depth after another.
     """
-    weight, forward, share = np.exp(score), np.ones(size), np.empty(len(start))
-    for a, b, r, q in _levels(runs, cuts):
-        if b > a:
-            value = forward[start[a:b]] * weight[a:b]
-            total = np.add.reduceat(value, runs[r:q] - a)
-            if total.min() < 1e-280:
-                return None
-            forward[nodes[r:q]] = total
-            share[a:b] = value / np.repeat(total, sizes[r:q])
+    forward, share = np.ones(cuts[-1]), np.empty(len(start))
+    for low, high in zip(cuts[1:-1].tolist(), cuts[2:].tolist()):
+        a, b = first[low], first[high - 1] + sizes[high - 1]
+        value = forward[start[a:b]] * weight[a:b]
+        total = np.add.reduceat(value, first[low:high] - a)
+        if total.min() < 1e-280:
+            return None
+        forward[low:high] = total
+        share[a:b] = value / np.repeat(total, sizes[low:high])
     return share
 
 
-def _shares_of_logs(start, score, nodes, runs, sizes, cuts, size) -> np.ndarray:
+def _shares_of_logs(start, score, first, sizes, cuts) -> np.ndarray:
     """The same from logarithms, for long words."""
-    forward, share = np.zeros(size), np.empty(len(start))
-    for a, b, r, q in _levels(runs, cuts):
-        if b > a:
-            value = forward[start[a:b]] + score[a:b]
-            top = np.maximum.reduceat(value, runs[r:q] - a)
-            weight = np.exp(value - np.repeat(top, sizes[r:q]))
-            total = np.add.reduceat(weight, runs[r:q] - a)
-            forward[nodes[r:q]] = top + np.log(total)
-            share[a:b] = weight / np.repeat(total, sizes[r:q])
+    forward, share = np.zeros(cuts[-1]), np.empty(len(start))
+    for low, high in zip(cuts[1:-1].tolist(), cuts[2:].tolist()):
+        a, b = first[low], first[high - 1] + sizes[high - 1]
+        value = forward[start[a:b]] + score[a:b]
+        top = np.maximum.reduceat(value, first[low:high] - a)
+        weight = np.exp(value - np.repeat(top, sizes[low:high]))
+        total = np.add.reduceat(weight, first[low:high] - a)
+        forward[low:high] = top + np.log(total)
+        share[a:b] = weight / np.repeat(total, sizes[low:high])
     return share
 
 
-def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
+def _nodes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The code point after each node, the way to the next node of its word, where each depth begins, each word's end."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    codes = _utf32("".join(words))
-    ends = np.cumsum(lengths)
-    word = np.repeat(np.arange(len(words)), lengths)
-    left = ends[word] - np.arange(len(codes))
-    at, node = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
-    starts, stops, pieces = [], [], []
+    codes, offset = _utf32("".join(words)), np.cumsum(lengths) - lengths
+    order = np.argsort(-lengths, kind="stable")
+    alive = np.cumsum(np.bincount(lengths)[::-1])[::-1]  # words with a node at each depth
+    cuts = np.concatenate([[0], np.cumsum(alive)])
+    place = np.arange(cuts[-1]) - np.repeat(cuts[:-1], alive)
+    depth = np.repeat(np.arange(len(alive)), alive)
+    ends = depth == lengths[order][place]
+    code = codes[np.where(ends, 0, offset[order][place] + depth)]
+    code[ends] = NO_CODE
+    word_end = np.empty(len(words), dtype=np.int64)
+    word_end[order] = cuts[lengths[order]] + np.arange(len(words))
+    return code, np.repeat(alive, alive), cuts, word_end
+
+
+def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
+    code, hop, cuts, word_end = _nodes(words)
+    start = at = np.flatnonzero(code != NO_CODE)
+    node = np.zeros(len(at), dtype=np.int64)
+    found = []
+    sizes = np.zeros(len(code), dtype=np.int64)
     for step in range(vocab.longest):
-        inside = left[at] > step
-        at, node = at[inside], node[inside]
+        place = _followed(vocab, node << CODE_BITS | code[at])
+        known = place >= 0
+        if step == 0:
+            spelt = np.ones(len(at), dtype=bool)
+        start, at, node = start[known], at[known], vocab.ends[place[known]]
         if not len(at):
             break
-        place = _followed(vocab, node << CODE_BITS | codes[at + step])
-        known = place >= 0
-        at, node = at[known], vocab.ends[place[known]]
+        at = at + hop[at]
         piece = vocab.piece_at[node]
         whole = piece >= 0
-        starts.append(at[whole])
-        stops.append(at[whole] + step + 1)
-        pieces.append(piece[whole])
+        found.append((start[whole], at[whole], piece[whole]))
+        sizes[at[whole]] += 1  # no two arcs of a length end at the same node
         if step == 0:
-            spelt = np.setdiff1d(np.arange(len(codes)), at[whole], assume_unique=True)
-            starts.append(spelt)
-            stops.append(spelt + 1)
-            pieces.append(np.full(len(spelt), -1, dtype=np.int64))
+            spelt[np.flatnonzero(known)[whole]] = False
+    spelt = np.flatnonzero(code != NO_CODE)[spelt]
+    sizes[spelt + hop[spelt]] += 1
+    found.insert(0, (spelt, spelt + hop[spelt], np.full(len(spelt), -1, dtype=np.int64)))
+    first = np.cumsum(sizes) - sizes
+    free = first.copy()
+    start, piece = np.empty((2, int(sizes.sum())), dtype=np.int64)
     # Long pieces first: they are the likelier choices, and a choice is looked for from the first arc on.
-    start, stop, piece = (np.concatenate(parts[::-1]) for parts in (starts, stops, pieces))
-    owner = word[start]
-    depth = stop - (ends - lengths)[owner]
-    # Unique numbers: the order of a word's arcs must not depend on the other words.
-    order = np.argsort((depth * (len(codes) + 1) + stop) * (vocab.longest + 2) + vocab.longest - (stop - start))
-    start, stop, piece, owner, depth = (x[order] for x in (start, stop, piece, owner, depth))
-    spelt = np.flatnonzero(piece < 0)
-    code = np.full(len(piece), -1, dtype=np.int64)
-    code[spelt] = codes[start[spelt]]
+    while found:
+        low, high, taken = found.pop()
+        place = free[high]
+        start[place], piece[place] = low, taken
+        free[high] = place + 1
     score = vocab.log_prob[piece]
     if len(spelt):
-        widths = {c: len(_bytes_of(c)) for c in np.unique(code[spelt]).tolist()}
-        score[spelt] = [widths[c] * vocab.byte_log_prob for c in code[spelt].tolist()]
-    start, stop = start + owner, stop + owner  # each word has one node more than code points
-    cuts = np.searchsorted(depth, np.arange(1, (depth[-1] if len(depth) else 0) + 2))
-    runs = np.concatenate([[0], np.flatnonzero(stop[1:] != stop[:-1]) + 1])
-    nodes, sizes = stop[runs], np.diff(np.append(runs, len(stop)))
-    first, last = (np.zeros(len(codes) + len(words), dtype=np.int64) for _ in range(2))
-    first[nodes], last[nodes] = runs, runs + sizes - 1
-    share = _shares(start, score, nodes, runs, sizes, cuts, len(first))
+        single = np.flatnonzero(piece < 0)
+        kinds, kind = np.unique(code[start[single]], return_inverse=True)
+        score[single] = np.array([len(_bytes_of(c)) for c in kinds.tolist()])[kind] * vocab.byte_log_prob
+    share = _shares(start, np.exp(score), first, sizes, cuts)
     if share is None:
-        share = _shares_of_logs(start, score, nodes, runs, sizes, cuts, len(first))
+        share = _shares_of_logs(start, score, first, sizes, cuts)
     with np.errstate(divide="ignore"):
         log_choice = np.log(share)
     running = np.cumsum(share)
-    chosen = running - (running[first[stop]] - share[first[stop]])
-    chosen[last[stop]] = 1.0
-    word_end = ends + np.arange(len(words))
-    return Lattice(start, stop, piece, code, np.maximum(np.minimum(log_choice, 0.0), -700.0), chosen, first, last,
-                   word_end - lengths, word_end)
+    ends = np.arange(cuts[1], cuts[-1])  # every node but the starts has arcs
+    head = first[ends]
+    chosen = running - np.repeat(running[head] - share[head], sizes[ends])
+    last = first + sizes - 1
+    chosen[last[ends]] = 1.0
+    return Lattice(start, np.repeat(ends, sizes[ends]), piece, np.maximum(np.minimum(log_choice, 0.0), -700.0), chosen,
+                   first, last, code, word_end)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -257,6 +265,12 @@ def _uniform(seed: np.ndarray, path: int, step: np.ndarray | int, use: int) -> n
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
 
 
+def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The whole numbers of all ranges, one range after another."""
+    size = stop - start
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def _gumbel(u: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(u))
 
@@ -313,7 +327,7 @@ class Sampler:
     def _walk(self, word: np.ndarray, node: np.ndarray, step: np.ndarray, path: int):
         """Sample the choices of words from a node back to the word's start."""
         net, out = self.lattice, []
-        start = net.word_start[self.code[word]]
+        starts = len(net.word_end)
         while len(word):
             u = _uniform(self.seed[word], path, step, 0)
             arc = net.first[node]
@@ -323,17 +337,20 @@ class Sampler:
                 off = off[u[off] >= net.chosen[arc[off]]]
             out.append((word, step, arc))
             node, step = net.start[arc], step + 1
-            on = node > start
-            word, node, step, start = word[on], node[on], step[on], start[on]
+            on = node >= starts
+            word, node, step = word[on], node[on], step[on]
         return out
 
     def _path(self, texts: np.ndarray, parts: list, path: int, value: np.ndarray, after: np.ndarray) -> Path:
         """Put the choices in order and open the regions that leave the path after choice ``after`` of each text."""
         word, step, arc = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(word << 24 | step, kind="stable")  # merges of sorted runs
-        word, step, arc = word[order], step[order], arc[order]
-        bounds = np.searchsorted(word, np.append(self.starts[texts], self.starts[texts[-1] + 1]))
-        bounds[:-1] = np.searchsorted(word, self.starts[texts])
+        count = np.bincount(word, minlength=len(self.code))
+        base = np.concatenate([[0], np.cumsum(count)])
+        ordered = np.empty_like(arc)
+        ordered[base[word] + step] = arc
+        word, arc = np.repeat(np.arange(len(count)), count), ordered
+        step = np.arange(len(arc)) - np.repeat(base[:-1], count)
+        bounds = base[np.append(self.starts[texts], self.starts[texts[-1] + 1])]
         total = np.concatenate([[0.0], np.cumsum(self.lattice.log_choice[arc])])
         per = np.diff(bounds)
         before = total[:-1] - np.repeat(total[bounds[:-1]], per)
@@ -395,7 +412,7 @@ class Sampler:
         word = np.arange(len(self.code))
         parts = self._walk(word, self.lattice.word_end[self.code], np.zeros(len(word), dtype=np.int64), 0)
         found = [self._path(texts, parts, 0, _gumbel(_uniform(self.own[texts], 0, 0, 2)), np.full(len(texts), -1))]
-        closed: dict[tuple[int, int], list[int]] = {}
+        closed: list[np.ndarray] = []
         for number in range(1, k + 1):
             best, where = self._sure_best(found, len(threshold))
             if number == k:
@@ -408,40 +425,51 @@ class Sampler:
 
     def _open(self, texts, where, value, found, closed, number) -> Path:
         """Sample the best path of one region of each text and leave the rest of the region open."""
-        net, parts, turned = self.lattice, [], []
-        after = np.empty(len(texts), dtype=np.int64)
-        for i, (text, (m, at)) in enumerate(zip(texts.tolist(), where.tolist())):
-            held = found[m]
-            word, step, arc = int(held.word[at]), int(held.step[at]), int(held.arc[at])
-            out = closed.setdefault((m, at), [arc])
-            node = int(net.end[arc])
-            low, high = int(net.first[node]), int(net.last[node]) + 1
-            share = np.exp(net.log_choice[low:high])
-            share[[a - low for a in out]] = 0.0
-            running = np.cumsum(share)
-            u = _uniform(self.seed[word:word + 1], number, step, 3)[0]
-            pick = min(int(np.searchsorted(running, u * running[-1], side="right")), len(share) - 1)
-            while share[pick] == 0.0 and pick:
-                pick -= 1
-            share[pick] = 0.0
-            out.append(low + pick)
-            rest = np.log(share.sum()) if share.any() else -np.inf
-            g = _gumbel(_uniform(self.seed[word:word + 1], number, step, 1))[0]
-            held.open_[at] = _below(value[i], held.before[at] + rest + g)
-            first = int(held.bounds[np.searchsorted(held.texts, text)])
-            after[i] = at - first
-            parts.append((held.word[first:at], held.step[first:at], held.arc[first:at]))
-            turned.append((word, step, low + pick))
-        word, step, arc = (np.array(x, dtype=np.int64) for x in zip(*turned))
+        net = self.lattice
+        source, at = where.T
+        word, step, arc, first = (np.empty(len(texts), dtype=np.int64) for _ in range(4))
+        before = np.empty(len(texts))
+        parts = []
+        for m, held in enumerate(found):
+            here = np.flatnonzero(source == m)
+            place = at[here]
+            word[here], step[here], arc[here] = held.word[place], held.step[place], held.arc[place]
+            before[here] = held.before[place]
+            first[here] = held.bounds[np.searchsorted(held.texts, texts[here])]
+            fixed = _ranges(first[here], place)
+            parts.append((held.word[fixed], held.step[fixed], held.arc[fixed]))
+        node = net.end[arc]
+        low, last = net.first[node], net.last[node]
+        column, row = np.arange((last - low).max() + 1), np.arange(len(texts))
+        arcs = low[:, None] + column
+        share = np.where(arcs <= last[:, None], np.exp(net.log_choice[np.minimum(arcs, last[:, None])]), 0.0)
+        share[row, arc - low] = 0.0
+        for m, place, taken in closed:  # choices that left the same region before
+            same = np.flatnonzero((m[texts] == source) & (place[texts] == at))
+            share[same, taken[texts[same]] - low[same]] = 0.0
+        running = np.cumsum(share, axis=1)
+        u = _uniform(self.seed[word], number, step, 3)
+        pick = np.minimum((running <= (u * running[:, -1])[:, None]).sum(axis=1), last - low)
+        pick = np.maximum.accumulate(np.where(share > 0.0, column, 0), axis=1)[row, pick]
+        share[row, pick] = 0.0
+        arc = low + pick
+        left = np.full((3, len(self.starts) - 1), -1, dtype=np.int64)
+        left[:, texts] = source, at, arc
+        closed.append(left)
+        with np.errstate(divide="ignore"):
+            rest = np.log(np.cumsum(share, axis=1)[:, -1])
+        rest = _below(value, before + rest + _gumbel(_uniform(self.seed[word], number, step, 1)))
+        for m, held in enumerate(found):
+            here = source == m
+            held.open_[at[here]] = rest[here]
         parts.append((word, step, arc))
         node = net.start[arc]
-        on = node > net.word_start[self.code[word]]
-        ends = self.starts[texts + 1]
-        later = np.concatenate([np.arange(w + 1, e) for w, e in zip(word.tolist(), ends.tolist())])
-        again = np.concatenate([word[on], later])
-        order = np.argsort(again, kind="stable")
-        parts += self._walk(again[order], np.concatenate([node[on], net.word_end[self.code[later]]])[order],
-                            np.concatenate([step[on] + 1, np.zeros(len(later), dtype=np.int64)])[order], number)
+        on = node >= len(net.word_end)
+        later = _ranges(word + 1, self.starts[texts + 1])
+        parts += self._walk(np.concatenate([word[on], later]),
+                            np.concatenate([node[on], net.word_end[self.code[later]]]),
+                            np.concatenate([step[on] + 1, np.zeros(len(later), dtype=np.int64)]), number)
+        after = at - first
         return self._path(texts, parts, number, value, after)
 
     def pieces(self, path: Path) -> tuple[np.ndarray, np.ndarray]:
@@ -454,7 +482,7 @@ class Sampler:
         ids, bounds = net.piece[arc], path.bounds
         spelt = np.flatnonzero(ids < 0)
         if len(spelt):
-            raw = [_bytes_of(c) for c in net.code[arc[spelt]].tolist()]
+            raw = [_bytes_of(c) for c in net.code[net.start[arc[spelt]]].tolist()]
             width = np.ones(len(ids), dtype=np.int64)
             width[spelt] = [len(r) for r in raw]
             place = np.concatenate([[0], np.cumsum(width)])
@@ -486,7 +514,8 @@ def segment(texts: list[str], keys: np.ndarray, model: bytes, k: int, seed: int
             path.log_prob, threshold[path.texts])
 
 
-def _segmented(batches: Iterator[pa.RecordBatch], model: bytes, k: int, seed: int) -> Iterator[pa.RecordBatch]:
+def _segmented(batches: Iterator[pa.RecordBatch], model: bytes, k: int, seed: int, with_text: bool
+               ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id")
         keys = batch.column("_key").to_numpy(zero_copy_only=False)
@@ -494,11 +523,14 @@ def _segmented(batches: Iterator[pa.RecordBatch], model: bytes, k: int, seed: in
         sizes = [t if t.isascii() else t.encode("utf-8", "surrogatepass") for t in texts]
         for a, b in chunks(sizes, CHUNK):
             for number, at, pieces, bounds, log_prob, value, inclusion in segment(texts[a:b], keys[a:b], model, k, seed):
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(at + a)), pa.array(np.full(len(at), number, dtype=np.int32)),
-                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(pieces)),
-                     pa.array(log_prob), pa.array(value), pa.array(inclusion)],
-                    names=["doc_id", "rank", "pieces", "log_prob", "perturbed", "log_inclusion"])
+                held = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(pieces))
+                columns = {"doc_id": ids.take(pa.array(at + a)),
+                           "rank": pa.array(np.full(len(at), number, dtype=np.int32)), "pieces": held,
+                           "log_prob": pa.array(log_prob), "perturbed": pa.array(value),
+                           "log_inclusion": pa.array(inclusion)}
+                if with_text:
+                    columns["decoded"] = _decoded_all(held, model)
+                yield pa.RecordBatch.from_pydict(columns)
 
 
 def read_model(path: str = MODEL) -> bytes:
@@ -507,17 +539,20 @@ def read_model(path: str = MODEL) -> bytes:
         return file.read()
 
 
-def encode_samples(docs: DataFrame, k: int = SAMPLES, path: str = MODEL, seed: int = SEED) -> DataFrame:
+def encode_samples(docs: DataFrame, k: int = SAMPLES, path: str = MODEL, seed: int = SEED,
+                   with_text: bool = False) -> DataFrame:
     """Up to ``k`` distinct segmentations of each whole text, in the order they were drawn.
 
-    Returns doc_id, rank from 1, piece ids, log probability, perturbed value and log inclusion score.  Null and empty
+    Returns doc_id, rank from 1, piece ids, log probability, perturbed value and log inclusion score; ``with_text`` adds
+    ``decoded``, the text that ``decode`` makes of the piece ids, without another way through Python.  Null and empty
     texts have one segmentation without pieces, certain to be drawn; a text with fewer than ``k`` segmentations gives
     all of them, each with inclusion score 0.  Equal rows, and rows without an id and with equal texts, get the same
     samples, as the key is the doc_id.  An empty table gives no rows; other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("doc_id").alias("_key"), "text").mapInArrow(
-        partial(_segmented, model=read_model(path), k=k, seed=seed), f"doc_id {kind}, {SCHEMA}")
+        partial(_segmented, model=read_model(path), k=k, seed=seed, with_text=with_text),
+        f"doc_id {kind}, {SCHEMA}" + (", decoded string" if with_text else ""))
 
 
 def decoded(ids: np.ndarray, spelling: list[bytes]) -> str:

@@ -119,6 +119,8 @@ def test_odd_rows(spark, documents, odd_rows):
     for i, t in odd_rows:
         texts.setdefault(i, set()).add(t or "")
     assert all(r.text in texts[r.doc_id] for r in out)
+    both = sampling.encode_samples(documents(odd_rows), with_text=True).withColumn("text", sampling.decode("pieces"))
+    assert both.where("decoded != text").count() == 0 and both.where("decoded is null").count() == 0
     assert sum(r["rank"] == 1 for r in out) == len(odd_rows)
     assert {(r["rank"], r.log_prob, r.log_inclusion) for r in out if not r.pieces} == {(1, 0.0, 0.0)}
     twice = [tuple(r.pieces) for r in out if r.doc_id == 4 and r["rank"] == 2 and r.text.startswith("one")]
