@@ -58,6 +58,7 @@ class Vocabulary(NamedTuple):
     edges: np.ndarray  # -1: no edge in the slot
     ends: np.ndarray
     piece_at: np.ndarray
+    inner: np.ndarray  # nodes that edges leave
     log_prob: np.ndarray
     byte_ids: np.ndarray
     byte_log_prob: float
@@ -122,7 +123,9 @@ def vocabulary(model: bytes) -> Vocabulary:
     spelling = [texts[i].replace(MARK, " ").encode() if log_prob[i] > -np.inf else b"" for i in range(size)]
     for value, i in enumerate(byte_ids):
         spelling[i] = bytes([value])
-    return Vocabulary(edges, ends, piece_at, log_prob, byte_ids,
+    inner = np.zeros(len(piece_at), dtype=bool)
+    inner[edges[edges >= 0] >> CODE_BITS] = True
+    return Vocabulary(edges, ends, piece_at, inner, log_prob, byte_ids,
                       float(-np.log(rank.max() + 2) - total), spelling, max(len(texts[i]) for i in plain))
 
 
@@ -134,6 +137,7 @@ class Lattice(NamedTuple):
 
     start: np.ndarray
     end: np.ndarray
+    only: np.ndarray  # no other arc ends where it ends
     piece: np.ndarray  # -1: the bytes of one code point
     log_choice: np.ndarray  # of the arc among those that end where it ends
     chosen: np.ndarray
@@ -213,13 +217,15 @@ def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
         start, at, node = start[known], at[known], vocab.ends[place[known]]
         if not len(at):
             break
-        at = at + hop[at]
+        at += hop[at]
         piece = vocab.piece_at[node]
         whole = piece >= 0
         found.append((start[whole], at[whole], piece[whole]))
-        sizes[at[whole]] += 1  # no two arcs of a length end at the same node
+        sizes[found[-1][1]] += 1  # no two arcs of a length end at the same node
         if step == 0:
             spelt[np.flatnonzero(known)[whole]] = False
+        more = vocab.inner[node] & (code[at] != NO_CODE)
+        start, at, node = start[more], at[more], node[more]
     spelt = np.flatnonzero(code != NO_CODE)[spelt]
     sizes[spelt + hop[spelt]] += 1
     found.insert(0, (spelt, spelt + hop[spelt], np.full(len(spelt), -1, dtype=np.int64)))
@@ -242,13 +248,14 @@ def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
         share = _shares_of_logs(start, score, first, sizes, cuts)
     with np.errstate(divide="ignore"):
         log_choice = np.log(share)
-    running = np.cumsum(share)
-    ends = np.arange(cuts[1], cuts[-1])  # every node but the starts has arcs
-    head = first[ends]
-    chosen = running - np.repeat(running[head] - share[head], sizes[ends])
+    chosen = np.cumsum(share)
     last = first + sizes - 1
-    chosen[last[ends]] = 1.0
-    return Lattice(start, np.repeat(ends, sizes[ends]), piece, np.maximum(np.minimum(log_choice, 0.0), -700.0), chosen,
+    inner = slice(cuts[1], None)  # every node but the starts has arcs
+    head = first[inner]
+    end = np.repeat(np.arange(len(sizes)), sizes)
+    chosen -= np.repeat(chosen[head] - share[head], sizes[inner])
+    chosen[last[inner]] = 1.0
+    return Lattice(start, end, (sizes == 1)[end], piece, np.clip(log_choice, -700.0, 0.0, out=log_choice), chosen,
                    first, last, code, word_end)
 
 
@@ -354,9 +361,9 @@ class Sampler:
         total = np.concatenate([[0.0], np.cumsum(self.lattice.log_choice[arc])])
         per = np.diff(bounds)
         before = total[:-1] - np.repeat(total[bounds[:-1]], per)
-        end = self.lattice.end[arc]
-        free = (self.lattice.first[end] != self.lattice.last[end]) & (
-            np.arange(len(arc)) - np.repeat(bounds[:-1], per) > np.repeat(after, per))
+        free = ~self.lattice.only[arc]
+        for low, high in zip(bounds[:-1].tolist(), (bounds[:-1] + after + 1).tolist()):
+            free[low:high] = False
         out = Path(path, texts, bounds, word, step, arc, before, free, np.full(len(arc), -np.inf),
                    total[bounds[1:]] - total[bounds[:-1]], value)
         self._value(out, np.flatnonzero(free & (before > FLOOR)))
