@@ -5,7 +5,7 @@ from conftest import plan_text
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from roadrisk.operators import joins, shared
+from roadrisk.operators import joins, ranking, shared
 from roadrisk.operators.ranking import Ranking, row_numbers
 from roadrisk.sources import cities
 
@@ -134,5 +134,22 @@ def test_ranking_has_no_unpartitioned_window(spark):
     assert "SinglePartition" not in plan
 
 
+def test_all_rankings_share_one_sort(spark):
+    frame = shared.written(spark.range(50).select(
+        F.col("id").alias("key"), F.lit("r").alias("record_id"), F.lit("p").alias("part"),
+        F.lit(1.0).alias("value"), F.rand(2).alias("other")), "ranked")
+    plan = plan_text(ranking._sorted(frame, RANKINGS, ["record_id", "key"], 4))
+    assert plan.count("Exchange rangepartitioning") == plan.count("Scan parquet") == 1
+    placed = ranking._sorted(frame, RANKINGS, ["record_id", "key"], 4)
+    assert placed.where("_ranking = 0").select("_part").distinct().count() > 1  # equal values are spread as well
+
+
+def test_rankings_of_an_empty_table(spark):
+    frame = shared.written(spark.range(0).select(
+        F.col("id").alias("key"), F.lit("r").alias("record_id"), F.lit("p").alias("part"),
+        F.rand(1).alias("value"), F.rand(2).alias("other")), "ranked")
+    assert row_numbers(frame, RANKINGS, ["record_id", "key"]).collect() == []
+
+
 def test_shared_folder_is_the_clusters(spark):
     assert shared.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
