@@ -29,6 +29,14 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def own_name(rows: DataFrame, name: str) -> str:
+    """A name for a column that is added for a while: ``name`` after as many underscores as keep it from all others."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that no model may learn from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.shared import written
-from .common import as_bytes, chunks, codes_of, row_key, run_sums
+from .common import as_bytes, chunks, codes_of, own_name, row_key, run_sums
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
@@ -130,5 +130,6 @@ def judge(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
 
 def keep_documents(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The documents that ``judge`` keeps, with all their columns."""
-    kept = written(judge(docs, max_rate).where("kept").select(F.col("row").alias("_row")).distinct(), "kept")
-    return docs.withColumn("_row", row_key("doc_id", "text", "source")).join(kept, "_row", "left_semi").drop("_row")
+    row = own_name(docs, "row")
+    kept = written(judge(docs, max_rate).where("kept").select(F.col("row").alias(row)).distinct(), "kept")
+    return docs.withColumn(row, row_key("doc_id", "text", "source")).join(kept, row, "left_semi").drop(row)

@@ -10,13 +10,14 @@ while a band of mostly random runs loses few of them.  Runs too short for their
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.shared import written
-from .common import row_key
+from .common import own_name, row_key
 from .winnowing import let
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,10 +43,38 @@ ALPHABETS = (
 DISCOVERY_RATE = 0.05
 LEAST_P = 0.01  # of a reported run, whatever its band
 BAND = 8  # characters
+SPAN = "struct<start:int,end:int,n:int>"
+PART = 256  # values that a fold gathers at a time
+BLOCK = 1024  # code points of a text that are cut at a time
+FAR = 2 ** 31 - 1
 P_STEPS = 20  # steps of the p-values' scale for a factor of ten
 P_SCALE = 30  # factors of ten
 
 
+def _gathered(items: Column, kind: str, step: Callable[[Column, Column], Column]) -> Column:
+    """The values that a fold gives off, in time linear in the items.
+
+    ``step`` turns a state, at first 0, and an item into a struct of the next state ``at`` and a ``value``, null for none.
+    Values go into parts of bounded size, since each append copies its array.  Each value waits for one step, so that no
+    expression is used twice and no lambda returns what has been gathered, which would copy all of it.
+    """
+    begin = F.struct(F.lit(0).alias("at"), F.lit(None).cast(kind).alias("value"),
+                     F.array().cast(f"array<{kind}>").alias("part"), F.array().cast(f"array<array<{kind}>>").alias("parts"))
+
+    def merge(held: Column, item: Column) -> Column:
+        next_, value = step(held["at"], item), held["value"]
+        full = F.size(held["part"]) >= PART
+        return F.struct(
+            next_["at"].alias("at"), next_["value"].alias("value"),
+            F.when(full, F.array().cast(f"array<{kind}>")).when(value.isNull(), held["part"]).otherwise(
+                F.array_append(held["part"], value)).alias("part"),
+            F.when(full, F.array_append(held["parts"], F.when(value.isNull(), held["part"]).otherwise(
+                F.array_append(held["part"], value)))).otherwise(held["parts"]).alias("parts"))
+
+    return F.aggregate(items, begin, merge, lambda held: F.concat(
+        F.flatten(held["parts"]), held["part"], F.filter(F.array(held["value"]), lambda v: v.isNotNull())))
+
+
 def _spans(text: Column, pattern: str, value_group: int = 0) -> Column:
     """Start, end and length of the tested group of each match, leftmost and without overlap, in code points.
 
@@ -56,24 +85,35 @@ def _spans(text: Column, pattern: str, value_group: int = 0) -> Column:
     value = F.length if not value_group else None
 
     def located(gaps: Column, found: Column, values: Column) -> Column:
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,n:int>>").alias("spans"))
-
-        def step(held: Column, i: Column) -> Column:
-            start = held["at"] + F.length(F.get(gaps, i))
+        def step(at: Column, i: Column) -> Column:
+            start = at + F.length(F.get(gaps, i))
             end = start + F.length(F.get(found, i))
             span = F.struct(start.alias("start"), end.alias("end"), F.length(F.get(values, i)).alias("n"))
-            return F.struct(end.alias("at"), F.when(end > start, F.array_append(held["spans"], span))
-                            .otherwise(held["spans"]).alias("spans"))
+            return F.struct(end.alias("at"), F.when(end > start, span).alias("value"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(gaps) - 1), begin, step)["spans"]
+        return _gathered(F.sequence(F.lit(0), F.size(gaps) - 1), SPAN, step)
 
     group = 2 if value is not None else 2 + value_group
     every = let(F.regexp_extract_all(text, gapped, F.lit(1)), lambda gaps: let(
         F.regexp_extract_all(text, gapped, F.lit(2)), lambda found: let(
             F.regexp_extract_all(text, gapped, F.lit(group)) if group != 2 else found,
             lambda values: located(gaps, found, values))))
-    return F.when(F.regexp_like(text, F.lit(pattern)), every).otherwise(
-        F.array().cast("array<struct<start:int,end:int,n:int>>"))
+    return F.when(F.regexp_like(text, F.lit(pattern)), every).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of a fixed number of code points, so that a cut need not count from the text's start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` up to ``end``."""
+    def part(i: Column) -> Column:
+        low, high = F.greatest(start - i * BLOCK, F.lit(0)), F.least(end - i * BLOCK, F.lit(BLOCK))
+        return F.substring(F.get(blocks, i), low + 1, high - low)
+
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    return F.when(end > start, F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise(F.lit(""))
 
 
 def _kind(spans: Column, kind: int) -> Column:
@@ -200,12 +240,33 @@ def battery(token: Column, encoding: Column) -> Column:
     return let(F.filter(places, lambda p: p >= 0), combined)
 
 
+def _untouched(runs: Column, base: Column) -> Column:
+    """The runs that no base span touches: one pass knows the spans that begin before a run, one those that begin in it."""
+    events = F.array_sort(F.concat(
+        F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("run"), s["end"].alias("end"),
+                                             F.lit(0).alias("n"))),
+        F.transform(runs, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("run"), s["end"].alias("end"),
+                                             s["n"].alias("n")))))
+
+    def after(at: Column, e: Column) -> Column:  # the state is the farthest end of a span
+        return F.struct(F.when(e["run"] == 1, at).otherwise(F.greatest(at, e["end"])).alias("at"),
+                        F.when((e["run"] == 0) | (at <= e["start"]), e).alias("value"))
+
+    def before(at: Column, e: Column) -> Column:  # the state is FAR less the nearest start of a span
+        span = F.struct(e["start"].alias("start"), e["end"].alias("end"), e["n"].alias("n"))
+        return F.struct(F.when(e["run"] == 1, at).otherwise(F.greatest(at, FAR - e["start"])).alias("at"),
+                        F.when((e["run"] == 1) & (FAR - at >= e["end"]), span).alias("value"))
+
+    kept = _gathered(events, "struct<start:int,run:int,end:int,n:int>", after)
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), runs).otherwise(
+        F.reverse(_gathered(F.reverse(kept), SPAN, before)))
+
+
 def tested_runs(text: Column, base: Column) -> Column:
     """Runs that no base span touches: start, end, encoding, band of length and combined p-value."""
-    free = F.filter(_spans(text, RUN), lambda s: ~F.exists(
-        base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = let(_spans(text, RUN), lambda runs: _untouched(runs, base))
 
-    def cut(s: Column) -> Column:
+    def cut(blocks: Column, s: Column) -> Column:
         def part(run: Column, p: Column) -> Column:
             token = F.rtrim(F.substring(run, p["start"] + 1, p["end"] - p["start"]), F.lit("="))
             return let(token, lambda t: F.struct(
@@ -218,14 +279,16 @@ def tested_runs(text: Column, base: Column) -> Column:
             return F.transform(F.when(encoding_of(F.rtrim(run, F.lit("="))).isNotNull(), whole).otherwise(split),
                                lambda p: part(run, p))
 
-        return let(F.substring(text, s["start"] + 1, s["end"] - s["start"]), parts)
+        return let(_cut(blocks, s["start"], s["end"]), parts)
 
     def tested(t: Column) -> Column:
         return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["encoding"].alias("encoding"),
                         t["n"].alias("n"), battery(t["token"], t["encoding"]).alias("p"))
 
+    cuts = let(free, lambda runs: let(F.when(F.size(runs) > 0, _blocks(text)), lambda blocks: F.transform(
+        runs, lambda s: cut(blocks, s))))
     least = [n for _, _, n in ALPHABETS]
-    long = F.filter(F.flatten(F.transform(free, cut)), lambda t: t["encoding"].isNotNull()
+    long = F.filter(F.flatten(cuts), lambda t: t["encoding"].isNotNull()
                     & (t["n"] >= _by_encoding(t["encoding"], least)))
     return F.transform(long, tested)
 
@@ -276,23 +339,26 @@ def listed(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each character of a span replaced by ``*``; its length stays."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each character of a span replaced by ``*``; its length stays.  Spans go by their start."""
+    def of(blocks: Column) -> Column:
+        def step(at: Column, s: Column) -> Column:
+            start, end = F.greatest(at, s["start"]), F.greatest(at, s["end"])
+            return F.struct(end.alias("at"), F.concat(_cut(blocks, at, start), F.repeat(F.lit(MASK), end - start)).alias("value"))
+
+        def rest(edge: Column) -> Column:
+            return F.concat(F.array_join(_gathered(spans, "string", step), ""), _cut(blocks, edge["from"], edge["to"]))
 
-    def step(held: Column, s: Column) -> Column:
-        start, end = F.greatest(held["at"], s["start"]), F.greatest(held["at"], s["end"])
-        return F.struct(end.alias("at"), F.concat(
-            held["out"], F.substring(text, held["at"] + 1, start - held["at"]),
-            F.repeat(F.lit(MASK), end - start)).alias("out"))
+        return let(F.struct(F.array_max(F.transform(spans, lambda s: s["end"])).alias("from"),
+                            F.length(text).alias("to")), rest)
 
-    return let(F.aggregate(spans, begin, step), lambda done: F.concat(
-        done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(let(_blocks(text), of))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every found secret masked, all columns and rows kept."""
-    found = written(scan(docs).where("size(spans) > 0").select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
-                    .dropDuplicates(["_row"]), "secrets")
-    met = docs.withColumn("_row", row_key("doc_id", "text")).join(found, "_row", "left")
-    return met.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        masked(F.col("text"), F.col("_spans")))).select(*docs.columns)
+    row, spans = own_name(docs, "row"), own_name(docs, "spans")
+    found = written(scan(docs).where("size(spans) > 0").select(F.col("row").alias(row), F.col("spans").alias(spans))
+                    .dropDuplicates([row]), "secrets")
+    met = docs.withColumn(row, row_key("doc_id", "text")).join(found, row, "left")
+    return met.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(
+        masked(F.col("text"), F.col(spans)))).drop(row, spans)

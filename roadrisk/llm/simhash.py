@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.shared import written
-from .common import as_bytes, row_key
+from .common import as_bytes, own_name, row_key
 from .components import components
 
 SHINGLE = 3
@@ -190,6 +190,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each group, with all its columns: the smallest doc_id, then the smallest row key, null ids last."""
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    kept = written(near_copies(docs).groupBy("root").agg(F.min_by("row", place).alias("_row")).select("_row"), "kept")
-    met = docs.withColumn("_row", row_key("doc_id", "text")).join(kept, "_row", "left_semi")
-    return met.dropDuplicates(["_row"]).drop("_row")
+    row = own_name(docs, "row")
+    kept = written(near_copies(docs).groupBy("root").agg(F.min_by("row", place).alias(row)).select(row), "kept")
+    met = docs.withColumn(row, row_key("doc_id", "text")).join(kept, row, "left_semi")
+    return met.dropDuplicates([row]).drop(row)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.shared import written
-from .common import row_key
+from .common import own_name, row_key
 
 SPAN = 13
 GRAM = 5
@@ -133,6 +133,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = written(contamination(docs, benchmark).where("contaminated").select(F.col("row").alias("_row")).distinct(),
+    row = own_name(docs, "row")
+    bad = written(contamination(docs, benchmark).where("contaminated").select(F.col("row").alias(row)).distinct(),
                   "contaminated")
-    return docs.withColumn("_row", row_key("doc_id", "text")).join(bad, "_row", "left_anti").drop("_row")
+    return docs.withColumn(row, row_key("doc_id", "text")).join(bad, row, "left_anti").drop(row)

@@ -26,6 +26,8 @@ def test_each_stage_takes_effect(spark, documents, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         if i < len(corpus_pipeline.STAGES) - 1:
             assert out.schema.simpleString() == docs.schema.simpleString()
+            own = out.select("row", "spans", "_row", "_spans", "__ROW").distinct().collect()
+            assert [tuple(r) for r in own] == [(1, "s", "own", 9, 0.25)]
         out.write.parquet(f"{tmp_path}/stage{i}")
         docs = spark.read.parquet(f"{tmp_path}/stage{i}")
         states.append(docs)

@@ -1,6 +1,7 @@
 import base64
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,50 @@ def test_masked_texts_keep_their_length_and_rows(documents, odd_rows):
         assert r.text == "".join(want)
     assert {r.text for r in out.where("doc_id = 4").collect()} == {t for i, t in odd_rows if i == 4}
     assert secrets.redact(documents([])).count() == 0
+
+
+def test_masks_equal_a_plain_loop(spark):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choice("ab \n\u00e9\U0001d11e") for _ in range(rng.choice([0, 1, 30, 1023, 1024, 1025, 5000])))
+        spans = sorted((a, 0, min(len(text), a + rng.choice([1, 9, 1500]))) for a in (
+            rng.randrange(len(text)) for _ in range(rng.choice([0, 1, 8, 300]) if text else 0))
+        )
+        rows.append((text, spans))
+    frame = spark.createDataFrame(rows, "text string, spans array<struct<start:int,kind:int,end:int>>")
+    for r in frame.select("text", "spans", secrets.masked(F.col("text"), F.col("spans")).alias("out")).collect():
+        want = list(r.text)
+        for s in r.spans:
+            want[s.start:s.end] = "*" * (s.end - s.start)
+        assert r.out == "".join(want)
+
+
+def test_runs_that_a_span_touches_are_left_out(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(300):
+        at, runs = 0, []
+        for _ in range(rng.randrange(6)):
+            at += rng.randrange(1, 6)
+            runs.append((at, at + rng.randrange(1, 6), 7))
+            at = runs[-1][1]
+        base = sorted((a, rng.randrange(3), a + rng.randrange(1, 8)) for a in (rng.randrange(30) for _ in range(rng.randrange(5))))
+        rows.append((runs, base))
+    frame = spark.createDataFrame(rows, f"runs array<{secrets.SPAN}>, base array<struct<start:int,kind:int,end:int>>")
+    for r in frame.select("*", secrets._untouched(F.col("runs"), F.col("base")).alias("free")).collect():
+        assert r.free == [s for s in r.runs if not any(b.start < s.end and s.start < b.end for b in r.base)]
+
+
+def test_time_is_linear_in_the_spans(spark, documents):
+    rng = random.Random(7)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(24))
+    texts = {n: " ".join(key() for _ in range(n)) for n in (2000, 16_000)}
+    taken = {}
+    for n, text in texts.items():
+        docs = documents([(1, text)])
+        start = time.perf_counter()
+        (row,) = secrets.redact(docs).select("text").collect()
+        taken[n] = time.perf_counter() - start
+        assert row.text == re.sub("[0-9a-f]", "*", text)
+    assert taken[16_000] < 8 * taken[2000] + 10
