@@ -150,6 +150,11 @@ def ridge_residuals(view: DataFrame, model: DataFrame, penalty: float = PENALTY)
     return sums.select("city", "n", F.greatest(*gaps).alias("gap"))
 
 
+def _labelled(rows: DataFrame) -> DataFrame:
+    """Adds the labels that are encoded.  Spark names a slot by its label and takes no empty name, as a blank city would give."""
+    return rows.withColumns({"city_label": F.concat(F.lit("="), "city"), "day_name": short_day_name(F.col("date"))})
+
+
 def fit_features(view: DataFrame, min_points: int = MIN_POINTS) -> tuple[PipelineModel, float]:
     """One linear model over all cities with the exogenous features; a distributed fit.
 
@@ -157,11 +162,9 @@ def fit_features(view: DataFrame, min_points: int = MIN_POINTS) -> tuple[Pipelin
     and its residual spread.
     """
     enough = view.groupBy("city").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_points).select("city")
-    rows = (view.join(enough, "city")
-            .withColumn("accident_count", F.col("accident_count").cast("double"))
-            .withColumn("day_name", short_day_name(F.col("date"))))
+    rows = _labelled(view.join(enough, "city").withColumn("accident_count", F.col("accident_count").cast("double")))
     # A label with a single value carries no information and cannot be one-hot encoded.
-    levels = rows.agg(*[F.countDistinct(name).alias(name) for name in ("city", "day_name")]).first().asDict()
+    levels = rows.agg(*[F.countDistinct(name).alias(name) for name in ("city_label", "day_name")]).first().asDict()
     labels = [name for name, count in levels.items() if count > 1]
     slots = [f"{name}_slots" for name in labels]
     encode = [
@@ -178,7 +181,7 @@ def fit_features(view: DataFrame, min_points: int = MIN_POINTS) -> tuple[Pipelin
 
 
 def forecast_features(model: PipelineModel, spread: float, future: DataFrame, z: float = Z) -> DataFrame:
-    scored = model.transform(future.withColumn("day_name", short_day_name(F.col("date"))))
+    scored = model.transform(_labelled(future))
     return scored.select(
         F.col("city").alias("series"), F.col("date").cast("timestamp_ntz").alias("ts"), F.col("forecast"),
         (F.col("forecast") - z * spread).alias("lower_bound"), (F.col("forecast") + z * spread).alias("upper_bound"))

@@ -175,6 +175,19 @@ def test_feature_model_with_one_city(rows_of):
     assert forecast.forecast_features(model, spread, future).count() == 7
 
 
+def test_feature_model_with_a_blank_city(rows_of):
+    def fitted(*names):
+        table = features.training_table(history(rows_of, cities=names), weather(rows_of), AS_OF)
+        view = features.training_view(table, AS_OF)
+        future = features.future_features(view, current(rows_of), AS_OF)
+        model, spread = forecast.fit_features(view)
+        return {(r.series, r.ts): r.forecast for r in forecast.forecast_features(model, spread, future).collect()}
+
+    blank, named = fitted("", "B"), fitted("A", "B")
+    assert {series for series, _ in blank} == {"", "B"} and len(blank) == 14
+    assert all(blank[series.replace("A", ""), ts] == pytest.approx(value) for (series, ts), value in named.items())
+
+
 @pytest.mark.parametrize("value, rain, wind, cold, congestion, multiplier, adjusted, level, score", [
     (10.0, 0, 0, 0, 30.0, 1.0, 10.0, "LOW", 10), (10.0, 1, 1, 1, 31.0, 1.57, 15.7, "MEDIUM", 44),
     (40.0, None, None, None, None, 1.0, 40.0, "HIGH", 40), (200.0, 0, 0, 0, 0.0, 1.0, 200.0, "CRITICAL", 100),
