@@ -1061,20 +1061,25 @@ def _finish(query_handle) -> None:
     query_handle.awaitTermination()
 
 
+ROWS_A_FILE = 1_000_000
+
+
 @query("stream_snapshot", "SELECT * FROM traffic_mart", ("traffic_mart",))
 def stream_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """The mart of the newest poll, which comes in several files and micro-batches after an older one."""
     root = shared.scratch_path(spark, "snapshot")
     lines = table(spark, sf, "lineitem")
     older = lines.where(F.col("l_linenumber") == 1).withColumn("poll", F.lit(1))
+    # Four files, and more of them as the table grows, so that the share of a task does not; about four micro-batches either way.
+    landed = max(4, lines.count() // ROWS_A_FILE)
     lines.withColumn("poll", F.lit(2)).unionByName(older).repartition(
-        4, "l_orderkey").write.parquet(f"{root}/landed")
+        landed, "l_orderkey", "l_linenumber", "l_partkey").write.parquet(f"{root}/landed")
 
     def stage(poll: DataFrame) -> DataFrame:
         return staging.stage_flow(raw(poll.sparkSession, sf, "traffic_flow_raw", lineitem=poll.drop("poll")))
 
     landing.catch_up_snapshot(
-        landing.table_stream(spark, f"{root}/landed", max_files=1),
+        landing.table_stream(spark, f"{root}/landed", max_files=-(-landed // 4)),
         [(stage, f"{root}/staging"), (traffic_mart.traffic_mart, f"{root}/mart")], f"{root}/progress",
         f"{root}/polls", poll="poll")
     return sinks.read(spark, f"{root}/mart")

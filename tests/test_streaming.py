@@ -7,8 +7,9 @@ import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
+from checks import queries, roles
 from roadrisk import schemas
-from roadrisk.operators import sinks
+from roadrisk.operators import shared, sinks
 from roadrisk.plans import staging, traffic_mart
 from roadrisk.sources import cities, payloads
 from roadrisk.streaming import landing, panes, windows
@@ -84,6 +85,22 @@ def test_catching_up_builds_once(spark, tmp_path):
     assert catch_up() == (True, [0, 1, 2, 3], 2)
 
 
+def test_landed_files_grow_in_number_with_the_table(spark, tmp_path, monkeypatch):
+    tables = {"nation": [(0, "N", 0)], "supplier": [(1, "S", 0, 1.0)], "lineitem": [
+        (i // 4, i, 1, i % 4 + 1, 30.0, 1.0, 0.0, 0.0, "R", "F", None) for i in range(400)]}
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, roles.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(shared, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(queries, "ROWS_A_FILE", 20, raising=False)
+    mart = queries.stream_snapshot(spark, str(tmp_path))
+    assert sorted(r.flow_id for r in mart.select("flow_id").collect()) == sorted(f"{i // 4}_{i % 4 + 1}" for i in range(400))
+    files = [f for f in os.listdir(tmp_path / "snapshot/landed") if f.endswith(".parquet")]
+    held = [spark.read.parquet(f"{tmp_path}/snapshot/landed/{f}").count() for f in files]
+    assert sum(held) == 500 and len(files) >= 12 and max(held) < 100
+    batches = [f for f in os.listdir(tmp_path / "snapshot/progress/commits") if f.isdigit()]
+    assert 3 <= len(batches) <= 4
+
+
 def polls(spark, kind, *batches):
     return [(spark.createDataFrame(rows, f"poll {kind}, n long"), i) for i, rows in enumerate(batches)]
 
