@@ -136,7 +136,6 @@ class Lattice(NamedTuple):
     """
 
     start: np.ndarray
-    end: np.ndarray
     only: np.ndarray  # no other arc ends where it ends
     piece: np.ndarray  # -1: the bytes of one code point
     log_choice: np.ndarray  # of the arc among those that end where it ends
@@ -252,10 +251,9 @@ def lattice(words: list[str], vocab: Vocabulary) -> Lattice:
     last = first + sizes - 1
     inner = slice(cuts[1], None)  # every node but the starts has arcs
     head = first[inner]
-    end = np.repeat(np.arange(len(sizes)), sizes)
     chosen -= np.repeat(chosen[head] - share[head], sizes[inner])
     chosen[last[inner]] = 1.0
-    return Lattice(start, end, (sizes == 1)[end], piece, np.clip(log_choice, -700.0, 0.0, out=log_choice), chosen,
+    return Lattice(start, np.repeat(sizes == 1, sizes), piece, np.clip(log_choice, -700.0, 0.0, out=log_choice), chosen,
                    first, last, code, word_end)
 
 
@@ -304,6 +302,16 @@ class Path(NamedTuple):
     value: np.ndarray
 
 
+def _units(text: str) -> list[str]:
+    """The units of a text, each without the mark that it begins with."""
+    if not text:
+        return []
+    text = text.replace(MARK, OWN_MARK)
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return [u[1:] for u in UNIT.findall(MARK + text.replace(" ", MARK))]
+    return text.split(" ")
+
+
 def _numbered(units: list[str], exact: bool) -> tuple[np.ndarray, list[str]]:
     """A number for each unit, and the distinct units; ``exact`` where they may hold the stand-in, which is no valid
     character and which pandas takes for others."""
@@ -317,11 +325,11 @@ class Sampler:
     """Searches all texts of a chunk at the same time, so that each step is one array operation."""
 
     def __init__(self, texts: list[str], keys: np.ndarray, vocab: Vocabulary, seed: int = SEED):
-        units = [UNIT.findall(MARK + t.replace(MARK, OWN_MARK).replace(" ", MARK)) if t else [] for t in texts]
+        units = [_units(t) for t in texts]
         counts = np.fromiter(map(len, units), np.int64, len(units))
         flat = [u for per in units for u in per]
         code, words = _numbered(flat, any(MARK in t for t in texts))
-        self.vocab, self.lattice = vocab, lattice(list(words), vocab) if flat else None
+        self.vocab, self.lattice = vocab, lattice([MARK + w for w in words], vocab) if flat else None
         self.code, self.starts = code, np.concatenate([[0], np.cumsum(counts)])
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         own = _mixed(keys.astype(np.int64).view(np.uint64) + np.array([seed], dtype=np.uint64) * SPREAD)
@@ -353,10 +361,11 @@ class Sampler:
         word, step, arc = (np.concatenate(x) for x in zip(*parts))
         count = np.bincount(word, minlength=len(self.code))
         base = np.concatenate([[0], np.cumsum(count)])
-        ordered = np.empty_like(arc)
-        ordered[base[word] + step] = arc
-        word, arc = np.repeat(np.arange(len(count)), count), ordered
-        step = np.arange(len(arc)) - np.repeat(base[:-1], count)
+        ordered = np.empty((3, len(arc)), dtype=np.int64)
+        place = base[word] + step
+        for row, values in zip(ordered, (word, step, arc)):
+            row[place] = values
+        word, step, arc = ordered
         bounds = base[np.append(self.starts[texts], self.starts[texts[-1] + 1])]
         total = np.concatenate([[0.0], np.cumsum(self.lattice.log_choice[arc])])
         per = np.diff(bounds)
@@ -445,7 +454,7 @@ class Sampler:
             first[here] = held.bounds[np.searchsorted(held.texts, texts[here])]
             fixed = _ranges(first[here], place)
             parts.append((held.word[fixed], held.step[fixed], held.arc[fixed]))
-        node = net.end[arc]
+        node = np.searchsorted(net.first, arc, side="right") - 1  # where the arc ends; starts of words have no arcs
         low, last = net.first[node], net.last[node]
         column, row = np.arange((last - low).max() + 1), np.arange(len(texts))
         arcs = low[:, None] + column

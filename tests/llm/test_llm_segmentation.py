@@ -129,3 +129,10 @@ def test_odd_rows(spark, documents, odd_rows):
     key = lambda rows: sorted((str(r.doc_id), r["rank"], tuple(r.pieces), round(r.perturbed, 9)) for r in rows)
     assert key(out) == key(again)
     assert sampling.encode_samples(documents([])).count() == 0
+
+
+def test_units_are_those_of_the_pattern():
+    texts = ["", " ", "  ", "a", "a b", " a b", "a b ", "a  b", "a\nb c\t d", "▁", "▁ a", "a ▁b", "a\u00a0b c", "é ü", "nan None"]
+    for text in texts:
+        marked = sampling.MARK + text.replace(sampling.MARK, sampling.OWN_MARK).replace(" ", sampling.MARK) if text else ""
+        assert [sampling.MARK + u for u in sampling._units(text)] == sampling.UNIT.findall(marked), repr(text)
